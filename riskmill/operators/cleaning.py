@@ -35,10 +35,15 @@ def repair_statistics(
     One aggregate serves all columns.
     """
     present = [c for c in columns if c in df.columns]
+    # The repair is a column of its own first, so that it runs once per value.
+    values = df.select(
+        *[column_as_double(df, c).alias(f"before{i}") for i, c in enumerate(present)]
+    ).withColumns(
+        {f"after{i}": repair_scale(F.col(f"before{i}"), max_valid) for i in range(len(present))}
+    )
     aggregates = []
-    for i, name in enumerate(present):
-        before = column_as_double(df, name)
-        after = repair_scale(before, max_valid)
+    for i in range(len(present)):
+        before, after = F.col(f"before{i}"), F.col(f"after{i}")
         aggregates += [
             F.count(before).alias(f"n{i}"),
             count_where(is_out_of_scale(before, max_valid)).alias(f"repaired{i}"),
@@ -61,7 +66,7 @@ def repair_statistics(
         )
         for i, name in enumerate(present)
     ]
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
 def repair_examples(
@@ -144,15 +149,26 @@ def repair_distribution(
     the broken originals whole numbers, as a lost decimal point leaves them.
     """
     present = [c for c in columns if c in df.columns]
-    groups = {c: _groups(df, c, max_valid) for c in present}
+    kinds = ("untouched", "corrected", "broken")
+    values = df.select(
+        *[
+            value.alias(f"{kind}{i}")
+            for i, c in enumerate(present)
+            for kind, value in zip(kinds, _groups(df, c, max_valid))
+        ]
+    )
     medians = exact_quantiles(
-        df,
-        {(c, kind): groups[c][i] for c in present for i, kind in enumerate(("untouched", "corrected"))},
+        values,
+        {
+            (c, kind): F.col(f"{kind}{i}")
+            for i, c in enumerate(present)
+            for kind in ("untouched", "corrected")
+        },
         small_distinct=small_distinct,
     )
     aggregates = []
-    for i, name in enumerate(present):
-        untouched, repaired, broken = groups[name]
+    for i in range(len(present)):
+        untouched, repaired, broken = (F.col(f"{kind}{i}") for kind in kinds)
         for kind, value in (("untouched", untouched), ("corrected", repaired)):
             aggregates += [
                 F.count(value).alias(f"{kind}_n{i}"),
@@ -188,7 +204,7 @@ def repair_distribution(
                 ((broken_n > 0) & F.col(f"inside{i}") & (whole == broken_n)).alias("ok"),
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
 
 
 # --- labels ----------------------------------------------------------------

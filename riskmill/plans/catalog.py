@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from riskmill.plans import cleaning_queries  # noqa: F401  (registers its queries)
+from riskmill.plans import (  # noqa: F401  (each module registers its queries)
+    cleaning_queries,
+    metric_queries,
+    result_queries,
+)
 from riskmill.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

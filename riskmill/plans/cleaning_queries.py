@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskmill.functions.durable import checkpoint_dir
+from riskmill.functions.durable import checkpoint_dir, materialize
 from riskmill.functions.numeric import is_out_of_scale, repair_scale, text_to_double
 from riskmill.operators import cleaning, contract, dedup, profile, scenarios
 from riskmill.operators.features import derive_features
@@ -482,10 +482,9 @@ def conform_columns(spark, sf_dir):
     select * from p""",
 )
 def prepare_units(spark, sf_dir):
+    raw = materialize(views.units(spark, sf_dir), "raw")
     folder = f"{checkpoint_dir(spark)}/prepared"
-    return prepare_table(
-        views.units(spark, sf_dir), UNITS, folder, order_by=["unit_id"], subset=UNITS.columns
-    ).table
+    return prepare_table(raw, UNITS, folder, order_by=["unit_id"], subset=UNITS.columns).table
 
 
 @query(
