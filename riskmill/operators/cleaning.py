@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from riskmill.functions.numeric import (
     column_as_double,
@@ -15,7 +15,7 @@ from riskmill.functions.numeric import (
     ratio_or_zero,
     repair_scale,
 )
-from riskmill.operators.order_stats import SMALL_DISTINCT, exact_quantiles
+from riskmill.operators.order_stats import SMALL_DISTINCT, quantiles_and_aggregates
 from riskmill.spec import TARGET_CLASS, TARGET_MAIN, TARGET_SENSITIVITY, TableSpec
 
 
@@ -126,6 +126,15 @@ def consistency_check(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+def _one_row(df: DataFrame, row: Row) -> DataFrame:
+    """A collected aggregate row as a table; nulls keep a numeric type."""
+    kinds = {bool: "boolean", int: "bigint"}
+    schema = ", ".join(
+        f"`{name}` {kinds.get(type(value), 'double')}" for name, value in row.asDict().items()
+    )
+    return df.sparkSession.createDataFrame([tuple(row)], schema)
+
+
 def _groups(df: DataFrame, column: str, max_valid: float) -> tuple[Column, Column, Column]:
     """Untouched positive values, repaired values, and these before the repair."""
     raw = column_as_double(df, column)
@@ -157,15 +166,6 @@ def repair_distribution(
             for kind, value in zip(kinds, _groups(df, c, max_valid))
         ]
     )
-    medians = exact_quantiles(
-        values,
-        {
-            (c, kind): F.col(f"{kind}{i}")
-            for i, c in enumerate(present)
-            for kind in ("untouched", "corrected")
-        },
-        small_distinct=small_distinct,
-    )
     aggregates = []
     for i in range(len(present)):
         untouched, repaired, broken = (F.col(f"{kind}{i}") for kind in kinds)
@@ -181,6 +181,18 @@ def repair_distribution(
             count_where(is_whole(broken)).alias(f"whole{i}"),
             F.coalesce(F.bool_and(inside), F.lit(True)).alias(f"inside{i}"),
         ]
+    medians, summary = quantiles_and_aggregates(
+        values,
+        {
+            (c, kind): F.col(f"{kind}{i}")
+            for i, c in enumerate(present)
+            for kind in ("untouched", "corrected")
+        },
+        aggregates,
+        small_distinct=small_distinct,
+    )
+    if not present:
+        raise KeyError(f"none of the columns {list(columns)} found")
     rows = []
     for i, name in enumerate(present):
         broken_n, whole = F.col(f"corrected_n{i}"), F.col(f"whole{i}")
@@ -204,7 +216,7 @@ def repair_distribution(
                 ((broken_n > 0) & F.col(f"inside{i}") & (whole == broken_n)).alias("ok"),
             )
         )
-    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return _one_row(df, summary).select(F.inline(F.array(*rows)))
 
 
 # --- labels ----------------------------------------------------------------
@@ -220,17 +232,24 @@ def sensitivity_target(label: Column, positive: str, negative: str) -> Column:
 
 
 def add_targets(df: DataFrame, target: str, positive: str, negative: str) -> DataFrame:
-    """Add the original class as text and both binary labels."""
+    """Add the original class as text and both binary labels.
+
+    A raw label whose name differs from a new column only in case ("Target")
+    gives way to it, because Spark's names ignore case unless the session says
+    otherwise. Its values stay in the class column.
+    """
     if target not in df.columns:
         raise KeyError(f"label column {target!r} not found")
     label = F.col(target).cast("string")
-    return df.withColumns(
-        {
-            TARGET_CLASS: label,
-            TARGET_MAIN: main_target(label, positive),
-            TARGET_SENSITIVITY: sensitivity_target(label, positive, negative),
-        }
-    )
+    new = {
+        TARGET_CLASS: label,
+        TARGET_MAIN: main_target(label, positive),
+        TARGET_SENSITIVITY: sensitivity_target(label, positive, negative),
+    }
+    cased = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    taken = set(new) if cased else {name.lower() for name in new}
+    kept = [c for c in df.columns if (c if cased else c.lower()) not in taken]
+    return df.select(*kept, *[value.alias(name) for name, value in new.items()])
 
 
 def target_summary(df: DataFrame) -> DataFrame:
@@ -261,10 +280,3 @@ def target_summary(df: DataFrame) -> DataFrame:
         for key in present
     ]
     return counted.select(F.inline(F.array(*rows)))
-
-
-# --- the whole preparation -------------------------------------------------
-
-def clean_table(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Repair the grade columns of a table."""
-    return repair_columns(df, list(spec.grades), spec.max_grade)

@@ -59,7 +59,8 @@ class Training:
     label: str = "label"
     fold: str = "fold"
     folds: int = FOLDS
-    parallelism: int = 1
+    parallelism: int = 1  # fits at the same time within a fold
+    fold_parallelism: int = 1  # folds at the same time; each keeps its features cached
 
 
 def prepare_training(
@@ -70,6 +71,7 @@ def prepare_training(
     row_id: str,
     folds: int = FOLDS,
     parallelism: int = 1,
+    fold_parallelism: int = 1,
     **fold_options,
 ) -> Training:
     """Labelled rows of a scenario with their folds, written once for all fits."""
@@ -80,7 +82,7 @@ def prepare_training(
     rows = stratified_folds(labelled, "label", row_id, folds, **fold_options)
     return Training(
         materialize(rows, "training"), tuple(final), spec, row_id, folds=folds,
-        parallelism=parallelism,
+        parallelism=parallelism, fold_parallelism=fold_parallelism,
     )
 
 
@@ -110,9 +112,9 @@ def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Call
     ``finish`` must run its job, because the features of a fold are released
     afterwards.
     """
-    results = []
     pipeline = preprocessor(training.columns, training.spec)
-    for holdout in range(training.folds):
+
+    def run(holdout: int):
         train = training.rows.where(F.col(training.fold) != holdout)
         features = (
             pipeline.fit(train)
@@ -131,10 +133,12 @@ def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Call
                 _scored(model, features, c.name, holdout, training)
                 for c, model in zip(candidates, models)
             ]
-            results.append(finish(reduce(DataFrame.unionByName, scored)))
+            return finish(reduce(DataFrame.unionByName, scored))
         finally:
             features.unpersist()
-    return results
+
+    tasks = [lambda holdout=holdout: run(holdout) for holdout in range(training.folds)]
+    return _in_parallel(tasks, training.fold_parallelism, training.rows.sparkSession)
 
 
 def cross_validation_scores(training: Training, candidates: Sequence[Candidate]) -> DataFrame:
@@ -225,6 +229,7 @@ def compare_models(
     settings: Mapping[str, Mapping] | None = None,
     folds: int = FOLDS,
     parallelism: int = 1,
+    fold_parallelism: int = 1,
     **fold_options,
 ) -> DataFrame:
     """Result table of all models over scenarios, targets and stages.
@@ -237,7 +242,8 @@ def compare_models(
     for position, (target_name, target) in enumerate(targets.items()):
         for key in scenarios or list(spec.scenarios):
             training = prepare_training(
-                df, spec, key, target, row_id, folds, parallelism, **fold_options
+                df, spec, key, target, row_id, folds, parallelism, fold_parallelism,
+                **fold_options,
             )
             stages = {"default": {m: dict(settings.get(m, {})) for m in models}}
             if tune and position == 0:

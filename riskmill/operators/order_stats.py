@@ -12,7 +12,7 @@ import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from riskmill.functions.durable import take_bounded
 
@@ -124,18 +124,30 @@ def exact_quantiles(
     probability: float = 0.5,
     small_distinct: int = SMALL_DISTINCT,
 ) -> dict[str, float | None]:
-    """Interpolated quantile of several double expressions; null where empty.
+    """Interpolated quantile of several double expressions; null where empty."""
+    return quantiles_and_aggregates(df, columns, [], probability, small_distinct)[0]
+
+
+def quantiles_and_aggregates(
+    df: DataFrame,
+    columns: Mapping[str, Column],
+    aggregates: Sequence[Column],
+    probability: float = 0.5,
+    small_distinct: int = SMALL_DISTINCT,
+) -> tuple[dict[str, float | None], Row | None]:
+    """``exact_quantiles`` and other aggregates that share its first pass.
 
     A first pass counts rows and (roughly) distinct values. Columns with few
     distinct values use the built-in aggregate, whose buffer is then known to be
     small; the others are narrowed down rank by rank.
     """
     if not columns:
-        return {}
+        return {}, df.agg(*aggregates).first() if aggregates else None
     sizes = df.agg(
-        *[F.count(expression).alias(f"n{i}") for i, expression in enumerate(columns.values())],
+        *aggregates,
+        *[F.count(expression).alias(f"_n{i}") for i, expression in enumerate(columns.values())],
         *[
-            F.approx_count_distinct(expression).alias(f"d{i}")
+            F.approx_count_distinct(expression).alias(f"_d{i}")
             for i, expression in enumerate(columns.values())
         ],
     ).first()
@@ -143,10 +155,10 @@ def exact_quantiles(
     small, ranks = {}, {}
     result: dict[str, float | None] = {name: None for name in columns}
     for i, (name, expression) in enumerate(columns.items()):
-        n = sizes[f"n{i}"]
+        n = sizes[f"_n{i}"]
         if n == 0:
             continue
-        if sizes[f"d{i}"] <= small_distinct:
+        if sizes[f"_d{i}"] <= small_distinct:
             small[name] = expression
             continue
         position = probability * (n - 1)
@@ -165,11 +177,11 @@ def exact_quantiles(
     values = values_at_ranks(df, ranks)
     for i, name in enumerate(columns):
         if (name, "lower") in ranks:
-            position = probability * (sizes[f"n{i}"] - 1)
+            position = probability * (sizes[f"_n{i}"] - 1)
             weight = position - math.floor(position)
             low, high = float(values[name, "lower"]), float(values[name, "upper"])
             result[name] = low if low == high else low * (1 - weight) + high * weight
-    return result
+    return result, sizes
 
 
 # --- running totals --------------------------------------------------------

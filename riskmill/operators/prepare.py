@@ -45,7 +45,7 @@ def prepare_table(
     run = uuid.uuid4().hex
     table_path, report_path = f"{folder}/table-{run}", f"{folder}/report-{run}"
 
-    cleaned = cleaning.clean_table(raw, spec)
+    cleaned = cleaning.repair_columns(raw, list(spec.grades), spec.max_grade)
     labelled = cleaning.add_targets(
         dedup.group_copies(cleaned, subset, order_by), spec.target, spec.positive, spec.negative
     )

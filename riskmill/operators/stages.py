@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from riskmill.functions.durable import take_bounded
 from riskmill.functions.numeric import column_as_double
 from riskmill.operators.features import derive_features
-from riskmill.operators.order_stats import SMALL_DISTINCT, exact_quantiles
+from riskmill.operators.order_stats import SMALL_DISTINCT, quantiles_and_aggregates
 from riskmill.spec import MIN_FREQUENCY, FeatureRoles
 
 INFREQUENT = "__infrequent__"
@@ -119,21 +119,21 @@ class MedianScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
             *[column_as_double(dataset, c).alias(f"v{i}") for i, c in enumerate(names)]
         )
         columns = {c: F.col(f"v{i}") for i, c in enumerate(names)}
-        medians = exact_quantiles(
-            values, columns, small_distinct=self.getOrDefault(self.smallDistinct)
+        moments = [
+            statistic
+            for i in range(len(names))
+            for statistic in (
+                F.count(f"v{i}").alias(f"n{i}"),
+                F.avg(f"v{i}").alias(f"mean{i}"),
+                F.var_pop(f"v{i}").alias(f"var{i}"),
+            )
+        ]
+        medians, row = quantiles_and_aggregates(
+            values,
+            columns,
+            [F.count("*").alias("rows"), *moments],
+            small_distinct=self.getOrDefault(self.smallDistinct),
         )
-        row = values.agg(
-            F.count("*").alias("rows"),
-            *[
-                statistic
-                for i in range(len(names))
-                for statistic in (
-                    F.count(f"v{i}").alias(f"n{i}"),
-                    F.avg(f"v{i}").alias(f"mean{i}"),
-                    F.var_pop(f"v{i}").alias(f"var{i}"),
-                )
-            ],
-        ).first()
         state = []
         for i, name in enumerate(names):
             median, n = medians[name], row[f"n{i}"]
@@ -171,28 +171,6 @@ class MedianScalerModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWrit
         return dataset.withColumns(new)
 
 
-def _most_frequent(df: DataFrame, columns: Sequence[str]) -> dict[str, str | None]:
-    """Most frequent value per text column, the smallest one on ties.
-
-    Values are counted first, so the result of any column is one row however many
-    levels it has.
-    """
-    counts = (
-        df.unpivot([], list(columns), "column_name", "value")
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    winners = counts.groupBy("column_name").agg(
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("value")
-    )
-    found = {
-        row["column_name"]: row["value"]
-        for row in take_bounded(winners, len(columns), "most frequent values")
-    }
-    return {c: found.get(c) for c in columns}
-
-
 class ModeImputer(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
     """Impute numeric flags by their most frequent value, the smallest on ties."""
 

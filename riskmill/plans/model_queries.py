@@ -215,11 +215,11 @@ def score_batch(spark, sf_dir):
 # --- comparison ------------------------------------------------------------
 
 
-def _training(spark, sf_dir, parallelism=4):
+def _training(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
     train, _ = compare.train_and_test(rows, "target", "unit_id")
     return compare.prepare_training(
-        train, UNITS, "early_warning", "target", "unit_id", parallelism=parallelism
+        train, UNITS, "early_warning", "target", "unit_id", parallelism=4, fold_parallelism=5
     )
 
 
@@ -273,6 +273,7 @@ def model_comparison(spark, sf_dir):
         models=("dummy_prior", "logistic", "logistic_balanced"),
         grids={"logistic_balanced": {"C": (0.1, 1.0)}},
         parallelism=4,
+        fold_parallelism=5,
     )
 
 
@@ -282,7 +283,7 @@ def final_levels(spark, sf_dir):
     rows = _labelled(spark, sf_dir)
     train, test = compare.train_and_test(rows, "target", "unit_id")
     training = compare.prepare_training(
-        train, UNITS, "early_warning", "target", "unit_id", parallelism=4
+        train, UNITS, "early_warning", "target", "unit_id", parallelism=4, fold_parallelism=5
     )
     model, best = compare.tune_model(training, "logistic_balanced", {"C": (0.1, 1.0)})
     candidate = compare.Candidate("chosen", "logistic_balanced", best)
