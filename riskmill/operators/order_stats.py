@@ -89,10 +89,11 @@ def _narrow(df, finite, brackets, bins):
         value = finite[name]
         if isinstance(lo, int) and hi - lo < 2**62:
             share = (value - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
+        elif math.isfinite(float(hi) - float(lo)):
+            share = (value.cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
         else:
             # Halving first keeps the width of the widest bracket finite.
-            half = float(lo) / 2
-            share = (value.cast("double") / 2 - F.lit(half)) / F.lit(float(hi) / 2 - half)
+            share = (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
         cell = F.least((share * bins).cast("int"), F.lit(bins - 1))
         inside = (value >= F.lit(lo)) & (value <= F.lit(hi))
         cells.append(

@@ -7,6 +7,7 @@ load with the pipeline, and applying them is a projection without joins.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -16,7 +17,12 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from riskmill.functions.durable import take_bounded
+from riskmill.functions.durable import (
+    checkpoint_dir,
+    materialize,
+    small_table,
+    take_bounded,
+)
 from riskmill.functions.numeric import column_as_double
 from riskmill.operators.features import derive_features
 from riskmill.operators.order_stats import SMALL_DISTINCT, quantiles_and_aggregates
@@ -223,48 +229,91 @@ class RareOneHot(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritab
     """Impute categories by the mode and encode them one-hot.
 
     No level is dropped. Levels with fewer than ``minFrequency`` fitted rows share
-    one column, and values that were not fitted get all zeros.
+    one column, and values that were not fitted get all zeros. Telling the two
+    apart needs the rare levels: up to ``maxRare`` of them are part of the model,
+    a longer tail is a table in the checkpoint folder that is joined.
     """
 
     minFrequency = Param(
         Params._dummy(), "minFrequency", "rows a level needs for its own column",
         TypeConverters.toInt,
     )
+    maxRare = Param(
+        Params._dummy(), "maxRare", "levels kept in the model itself", TypeConverters.toInt
+    )
 
     @keyword_only
-    def __init__(self, *, inputCols=None, suffix="_cat", minFrequency=MIN_FREQUENCY):
+    def __init__(
+        self, *, inputCols=None, suffix="_cat", minFrequency=MIN_FREQUENCY, maxRare=MAX_LEVELS
+    ):
         super().__init__()
-        self._setDefault(suffix="_cat", minFrequency=MIN_FREQUENCY)
+        self._setDefault(suffix="_cat", minFrequency=MIN_FREQUENCY, maxRare=MAX_LEVELS)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> "RareOneHotModel":
         names = self.getOrDefault(self.inputCols)
         levels = level_counts(dataset, names)
-        rows = take_bounded(levels, MAX_LEVELS, "levels of the categorical columns")
-        state = []
-        for name in names:
-            counts = {
-                row["value"]: row["n"]
-                for row in rows
-                if row["column_name"] == name and row["value"] is not None
-            }
-            missing = sum(
-                row["n"] for row in rows if row["column_name"] == name and row["value"] is None
-            )
-            mode = min(counts, key=lambda v: (-counts[v], v), default=None)
-            if mode is not None:
-                counts[mode] += missing
-            least = self.getOrDefault(self.minFrequency)
-            state.append(
-                {
-                    "mode": mode,
-                    "kept": sorted(v for v, n in counts.items() if n >= least),
-                    "rare": sorted(v for v, n in counts.items() if n < least),
-                }
-            )
-        return RareOneHotModel()._set(
-            inputCols=names, suffix=self.getOrDefault(self.suffix), state=json.dumps(state)
+        rows = levels.take(self.getOrDefault(self.maxRare) + 1)
+        model = RareOneHotModel()._set(inputCols=names, suffix=self.getOrDefault(self.suffix))
+        if len(rows) > self.getOrDefault(self.maxRare):
+            levels = materialize(levels, "levels")
+            state, table = self._fit_long_tail(levels, names)
+            model._set(rareTable=table)
+        else:
+            state = [self._fit_column(name, rows) for name in names]
+        return model._set(state=json.dumps(state))
+
+    def _fit_column(self, name: str, rows: Sequence) -> dict:
+        counts = {row["value"]: row["n"] for row in rows if row["column_name"] == name}
+        missing = counts.pop(None, 0)
+        mode = min(counts, key=lambda v: (-counts[v], v), default=None)
+        if mode is not None:
+            counts[mode] += missing
+        least = self.getOrDefault(self.minFrequency)
+        return {
+            "mode": mode,
+            "kept": sorted(v for v, n in counts.items() if n >= least),
+            "rare": sorted(v for v, n in counts.items() if n < least),
+        }
+
+    def _fit_long_tail(self, levels: DataFrame, names: Sequence[str]) -> tuple[list, str]:
+        """The same from a table of level counts that is too long for the driver."""
+        present = levels.where(F.col("value").isNotNull())
+        modes = small_table(
+            levels.groupBy("column_name").agg(
+                F.min_by("value", F.struct(F.col("value").isNull(), -F.col("n"), "value")).alias(
+                    "mode"
+                ),
+                F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(
+                    "missing"
+                ),
+            ),
+            len(names),
+            "modes",
         )
+        total = F.col("n") + F.when(F.col("value") == F.col("mode"), F.col("missing")).otherwise(0)
+        filled = present.join(modes, "column_name").withColumn("total", total)
+        least = F.lit(self.getOrDefault(self.minFrequency))
+        kept = take_bounded(
+            filled.where(F.col("total") >= least).select("column_name", "value"),
+            MAX_LEVELS,
+            "levels with a column of their own",
+        )
+        path = f"{checkpoint_dir(levels.sparkSession)}/rare-levels-{uuid.uuid4().hex}"
+        rare = filled.where(F.col("total") < least).select("column_name", "value")
+        rare.write.parquet(path)
+        tails = {row["column_name"] for row in rare.select("column_name").distinct().collect()}
+        mode_of = {row["column_name"]: row["mode"] for row in modes.collect()}
+        state = [
+            {
+                "mode": mode_of.get(name),
+                "kept": sorted(row["value"] for row in kept if row["column_name"] == name),
+                "rare": [],
+                "tail": name in tails,
+            }
+            for name in names
+        ]
+        return state, path
 
 
 def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -278,16 +327,44 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 class RareOneHotModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
+    rareTable = Param(
+        Params._dummy(), "rareTable", "folder of the rare levels", TypeConverters.toString
+    )
+
     def __init__(self):
         super().__init__()
 
     def labels(self) -> dict[str, list[str]]:
         """Names of the encoded levels per column, in vector order."""
         return {
-            name: fitted["kept"] + ([INFREQUENT] if fitted["rare"] else [])
+            name: fitted["kept"] + ([INFREQUENT] if fitted["rare"] or fitted.get("tail") else [])
             for name, fitted in zip(self.getOrDefault(self.inputCols), self.statistics())
         }
 
+    def _group_tail(self, df: DataFrame, name: str, level: str, kept: list[str]) -> DataFrame:
+        """Replace rare levels by the shared one, looking them up in the table.
+
+        Rows with a level of their own need no lookup. They are spread over all
+        tasks by a hash of the row, so a frequent level does not fill one task.
+        """
+        rare = df.sparkSession.read.parquet(self.getOrDefault(self.rareTable)).where(
+            F.col("column_name") == name
+        )
+        rare = rare.select(F.col("value").alias("_rare"), F.lit(0).alias("_salt"))
+        own = F.col(level).isNull() | F.col(level).isin(kept)
+        plain = [c for c, kind in df.dtypes if not kind.startswith(("map", "vector", "variant"))]
+        spread = F.pmod(F.xxhash64(*plain), F.lit(4096)).cast("int")
+        looked_up = df.withColumns(
+            {
+                "_wanted": F.when(~own, F.col(level)),
+                "_spread": F.when(own, spread).otherwise(F.lit(0)),
+            }
+        )
+        matches = (F.col("_wanted") == F.col("_rare")) & (F.col("_spread") == F.col("_salt"))
+        joined = looked_up.join(rare, matches, "left")
+        value = F.when(F.col("_rare").isNotNull(), F.lit(INFREQUENT)).otherwise(F.col(level))
+        return joined.withColumn(level, value).drop("_wanted", "_spread", "_rare", "_salt")
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         names, outputs = self.getOrDefault(self.inputCols), self.outputs()
         grouped = {}
@@ -297,6 +374,9 @@ class RareOneHotModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritab
                 value = F.when(value.isin(fitted["rare"]), F.lit(INFREQUENT)).otherwise(value)
             grouped[f"{output}_level"] = value
         result = dataset.withColumns(grouped)
+        for name, output, fitted in zip(names, outputs, self.statistics()):
+            if fitted.get("tail"):
+                result = self._group_tail(result, name, f"{output}_level", fitted["kept"])
         # Unknown values take the extra last index, which the encoder drops.
         for labels, output in zip(self.labels().values(), outputs):
             indexer = StringIndexerModel.from_labels(
