@@ -12,13 +12,12 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.functions.durable import materialize, take_bounded
+from riskmill.functions.parallel import run_together
 from riskmill.operators import metrics
 from riskmill.operators.models import (
     GRIDS,
@@ -86,13 +85,6 @@ def prepare_training(
     )
 
 
-def _in_parallel(tasks: Sequence[Callable], parallelism: int, spark) -> list:
-    if parallelism <= 1 or len(tasks) <= 1:
-        return [task() for task in tasks]
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        return pool.map(lambda task: task(), map(inheritable_thread_target(spark), tasks))
-
-
 def _scored(model, features: DataFrame, candidate: str, holdout: int, training: Training):
     part = F.when(F.col(training.fold) == holdout, "validation").otherwise("train")
     return model.transform(features).select(
@@ -128,7 +120,7 @@ def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Call
                 lambda c=c: classifier(c.family, c.settings, training.label).fit(rows)
                 for c in candidates
             ]
-            models = _in_parallel(tasks, training.parallelism, features.sparkSession)
+            models = run_together(tasks, training.parallelism, features.sparkSession)
             scored = [
                 _scored(model, features, c.name, holdout, training)
                 for c, model in zip(candidates, models)
@@ -138,7 +130,7 @@ def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Call
             features.unpersist()
 
     tasks = [lambda holdout=holdout: run(holdout) for holdout in range(training.folds)]
-    return _in_parallel(tasks, training.fold_parallelism, training.rows.sparkSession)
+    return run_together(tasks, training.fold_parallelism, training.rows.sparkSession)
 
 
 def cross_validation_scores(training: Training, candidates: Sequence[Candidate]) -> DataFrame:
@@ -317,7 +309,7 @@ def learning_curve(
 
     tasks = [lambda k=k, cut=cut: score(*k, cut) for k, cut in cuts.items()]
     spark = training.rows.sparkSession
-    parts = _in_parallel(tasks, training.parallelism, spark)
+    parts = run_together(tasks, training.parallelism, spark)
     counts = spark.createDataFrame([row for part in parts for row in part], _CONFUSION_SCHEMA)
     return _curve(
         counts, F.col("candidate").cast("bigint"), "train_size", with_train_std=True

@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskmill.operators import results
-from riskmill.plans import views
-from riskmill.plans.registry import query, r, shown
+from riskmill.plans import registry, views
+from riskmill.plans.registry import query
 from riskmill.plans.views import SQL_FOLD_SCORES, SQL_RESULTS
 
+# Averages of two-decimal values often end in a 5 at the seventh digit, where the
+# last bit decides how six digits round; nine digits leave that zone.
+DIGITS = 9
+
+
+def shown(df):
+    return registry.shown(df, DIGITS)
+
+
+def r(expression: str) -> str:
+    return registry.r(expression, DIGITS)
+
+
 KEYS = ("scenario", "stage", "target", "model", "metric")
 ROUNDED = ", ".join(f"{r(c)} as {c}" for c in ("train_mean", "cv_mean", "cv_std", "gap"))
 TUNED_F2 = "metric = 'f2' and stage = 'tuned' and model <> 'm1'"

@@ -19,17 +19,24 @@ def file_fingerprints(
     """Path, length and SHA-256 of every file below ``path``.
 
     Small files are read and hashed by Spark. Larger ones are streamed through
-    the hash in chunks, one task per file, so no file has to fit in memory.
+    the hash in chunks, one task per file, so no file has to fit in memory. Empty
+    files are in Spark's listing but never in its scans, so they are added.
     """
-    small = (
-        _listing(spark, path)
-        .where(F.col("length") <= in_row_limit)
-        .select("path", "length", F.sha2("content", 256).alias("actual_sha256"))
+    listing = _listing(spark, path)
+    small = listing.where(F.col("length") <= in_row_limit).select(
+        "path", "length", F.sha2("content", 256).alias("actual_sha256")
     )
-    large = _listing(spark, path).where(F.col("length") > in_row_limit).select("path", "length")
+    large = listing.where(F.col("length") > in_row_limit).select("path", "length")
     spread = large.repartition(tasks or spark.sparkContext.defaultParallelism, "path")
     hashed = spread.mapInPandas(_stream_hashes, "path string, length bigint, actual_sha256 string")
-    return small.unionByName(hashed)
+
+    listed = spark.createDataFrame([(p,) for p in listing.inputFiles()], "uri string")
+    named = listed.select(F.regexp_replace("uri", "^file:/+", "file:/").alias("path"))
+    return named.join(small.unionByName(hashed), "path", "left").select(
+        "path",
+        F.coalesce("length", F.lit(0)).alias("length"),
+        F.coalesce("actual_sha256", F.lit(hashlib.sha256().hexdigest())).alias("actual_sha256"),
+    )
 
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:

@@ -6,32 +6,43 @@ import json
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from riskmill.functions.durable import take_bounded
+from riskmill.functions.parallel import run_together
 
 # Report sections are tables of columns, classes or files, never data rows.
 MAX_SECTION_ROWS = 10_000
 
 
 def write_report(
-    sections: Mapping[str, DataFrame], facts: Mapping[str, Column], path: str
+    sections: Mapping[str, DataFrame],
+    facts: Mapping[str, Column],
+    path: str,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Write a report of several small tables as one nested JSON record.
 
-    Each section becomes an array of structs. Its size is checked first, because
-    a section is one value of one row.
+    Each section becomes an array of structs. Its size is checked, because a
+    section is one value of one row. The sections are independent jobs.
     """
     if not sections:
         raise ValueError("a report needs at least one section")
     spark = next(iter(sections.values())).sparkSession
-    columns = {"generated_at": F.current_timestamp(), **facts}
-    for name, section in sections.items():
-        rows = section.take(MAX_SECTION_ROWS + 1)
-        if len(rows) > MAX_SECTION_ROWS:
-            raise ValueError(f"report section {name} has more than {MAX_SECTION_ROWS} rows")
-        local = spark.createDataFrame(rows, section.schema)
-        columns[name] = local.agg(F.collect_list(F.struct(*section.columns))).scalar()
-    report = spark.range(1).select(*[value.alias(name) for name, value in columns.items()])
-    report.write.mode("overwrite").json(path)
+    tasks = [
+        lambda name=name, section=section: take_bounded(
+            section, MAX_SECTION_ROWS, f"report section {name}"
+        )
+        for name, section in sections.items()
+    ]
+    values = run_together(tasks, parallelism, spark)
+    schema = T.StructType(
+        [T.StructField(name, T.ArrayType(section.schema)) for name, section in sections.items()]
+    )
+    report = spark.createDataFrame([tuple(values)], schema).withColumns(
+        {"generated_at": F.current_timestamp(), **facts}
+    )
+    report.coalesce(1).write.mode("overwrite").json(path)
     return spark.read.schema(report.schema).json(path)
 
 
