@@ -9,7 +9,7 @@ or split by value ranges.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Hashable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
@@ -26,116 +26,142 @@ MAX_RANGES = 10_000
 
 def values_at_ranks(
     df: DataFrame,
-    wanted: Mapping[str, tuple[Column, int]],
+    wanted: Mapping[Hashable, tuple[Column, int]],
     bins: int = 1024,
-) -> dict[str, object]:
+) -> dict[Hashable, object]:
     """Value at a 0-based rank for several numeric expressions at once.
 
     ``wanted`` maps a name to ``(expression, rank)``; nulls are not ranked. Each
     round counts the values per equal-width bin of the current bracket, and the
     bin that holds the rank, shrunk to its own smallest and largest value, is the
     next bracket. The table is only aggregated, never sorted or moved, and the
-    driver sees one row per name and round.
+    driver sees one row per name and round. Ranks of one expression share the
+    work for as long as they share the bracket.
+
+    The expressions are cached for the rounds, since they may be the end of a
+    long computation.
     """
-    if not wanted:
+    sources: dict[int, Column] = {id(expression): expression for expression, _ in wanted.values()}
+    if not sources:
         return {}
-    finite = {
-        name: F.when(_is_finite(expression), expression)
-        for name, (expression, _) in wanted.items()
-    }
-    first = df.agg(
+    column_of = {key: f"v{i}" for i, key in enumerate(sources)}
+    values = df.select(
+        *[expression.alias(column_of[key]) for key, expression in sources.items()]
+    ).persist()
+    try:
+        found, brackets = _first_brackets(values, column_of, wanted)
+        while brackets:
+            for name in [n for n, (_, lo, hi, _) in brackets.items() if lo == hi]:
+                found[name] = brackets.pop(name)[1]
+            if brackets:
+                brackets = _narrow(values, brackets, bins)
+        return found
+    finally:
+        values.unpersist()
+
+
+def _finite(column: str) -> Column:
+    value = F.col(column)
+    return F.when(F.abs(value.cast("double")) < F.lit(math.inf), value)
+
+
+def _first_brackets(values: DataFrame, column_of: Mapping[int, str], wanted: Mapping):
+    """Smallest and largest finite value per column; ranks of infinities are settled."""
+    first = values.agg(
         *[
-            column
-            for i, (name, (expression, _)) in enumerate(wanted.items())
-            for column in (
-                F.min(finite[name]).alias(f"lo{i}"),
-                F.max(finite[name]).alias(f"hi{i}"),
-                F.count(F.when(expression == F.lit(-math.inf), 1)).alias(f"low_inf{i}"),
-                F.count(finite[name]).alias(f"n{i}"),
-                F.count(expression).alias(f"all{i}"),
+            statistic
+            for c in column_of.values()
+            for statistic in (
+                F.min(_finite(c)).alias(f"{c}_lo"),
+                F.max(_finite(c)).alias(f"{c}_hi"),
+                F.count(F.when(F.col(c) == F.lit(-math.inf), 1)).alias(f"{c}_below"),
+                F.count(_finite(c)).alias(f"{c}_finite"),
+                F.count(c).alias(f"{c}_all"),
             )
         ]
     ).first()
-
-    found: dict[str, object] = {}
-    open_brackets: dict[str, tuple] = {}
-    for i, (name, (_, rank)) in enumerate(wanted.items()):
-        inner = rank - first[f"low_inf{i}"]
-        if not 0 <= rank < first[f"all{i}"]:
+    found, brackets = {}, {}
+    for name, (expression, rank) in wanted.items():
+        c = column_of[id(expression)]
+        inner = rank - first[f"{c}_below"]
+        if not 0 <= rank < first[f"{c}_all"]:
             found[name] = None
         elif inner < 0:
             found[name] = -math.inf
-        elif inner >= first[f"n{i}"]:
+        elif inner >= first[f"{c}_finite"]:
             found[name] = math.inf
         else:
-            open_brackets[name] = (first[f"lo{i}"], first[f"hi{i}"], inner)
-
-    while open_brackets:
-        for name in [n for n, (lo, hi, _) in open_brackets.items() if lo == hi]:
-            found[name] = open_brackets.pop(name)[0]
-        if open_brackets:
-            open_brackets = _narrow(df, finite, open_brackets, bins)
-    return found
+            brackets[name] = (c, first[f"{c}_lo"], first[f"{c}_hi"], inner)
+    return found, brackets
 
 
-def _is_finite(expression: Column) -> Column:
-    return expression.isNotNull() & (F.abs(expression.cast("double")) < F.lit(math.inf))
+def _share(value: Column, lo, hi) -> Column:
+    """Position of a value in its bracket, from 0 to 1; never decreasing in the value."""
+    if isinstance(lo, int) and hi - lo < 2**62:
+        return (value - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
+    if math.isfinite(float(hi) - float(lo)):
+        return (value.cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
+    # Halving first keeps the width of the widest bracket finite.
+    return (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
 
 
-def _narrow(df, finite, brackets, bins):
+def _narrow(values: DataFrame, brackets: Mapping, bins: int) -> dict:
     """One round for all open names: the bin that holds the rank, per name."""
+    groups: dict[tuple, dict[int, list]] = {}
+    for name, (c, lo, hi, inner) in brackets.items():
+        groups.setdefault((c, lo, hi), {}).setdefault(inner, []).append(name)
+
     cells = []
-    for i, (name, (lo, hi, _)) in enumerate(brackets.items()):
-        value = finite[name]
-        if isinstance(lo, int) and hi - lo < 2**62:
-            share = (value - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
-        elif math.isfinite(float(hi) - float(lo)):
-            share = (value.cast("double") - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
-        else:
-            # Halving first keeps the width of the widest bracket finite.
-            share = (value / 2 - F.lit(lo / 2)) / F.lit(hi / 2 - lo / 2)
-        cell = F.least((share * bins).cast("int"), F.lit(bins - 1))
+    for i, (c, lo, hi) in enumerate(groups):
+        value = _finite(c)
+        cell = F.least((_share(value, lo, hi) * bins).cast("int"), F.lit(bins - 1))
         inside = (value >= F.lit(lo)) & (value <= F.lit(hi))
         cells.append(
             F.struct(
                 F.lit(i).alias("item"), F.when(inside, cell).alias("cell"), value.alias("value")
             )
         )
+    hits = F.filter(F.array(*cells), lambda entry: entry["cell"].isNotNull())
     ranks = F.element_at(
-        F.array(*[F.lit(inner) for _, _, inner in brackets.values()]), F.col("item") + 1
+        F.array(*[F.array(*[F.lit(rank) for rank in sorted(ranks)]) for ranks in groups.values()]),
+        F.col("item") + 1,
     )
-    by_item = Window.partitionBy("item").orderBy("cell")
-    counts = (
-        df.select(F.inline(F.array(*cells)))
-        .where(F.col("cell").isNotNull())
+    upto = Window.partitionBy("item").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    counted = (
+        values.select(F.inline(hits))
         .groupBy("item", "cell")
         .agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .withColumn("upto", F.sum("n").over(by_item.rowsBetween(Window.unboundedPreceding, 0)))
-        .where((ranks < F.col("upto")) & (ranks >= F.col("upto") - F.col("n")))
-        .select("item", "lo", "hi", (ranks - (F.col("upto") - F.col("n"))).alias("inner"))
+        .withColumn("upto", F.sum("n").over(upto))
+        .withColumn("rank", F.explode(ranks))
+        .where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+        .select("item", "rank", "lo", "hi", (F.col("upto") - F.col("n")).alias("before"))
     )
-    names = list(brackets)
-    rows = take_bounded(counts, len(names), "rank brackets")
-    return {names[row["item"]]: (row["lo"], row["hi"], row["inner"]) for row in rows}
+    by_item = list(groups.items())
+    narrowed = {}
+    for row in take_bounded(counted, len(brackets), "rank brackets"):
+        (c, _, _), names_of = by_item[row["item"]]
+        for name in names_of[row["rank"]]:
+            narrowed[name] = (c, row["lo"], row["hi"], row["rank"] - row["before"])
+    return narrowed
 
 
 def exact_quantiles(
     df: DataFrame,
-    columns: Mapping[str, Column],
+    columns: Mapping[Hashable, Column],
     probability: float = 0.5,
     small_distinct: int = SMALL_DISTINCT,
-) -> dict[str, float | None]:
+) -> dict[Hashable, float | None]:
     """Interpolated quantile of several double expressions; null where empty."""
     return quantiles_and_aggregates(df, columns, [], probability, small_distinct)[0]
 
 
 def quantiles_and_aggregates(
     df: DataFrame,
-    columns: Mapping[str, Column],
+    columns: Mapping[Hashable, Column],
     aggregates: Sequence[Column],
     probability: float = 0.5,
     small_distinct: int = SMALL_DISTINCT,
-) -> tuple[dict[str, float | None], Row | None]:
+) -> tuple[dict[Hashable, float | None], Row | None]:
     """``exact_quantiles`` and other aggregates that share its first pass.
 
     A first pass counts rows and (roughly) distinct values. Columns with few
@@ -154,7 +180,7 @@ def quantiles_and_aggregates(
     ).first()
 
     small, ranks = {}, {}
-    result: dict[str, float | None] = {name: None for name in columns}
+    result: dict[Hashable, float | None] = dict.fromkeys(columns)
     for i, (name, expression) in enumerate(columns.items()):
         n = sizes[f"_n{i}"]
         if n == 0:

@@ -208,8 +208,9 @@ def training_prefixes(
         row[fold]: row["count"] for row in take_bounded(df.groupBy(fold).count(), folds, "folds")
     }
     total = sum(sizes.values())
+    ids = {f: F.when(F.col(fold) != f, F.col(row_id)) for f in range(folds)}
     wanted = {
-        (f, n): (F.when(F.col(fold) != f, F.col(row_id)), min(n, total - sizes.get(f, 0)) - 1)
+        (f, n): (ids[f], min(n, total - sizes.get(f, 0)) - 1)
         for f in range(folds)
         for n in prefix_sizes(total - sizes.get(0, 0), shares)
     }

@@ -203,7 +203,7 @@ def tolerant_cast(spark, sf_dir):
     coalesce(abs(grade_2) > 20, false) as flag_2 from gappy""",
 )
 def scale_flag(spark, sf_dir):
-    return views.gappy_units(spark, sf_dir).select(
+    return views.gappy_units(spark, sf_dir, customers=False).select(
         "unit_id",
         is_out_of_scale(F.col("grade_1"), 20).alias("flag_1"),
         is_out_of_scale(F.col("grade_2"), 20).alias("flag_2"),
@@ -216,7 +216,7 @@ def scale_flag(spark, sf_dir):
     {_repaired_sql('grade_2')} as grade_2 from gappy""",
 )
 def scale_repair(spark, sf_dir):
-    gappy = views.gappy_units(spark, sf_dir)
+    gappy = views.gappy_units(spark, sf_dir, customers=False)
     return cleaning.repair_columns(gappy, (*GRADES, "grade_3")).select("unit_id", *GRADES)
 
 
@@ -227,7 +227,7 @@ def scale_repair(spark, sf_dir):
     select 'grade_1' as column_name, a as ok from c union all select 'fixed_2', b from c""",
 )
 def scale_all_valid(spark, sf_dir):
-    units = views.units(spark, sf_dir)
+    units = views.units(spark, sf_dir, customers=False)
     units = units.withColumn("fixed_2", repair_scale(F.col("grade_2"), 20))
     return cleaning.all_in_scale(units, ("grade_1", "fixed_2"))
 
@@ -246,7 +246,7 @@ def _stats_sql(column: str) -> str:
     f"with {SQL_UNITS} {_stats_sql('grade_1')} union all {_stats_sql('grade_2')}",
 )
 def repair_stats(spark, sf_dir):
-    return shown(cleaning.repair_statistics(views.units(spark, sf_dir), GRADES))
+    return shown(cleaning.repair_statistics(views.units(spark, sf_dir, customers=False), GRADES))
 
 
 def _distribution_sql(column: str) -> str:
@@ -278,7 +278,7 @@ def _distribution_sql(column: str) -> str:
     f"with {SQL_UNITS} {_distribution_sql('grade_1')} union all {_distribution_sql('grade_2')}",
 )
 def repair_distribution(spark, sf_dir):
-    return shown(cleaning.repair_distribution(views.units(spark, sf_dir), GRADES))
+    return shown(cleaning.repair_distribution(views.units(spark, sf_dir, customers=False), GRADES))
 
 
 @query(
@@ -287,7 +287,7 @@ def repair_distribution(spark, sf_dir):
     from units where abs(grade_1) > 20 order by unit_id limit 5""",
 )
 def repair_examples(spark, sf_dir):
-    return cleaning.repair_examples(views.units(spark, sf_dir), "grade_1", ["unit_id"])
+    return cleaning.repair_examples(views.units(spark, sf_dir, customers=False), "grade_1", ["unit_id"])
 
 
 @query(
@@ -302,7 +302,7 @@ def repair_examples(spark, sf_dir):
 )
 def consistency_check(spark, sf_dir):
     pairs = {**UNITS.grades, "grade_3": "approved_3"}
-    return cleaning.consistency_check(views.units(spark, sf_dir), pairs)
+    return cleaning.consistency_check(views.units(spark, sf_dir, customers=False), pairs)
 
 
 # --- duplicates ------------------------------------------------------------
@@ -407,7 +407,7 @@ _EVALUATED = _ratio_sql("evaluations_1", "enrolled_1")
     {r(_EVALUATED)} as razao_avaliacoes_inscrito_1sem from gappy""",
 )
 def features_s1(spark, sf_dir):
-    gappy = views.gappy_units(spark, sf_dir).select("unit_id", *views.PERIOD_1)
+    gappy = views.gappy_units(spark, sf_dir, customers=False).select("unit_id", *views.PERIOD_1)
     return shown(derive_features(gappy, UNITS.roles).select("unit_id", *UNITS.roles.first_period))
 
 
@@ -421,7 +421,7 @@ def features_s1(spark, sf_dir):
     from gappy""",
 )
 def features_s2(spark, sf_dir):
-    gappy = views.gappy_units(spark, sf_dir)
+    gappy = views.gappy_units(spark, sf_dir, customers=False)
     return shown(derive_features(gappy, UNITS.roles).select("unit_id", *UNITS.roles.second_period))
 
 
@@ -496,7 +496,7 @@ def prepare_units(spark, sf_dir):
 )
 def clean_report(spark, sf_dir):
     """Rows, repaired rows and mean repaired grade per class and label."""
-    units = views.units(spark, sf_dir).select("target_raw", "grade_1")
+    units = views.units(spark, sf_dir, customers=False).select("target_raw", "grade_1")
     label = cleaning.main_target(F.col("target_raw"), UNITS.positive)
     return shown(
         units.groupBy("target_raw", label.alias("target")).agg(

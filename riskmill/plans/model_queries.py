@@ -32,7 +32,7 @@ def _fit_sql(column: str) -> str:
 )
 def fit_stats(spark, sf_dir):
     """Median of the present values, mean and deviation after imputation."""
-    gappy = views.gappy_units(spark, sf_dir)
+    gappy = views.gappy_units(spark, sf_dir, customers=False)
     fitted = stages.MedianScaler(inputCols=list(NUMBERS)).fit(gappy).statistics()
     rows = [(c, s["median"], s["mean"], s["std"]) for c, s in zip(NUMBERS, fitted)]
     schema = "column_name string, median double, mean double, std double"
@@ -50,7 +50,7 @@ def _scaled_sql(column: str) -> str:
     f"with {SQL_GAPPY} select unit_id, {', '.join(_scaled_sql(c) for c in NUMBERS)} from gappy",
 )
 def impute_scale(spark, sf_dir):
-    gappy = views.gappy_units(spark, sf_dir)
+    gappy = views.gappy_units(spark, sf_dir, customers=False)
     model = stages.MedianScaler(inputCols=list(NUMBERS)).fit(gappy)
     return shown(model.transform(gappy).select("unit_id", *model.outputs()))
 

@@ -70,11 +70,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def units(spark: SparkSession, sf_dir: str, customers: bool = True) -> DataFrame:
     """One row per order with the activity of its lines in two periods.
 
     Lines are aggregated before the join, so an order with very many lines is
-    merged on the map side and the join is one row to one row.
+    merged on the map side and the join is one row to one row. Queries that need
+    no customer columns leave the join with customers out: an outer join cannot
+    be optimized away, and it would shuffle all orders once more.
     """
     lines = table(spark, sf_dir, "lineitem")
     first, second = F.col("l_linestatus") == "F", F.col("l_linestatus") == "O"
@@ -90,41 +92,43 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max(F.when(second, F.col("l_extendedprice"))).alias("grade_2"),
         count_where(second & (flag == "N")).alias("no_eval_2"),
     )
-    customers = table(spark, sf_dir, "customer").join(
-        table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    orders = table(spark, sf_dir, "orders").join(
+        activity, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     )
-    zero = {c: 0 for c in (*PERIOD_1, *PERIOD_2)}
-    return (
-        table(spark, sf_dir, "orders")
-        .join(activity, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .fillna(zero)
-        .select(
-            F.col("o_orderkey").alias("unit_id"),
-            F.col("o_orderstatus").alias("target_raw"),
-            F.col("o_orderpriority").alias("cat_priority"),
+    of_customer = []
+    if customers:
+        people = table(spark, sf_dir, "customer").join(
+            table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+        )
+        orders = orders.join(people, F.col("o_custkey") == F.col("c_custkey"), "left")
+        of_customer = [
             F.col("c_mktsegment").alias("cat_segment"),
             F.col("n_name").alias("cat_nation"),
             F.when(F.col("c_acctbal") < 0, 1).otherwise(0).alias("bin_debtor"),
-            F.col("o_totalprice").alias("num_admission"),
-            *PERIOD_1,
-            *PERIOD_2,
-        )
+        ]
+    return orders.fillna({c: 0 for c in (*PERIOD_1, *PERIOD_2)}).select(
+        F.col("o_orderkey").alias("unit_id"),
+        F.col("o_orderstatus").alias("target_raw"),
+        F.col("o_orderpriority").alias("cat_priority"),
+        *of_customer,
+        F.col("o_totalprice").alias("num_admission"),
+        *PERIOD_1,
+        *PERIOD_2,
     )
 
 
-def gappy_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+def gappy_units(spark: SparkSession, sf_dir: str, customers: bool = True) -> DataFrame:
     """``units`` with missing values in numbers, flags and categories."""
-    hole = lambda c, v: F.nullif(F.col(c), F.lit(v)).alias(c)
-    df = units(spark, sf_dir)
+    hole = lambda c, v: F.nullif(F.col(c), F.lit(v))
     holes = {
         "enrolled_1": hole("enrolled_1", 0),
         "grade_1": hole("grade_1", 0.0),
         "cat_priority": hole("cat_priority", "2-HIGH"),
-        "cat_segment": hole("cat_segment", "BUILDING"),
-        "bin_debtor": F.when(F.col("evaluations_1") > 0, F.col("bin_debtor")),
     }
-    return df.withColumns(holes)
+    if customers:
+        holes["cat_segment"] = hole("cat_segment", "BUILDING")
+        holes["bin_debtor"] = F.when(F.col("evaluations_1") > 0, F.col("bin_debtor"))
+    return units(spark, sf_dir, customers).withColumns(holes)
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
