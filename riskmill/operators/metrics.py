@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskmill.functions.numeric import count_where, ratio_or_zero
+from riskmill.functions.numeric import count_where, ratio_or_null, ratio_or_zero
 from riskmill.operators.order_stats import range_splits, running_totals
 from riskmill.spec import METRICS, THRESHOLDS
 
@@ -125,29 +125,36 @@ def rank_metrics(
     )
 
 
+def _class_sizes(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
+    y = F.col(label)
+    return df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(*by).agg(
+        count_where(y == 1).alias("_p"), count_where(y == 0).alias("_n")
+    )
+
+
+def _with_end(points: DataFrame, groups: DataFrame, by: Sequence[str], **end: float) -> DataFrame:
+    """Append the end point of a curve to every group; no score belongs to it."""
+    last = groups.select(
+        *by,
+        *[F.lit(value).alias(name) for name, value in end.items()],
+        F.lit(None).cast("double").alias("threshold"),
+    )
+    return points.unionByName(last)
+
+
 def roc_points(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
-    """ROC curve: (fpr, tpr) at every distinct score, and the origin.
-
-    The origin has no threshold: no score reaches it.
-    """
+    """ROC curve: (fpr, tpr) at every distinct score, and the origin."""
     totals = cumulative_counts(df, label, score, by, ranges)
-    sizes = F.col("_p").cast("double"), F.col("_n").cast("double")
-    whole = totals.groupBy(*by).agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
-    points = _attach(totals, whole, by).select(
-        *by,
-        (F.col("cum_n") / F.nullif(sizes[1], F.lit(0.0))).alias("fpr"),
-        (F.col("cum_p") / F.nullif(sizes[0], F.lit(0.0))).alias("tpr"),
-        F.col("score").alias("threshold"),
-    )
-    origin = whole.select(
+    sizes = _class_sizes(df, label, score, by)
+    points = _attach(totals, sizes, by).select(
         *by,
-        F.lit(0.0).alias("fpr"),
-        F.lit(0.0).alias("tpr"),
-        F.lit(None).cast("double").alias("threshold"),
+        ratio_or_null(F.col("cum_n"), F.col("_n")).alias("fpr"),
+        ratio_or_null(F.col("cum_p"), F.col("_p")).alias("tpr"),
+        F.col("score").cast("double").alias("threshold"),
     )
-    return points.unionByName(origin)
+    return _with_end(points, sizes, by, fpr=0.0, tpr=0.0)
 
 
 def pr_points(
@@ -155,20 +162,14 @@ def pr_points(
 ) -> DataFrame:
     """Precision and recall at every distinct score, and the final point (1, 0)."""
     totals = cumulative_counts(df, label, score, by, ranges)
-    whole = totals.groupBy(*by).agg(F.sum("p").alias("_p"))
-    points = _attach(totals, whole, by).select(
-        *by,
-        (F.col("cum_p").cast("double") / (F.col("cum_p") + F.col("cum_n"))).alias("precision"),
-        (F.col("cum_p") / F.nullif(F.col("_p").cast("double"), F.lit(0.0))).alias("recall"),
-        F.col("score").alias("threshold"),
-    )
-    final = whole.select(
+    sizes = _class_sizes(df, label, score, by)
+    points = _attach(totals, sizes, by).select(
         *by,
-        F.lit(1.0).alias("precision"),
-        F.lit(0.0).alias("recall"),
-        F.lit(None).cast("double").alias("threshold"),
+        ratio_or_null(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"),
+        ratio_or_null(F.col("cum_p"), F.col("_p")).alias("recall"),
+        F.col("score").cast("double").alias("threshold"),
     )
-    return points.unionByName(final)
+    return _with_end(points, sizes, by, precision=1.0, recall=0.0)
 
 
 def _attach(rows: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
