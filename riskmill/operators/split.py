@@ -215,3 +215,46 @@ def training_prefixes(
         for n in prefix_sizes(total - sizes.get(0, 0), shares)
     }
     return values_at_ranks(df, wanted)
+
+
+def prefix_counts(
+    df: DataFrame, fold: str, row_id: str, label: str, cuts: Mapping[tuple[int, int], object]
+) -> DataFrame:
+    """Rows, positives and last id of every training prefix ``(fold, n)``.
+
+    All cuts together divide the ids into segments. The table is aggregated once
+    by its own fold and segment, and each prefix adds up the segments below its
+    cut; a row is not repeated for the prefixes it belongs to.
+    """
+    edges = sorted(set(cuts.values()))
+    inside = F.filter(F.array(*[F.lit(edge) for edge in edges]), lambda e: e < F.col(row_id))
+    segments = (
+        df.groupBy(F.col(fold).alias("own"), F.size(inside).alias("segment"))
+        .agg(
+            F.count("*").alias("n"),
+            F.sum(F.col(label).cast("bigint")).alias("positives"),
+            F.max(row_id).alias("last_id"),
+        )
+    )
+    prefixes = F.array(
+        *[
+            F.struct(
+                F.lit(f).alias("fold"),
+                F.lit(size).cast("bigint").alias("train_size"),
+                F.lit(edges.index(cut)).alias("upto"),
+            )
+            for (f, size), cut in cuts.items()
+        ]
+    )
+    matching = F.filter(
+        prefixes, lambda p: (p["fold"] != F.col("own")) & (F.col("segment") <= p["upto"])
+    )
+    return (
+        segments.select("n", "positives", "last_id", F.inline(matching))
+        .groupBy("fold", "train_size")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("positives").alias("positives"),
+            F.max("last_id").alias("last_id"),
+        )
+    )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskmill.functions.durable import checkpoint_dir
-from riskmill.functions.numeric import count_where
 from riskmill.functions.risk import RISK_BANDS, is_at_risk, recommendation, risk_band
 from riskmill.operators import metrics, split
 from riskmill.plans import views
@@ -141,32 +140,7 @@ _PREFIX_SQL = f"""with {SQL_SCORED}, {_folds_sql('scored', 'y')},
 def learning_prefix(spark, sf_dir):
     folds = _scored_folds(spark, sf_dir)
     cuts = split.training_prefixes(folds, "fold", "unit_id", CURVE_SHARES)
-    inside = {
-        (fold, size): (F.col("fold") != fold) & (F.col("unit_id") <= cut)
-        for (fold, size), cut in cuts.items()
-    }
-    counted = folds.agg(
-        *[
-            column
-            for i, test in enumerate(inside.values())
-            for column in (
-                count_where(test).alias(f"n{i}"),
-                count_where(test & (F.col("y") == 1)).alias(f"p{i}"),
-                F.max(F.when(test, F.col("unit_id"))).alias(f"last{i}"),
-            )
-        ]
-    )
-    rows = [
-        F.struct(
-            F.lit(fold).alias("fold"),
-            F.lit(size).cast("bigint").alias("train_size"),
-            F.col(f"n{i}").alias("n"),
-            F.col(f"p{i}").alias("positives"),
-            F.col(f"last{i}").alias("last_id"),
-        )
-        for i, (fold, size) in enumerate(inside)
-    ]
-    return counted.select(F.inline(F.array(*rows)))
+    return split.prefix_counts(folds, "fold", "unit_id", "y", cuts)
 
 
 # --- metrics ---------------------------------------------------------------

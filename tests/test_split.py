@@ -100,6 +100,14 @@ def test_training_prefixes(rows):
         ids = sorted(r["row_id"] for r in local if r["fold"] != fold)
         assert cut == ids[min(size, len(ids)) - 1]
     assert len(cuts) == 9
+    marked = folds.withColumn("rare", (F.col("y") == "rare").cast("int"))
+    counted = split.prefix_counts(marked, "fold", "row_id", "rare", cuts).collect()
+    assert len(counted) == 9
+    for row in counted:
+        members = sorted((r["row_id"], r["y"]) for r in local if r["fold"] != row["fold"])
+        members = members[: row["train_size"]]
+        assert row["n"] == len(members) and row["last_id"] == members[-1][0]
+        assert row["positives"] == sum(y == "rare" for _, y in members)
 
 
 def test_saved_split_is_reused_only_if_it_fits(rows, tmp_path):
