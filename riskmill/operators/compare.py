@@ -23,6 +23,7 @@ from riskmill.operators.models import (
     GRIDS,
     MODELS,
     build_pipeline,
+    class_sizes,
     classifier,
     expand_grid,
     preprocessor,
@@ -116,8 +117,9 @@ def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Call
         )
         try:
             rows = features.where(F.col(training.fold) != holdout)
+            sizes = class_sizes(rows, training.label)
             tasks = [
-                lambda c=c: classifier(c.family, c.settings, training.label).fit(rows)
+                lambda c=c: classifier(c.family, c.settings, training.label).fit_sized(rows, sizes)
                 for c in candidates
             ]
             models = run_together(tasks, training.parallelism, features.sparkSession)

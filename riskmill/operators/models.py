@@ -21,7 +21,7 @@ from riskmill.functions.durable import take_bounded
 from riskmill.operators.stages import (
     MedianScaler,
     ModeImputer,
-    PriorClassifier,
+    PriorClassifierModel,
     RareOneHot,
     RowFeatures,
 )
@@ -88,20 +88,23 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         return {**DEFAULTS[family], **json.loads(self.getOrDefault(self.settings))}
 
     def _fit(self, dataset: DataFrame):
+        return self.fit_sized(dataset, class_sizes(dataset, self.getOrDefault(self.labelCol)))
+
+    def fit_sized(self, dataset: DataFrame, sizes: Mapping[float, int]):
+        """Fit on rows whose class sizes are already known.
+
+        Many candidates fitted on the same rows then count them only once.
+        """
         family, label = self.getOrDefault(self.family), self.getOrDefault(self.labelCol)
         if family not in MODELS:
             raise ValueError(f"unknown model: {family}")
+        total = sum(sizes.values())
         if family == "dummy_prior":
-            return PriorClassifier(labelCol=label).fit(dataset)
+            return PriorClassifierModel(prior=sizes.get(1.0, 0) / total)
 
         settings = self.parameters()
         columns = {"featuresCol": self.getOrDefault(self.featuresCol), "labelCol": label}
         rows = dataset.select(columns["featuresCol"], label)
-        sizes = {
-            row[label]: row["count"]
-            for row in take_bounded(rows.groupBy(label).count(), 2, "classes of a 0/1 label")
-        }
-        total = sum(sizes.values())
         if family.endswith("_balanced"):
             weight = F.lit(None).cast("double")
             for value, size in sizes.items():
@@ -142,6 +145,15 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         return estimator.fit(rows)
 
 
+def class_sizes(rows: DataFrame, label: str) -> dict[float, int]:
+    """Rows per value of a 0/1 label."""
+    counts = rows.where(F.col(label).isNotNull()).groupBy(label).count()
+    return {
+        float(row[label]): row["count"]
+        for row in take_bounded(counts, 2, "classes of a 0/1 label")
+    }
+
+
 def classifier(family: str, settings: Mapping | None = None, label: str = "label"):
     return TabularClassifier(
         family=family, settings=json.dumps(dict(settings or {})), labelCol=label

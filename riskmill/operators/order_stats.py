@@ -27,7 +27,7 @@ MAX_RANGES = 10_000
 def values_at_ranks(
     df: DataFrame,
     wanted: Mapping[Hashable, tuple[Column, int]],
-    bins: int = 1024,
+    bins: int = 4096,
 ) -> dict[Hashable, object]:
     """Value at a 0-based rank for several numeric expressions at once.
 
