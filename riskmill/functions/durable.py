@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,9 +23,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder")
-    folder = tempfile.mkdtemp(prefix="riskmill-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_folder(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix=f"riskmill-{application}-")
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -135,3 +135,19 @@ def test_intermediate_tables_use_the_session_folder(spark):
     df = durable.materialize(spark.range(5).toDF("x"), "five")
     assert folder == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert df.count() == 5 and all(folder in f for f in df.inputFiles())
+
+
+class Session:
+    """Only what the folder lookup asks a session for."""
+
+    def __init__(self, master, folder):
+        self.conf = {durable.CHECKPOINT_CONF: folder}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+
+def test_checkpoint_folder_of_local_and_cluster_sessions():
+    assert durable.checkpoint_dir(Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError, match="shared folder"):
+        durable.checkpoint_dir(Session("yarn", None))
+    local = durable.checkpoint_dir(Session("local[8]", None))
+    assert os.path.isdir(local) and local == durable.checkpoint_dir(Session("local[8]", ""))
