@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmill.llm import simhash
+from riskmill.llm import byte_bpe, ranked_ids, secrets, simhash, token_counts, warc
 from riskmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file; the package lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str):
     def add(function):
         QUERIES[name] = function
@@ -24,3 +31,31 @@ def query(name: str):
 @query("op1_simhash_near_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ranked_token_files")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_ids.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op4_token_counts")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op7_warc_round_trip")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op10_secret_scans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
+SQL["op10_secret_scans"] = secrets.report_sql()

@@ -79,13 +79,18 @@ def test_components_of_a_chain(spark):
     assert all(roots[i] == 0 for i in range(501)) and roots[700] == roots[800] == 700
 
 
-def jaccard(a: str, b: str) -> float:
-    cut = lambda t: {tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
-    return len(cut(a) & cut(b)) / len(cut(a) | cut(b))
+def shingles(text: str) -> set:
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a: set, b: set) -> float:
+    return len(a & b) / len(a | b)
 
 
 def test_near_groups_follow_jaccard(spark, small):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    texts = {i: shingles(t) for i, t in texts.items()}
     docs = spark.read.parquet(f"{small}/documents.parquet")
     group = {r.doc_id: r.group_id for r in simhash.near_groups(docs).collect()}
     assert set(group) == set(texts)
