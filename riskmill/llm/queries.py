@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmill.llm import byte_bpe, ranked_ids, secrets, simhash, token_counts, warc
+from riskmill.llm import byte_bpe, minhash, ranked_ids, secrets, simhash, token_counts, warc
 from riskmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op8_minhash_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.edited_report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_secret_scans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))

@@ -230,8 +230,8 @@ def _span_sql(rule: Rule, order: int) -> str:
     pattern = rule.pattern.replace("'", "''").replace(r"\x20", " ")
     return f"""
     select doc_id, {order} as place, '{rule.kind}' as kind,
-      (coalesce(list_sum(list_transform(gaps[1:i], x -> length(x))), 0)
-        + coalesce(list_sum(list_transform(hits[1:i - 1], x -> length(x))), 0))::bigint as s, length(hits[i]) as n
+      (coalesce(list_sum(list_transform(gaps[1:i], lambda x: length(x))), 0)
+        + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))::bigint as s, length(hits[i]) as n
     from (select doc_id, gaps, hits, vals, unnest(range(1, len(hits) + 1)) as i
           from (select doc_id, string_split_regex(t, '{pattern}') as gaps, regexp_extract_all(t, '{pattern}') as hits,
                   regexp_extract_all(t, '{pattern}', {rule.group}) as vals
