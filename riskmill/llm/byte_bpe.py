@@ -66,6 +66,7 @@ class ByteBpe:
         self.piece_start = np.cumsum(self.piece_size) - self.piece_size
         self.pieces = np.frombuffer(b"".join(raw), np.uint8)
         self.specials = specials
+        self.decimal = [b",%d" % i for i in range(len(raw))]
         self.find_words = regex.compile(PATTERN).findall
         ordered = sorted(specials, key=len, reverse=True)
         self.cut_specials = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")").split if ordered else None
@@ -75,8 +76,8 @@ class ByteBpe:
     def _raw(token: str, back: dict[str, int]) -> bytes:
         return bytes(back[c] for c in token) if all(c in back for c in token) else token.encode()
 
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of every word (at least one byte each), each merged on its own."""
+    def merge_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words (at least one byte each), each merged on its own, and where each word's end."""
         sizes = np.array([len(w) for w in words], np.int64)
         symbols = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         word = np.repeat(np.arange(len(words)), sizes)
@@ -105,19 +106,24 @@ class ByteBpe:
             symbols, word = symbols[keep], word[keep]
         symbols, word = np.concatenate(done_symbols), np.concatenate(done_words)
         order = np.argsort(word, kind="stable")
-        counts = np.bincount(word, minlength=len(words))
-        return np.split(symbols[order], np.cumsum(counts)[:-1])
+        return symbols[order], np.cumsum(np.bincount(word, minlength=len(words)))
 
     def _learn(self, chunks: list[str]) -> None:
         cut = [self.find_words(c) for c in chunks]
         words = list(set().union(*cut))
-        ids: dict[str, np.ndarray] = {}
+        made: dict[str, tuple[bytes, bytes]] = {}
         for part in batched(words, 2_000_000):
             some = words[part]
-            ids.update(zip(some, self.merge_words([w.encode() for w in some]) if some else []))
+            flat, ends = self.merge_words([w.encode() for w in some])
+            raw, decimal, start = flat.astype("<u4").tobytes(), [self.decimal[i] for i in flat.tolist()], 0
+            for word, end in zip(some, ends.tolist()):
+                made[word] = raw[4 * start : 4 * end], b"".join(decimal[start:end])
+                start = end
         for chunk, found in zip(chunks, cut):
-            flat = np.concatenate([ids[w] for w in found])
-            self.known[chunk] = flat.astype("<u4").tobytes(), b"".join(b",%d" % i for i in flat.tolist())
+            if len(found) == 1:
+                self.known[chunk] = made[found[0]]
+            else:
+                self.known[chunk] = b"".join([made[w][0] for w in found]), b"".join([made[w][1] for w in found])
 
     def _chunks(self, text: str) -> list[str]:
         if self.cut_specials is None or not any(s in text for s in self.specials):
@@ -135,7 +141,7 @@ class ByteBpe:
             self.known.clear()
         for name, i in self.specials.items():
             self.known[name] = np.array([i], "<u4").tobytes(), b",%d" % i
-        fresh = list(wanted - self.known.keys())
+        fresh = [c for c in wanted if c not in self.known]
         if fresh:
             self._learn(fresh)
         out = []

@@ -1,14 +1,19 @@
-"""Tokenizing by white-space chunks, each distinct chunk once per task."""
+"""Tokenizing by white-space chunks, each distinct chunk once."""
 
 from __future__ import annotations
 
 import re
 from functools import lru_cache
+from unicodedata import normalize
 
 import numpy as np
 
 #: White space as the tokenizers' patterns see it (the Unicode property).
 SPACE = "\t-\r \x85\xa0  -     　"
+#: White space for Python, but not for the tokenizers.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Marks that often follow a word.
+ENDING = frozenset(".,!?;:")
 #: Chunks kept per Python worker; the store is emptied when it is full.
 MAX_CHUNKS = 400_000
 
@@ -18,6 +23,8 @@ _find_pieces = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").
 
 def words_of(text: str) -> list[str]:
     """Maximal runs without white space, for tokenizers that drop white space."""
+    if not any(c in text for c in SEPARATORS):
+        return text.split()
     return [w for w in _split_words(text) if w]
 
 
@@ -37,39 +44,76 @@ def _tokenizer(path: str, plain_specials: bool):
     return tokenizer
 
 
-class ChunkEncoder:
-    """Texts to little-endian ids, equal to encoding each whole text.
+def _plain_letters(word: str) -> bool:
+    """Whether normalizing and lower-casing leave one run of letters."""
+    return word.isalpha() and (word.isascii() or normalize("NFC", word).lower().isalpha())
 
-    Both public tokenizers used here never join characters across the cuts that
-    ``words_of`` (white space is dropped) and ``pieces_of`` (byte level) make.
+
+class WordEncoder:
+    """Texts to little-endian uint16 ids with a tokenizer that drops white space and marks word ends.
+
+    Equal to encoding each whole text: white space separates words for such a tokenizer, and
+    it closes every word with a token whose name ends in ``</w>``. So many distinct words are
+    encoded as one text, and the ids are cut at the closing tokens. A word of letters
+    with one punctuation mark behind it is put together from both.
     """
 
-    def __init__(self, path: str, cut, plain_specials: bool = False, kind: str = "<u2"):
-        self.path, self.cut, self.plain, self.kind = path, cut, plain_specials, kind
+    def __init__(self, path: str, plain_specials: bool = False):
+        self.tokenizer = _tokenizer(path, plain_specials)
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closing = np.zeros(max(names.values()) + 1, bool)
+        self.closing[[i for t, i in names.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
+    def _learn(self, words: list[str]) -> None:
+        simple, other = [], []
+        for word in words:
+            (simple if _plain_letters(word) else other).append(word)
+        for at in range(0, len(simple), 2000):
+            part = simple[at : at + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u2")
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) != len(part):  # a letter that the tokenizer's tables do not know
+                other.extend(part)
+                continue
+            raw, ends = ids.tobytes(), (2 * ends).tolist()
+            self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u2").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [self.cut(t) for t in texts]
-        fresh = list(set().union(*cuts) - self.known.keys())
-        if len(self.known) + len(fresh) > MAX_CHUNKS:
+        cuts = [words_of(t) for t in texts]
+        if len(self.known) > MAX_CHUNKS:
             self.known.clear()
-            fresh = list(set().union(*cuts))
-        tokenizer = _tokenizer(self.path, self.plain)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for chunk, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, self.kind).tobytes()
-        get = self.known.__getitem__
+        fresh = [w for w in set().union(*cuts) if w not in self.known]
+        stems, made = set(), []
+        for word in fresh:
+            stem, mark = word[:-1], word[-1]
+            if mark in ENDING and stem.isalpha():
+                low = stem.lower() if stem.isascii() else stem
+                made.append((word, low, mark))
+                stems.add(low)
+            elif word.isalpha() and word.isascii():
+                made.append((word, word.lower(), ""))
+                stems.add(word.lower())
+            else:
+                stems.add(word)
+        self._learn([w for w in stems | ENDING if w not in self.known])
+        known = self.known
+        known[""] = b""
+        for word, stem, mark in made:
+            known[word] = known[stem] + known[mark]
+        get = known.__getitem__
         return [b"".join(map(get, c)) for c in cuts]
 
 
 @lru_cache
-def encoder(path: str, byte_level: bool, plain_specials: bool = False) -> ChunkEncoder:
+def word_encoder(path: str, plain_specials: bool = False) -> WordEncoder:
     """One encoder per Python worker and tokenizer file."""
-    return ChunkEncoder(path, pieces_of if byte_level else words_of, plain_specials)
+    return WordEncoder(path, plain_specials)
 
 
-def batched(texts: list[str], most: int = 4_000_000):
+def batched(texts: list[str], most: int = 2_000_000):
     """Slices of ``texts`` of about ``most`` characters, so that long texts come alone."""
     start, size = 0, 0
     for i, text in enumerate(texts):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmill.llm import byte_bpe, minhash, ranked_ids, secrets, simhash, token_counts, warc
+from riskmill.llm import byte_bpe, decontamination, minhash, page_text, ranked_ids, secrets, simhash, token_counts, toxicity, warc
 from riskmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,9 +38,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_ids.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op4_token_counts")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 @query("op5_byte_bpe")
@@ -48,6 +53,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op6_page_text")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query("op7_warc_round_trip")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
@@ -58,6 +68,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.edited_report(table(spark, sf_dir, "documents"))
 
 
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op10_secret_scans")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskmill.functions.durable import take_bounded
-from riskmill.llm.chunks import batched, encoder
+from riskmill.llm.chunks import batched, word_encoder
 from riskmill.llm.common import materialize, new_folder, plain, read_blobs, running_start, write_blobs
 
 MAGIC = b"FRV1"
@@ -71,7 +71,7 @@ def _encode(path: str, end_id: int):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for cut in batched(texts):
-                ids = [x + tail for x in encoder(path, False).encode(texts[cut])]
+                ids = [x + tail for x in word_encoder(path).encode(texts[cut])]
                 docs = batch.column(0).slice(cut.start, len(ids))
                 yield pa.RecordBatch.from_arrays([docs, pa.array(ids, pa.binary())], ["doc_id", "ids"])
 

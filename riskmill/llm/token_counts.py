@@ -15,35 +15,48 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from riskmill.llm.chunks import batched, encoder
-from riskmill.llm.common import materialize, new_folder, plain, read_blobs, running_start, write_blobs
+from riskmill.llm.chunks import batched, word_encoder
+from riskmill.llm.common import materialize, new_folder, plain, read_blobs, write_blobs
 
-END_ID = 50256
+END_ID = 49407
 #: Ids searched at once.
 BLOCK_IDS = 1 << 20
 DOCS_PER_FILE = 20_000
 
 
 def write_flat(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None:
-    """Texts of ``docs`` (doc_id, text) as flat files in ascending doc_id order.
+    """Texts of ``docs`` (doc_id, text) as flat files, in the order of its partitions.
 
-    Null texts are empty, equal doc_ids follow each other by text. Special strings in a text are ordinary text,
-    so ``end_id`` never occurs inside a document. Files are named in document order.
+    Null texts are empty. Special strings in a text are ordinary text, so ``end_id`` never occurs inside a
+    document. File names tell the partition and count up within it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for cut in batched(texts):
-                ids = encoder(path, True, True).encode(texts[cut])
+                ids = word_encoder(path, True).encode(texts[cut])
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
 
-    ordered = _ordered(docs)
-    write_blobs(ordered.mapInArrow(run, "ids binary"), "ids", end_id.to_bytes(2, "little"), folder, DOCS_PER_FILE)
+    rows = plain(docs, "doc_id", "text").mapInArrow(run, "ids binary")
+    write_blobs(rows, "ids", end_id.to_bytes(2, "little"), folder, DOCS_PER_FILE)
 
 
-def _ordered(docs: DataFrame) -> DataFrame:
-    return plain(docs, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+def places(docs: DataFrame) -> DataFrame:
+    """(doc_id, part, place): where ``write_flat`` puts every row. It reads ``docs`` just as the writer does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            many = batch.num_rows
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(np.full(many, part, np.int32)), pa.array(np.arange(at, at + many))],
+                ["doc_id", "part", "place"],
+            )
+            at += many
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return plain(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, part int, place bigint")
 
 
 def scan_counts(spark: SparkSession, folder: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> DataFrame:
@@ -87,39 +100,24 @@ def scan_counts(spark: SparkSession, folder: str, end_id: int = END_ID, block_id
 
 
 def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ordinal, start, n_tokens) for every document, from flat files written for it.
+    """(doc_id, part, start, n_tokens) for every row of ``docs``, from flat files written for it.
 
-    ``ordinal`` is the document's place in the corpus by doc_id, ``start`` the ids and
-    separators before it. Files know no doc_id: the k-th separator belongs to the k-th
-    document, so both sides are numbered per file or partition and joined on the number.
+    ``start`` counts the ids and separators before the document in its partition's files. Files
+    know no doc_id: the k-th separator of a partition belongs to its k-th row. ``docs`` must
+    read the same way twice, as stored tables do; if a partition's rows and separators differ in
+    number, the query fails.
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "flat-ids")
     write_flat(docs, folder, path)
     found = materialize(scan_counts(spark, folder), "counts")
     sizes = found.groupBy("path").agg(F.count("place").alias("n"), F.sum(F.col("n_tokens") + 1).alias("ids"))
-    starts = running_start(running_start(sizes, ["path"], "n", "docs"), ["path"], "ids", "ids_before")
+    sizes = sizes.withColumn("part", F.regexp_extract("path", r"^part-(\d+)", 1).cast("int"))
+    before = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("path", "part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "ids")))
     placed = found.join(starts, "path").select(
-        (F.col("docs") + F.col("place")).alias("ordinal"), (F.col("ids_before") + F.col("start")).alias("start"),
-        "n_tokens")
-    return numbered(docs).join(placed, "ordinal").select("doc_id", "ordinal", "start", "n_tokens")
-
-
-def numbered(docs: DataFrame) -> DataFrame:
-    """(ordinal, doc_id): rank of every row by doc_id from 0, without one task for all rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            many = batch.num_rows
-            places = pa.array(np.arange(at, at + many))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(many, part, np.int32)), places], ["doc_id", "part", "place"]
-            )
-            at += many
-
-    kind = dict(docs.dtypes)["doc_id"]
-    order = plain(docs, "doc_id").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    rows = materialize(order.mapInArrow(run, f"doc_id {kind}, part int, place bigint"), "numbered")
-    before = running_start(rows.groupBy("part").agg(F.count("*").alias("n")), ["part"], "n", "before")
-    return rows.join(F.broadcast(before), "part").select((F.col("before") + F.col("place")).alias("ordinal"), "doc_id")
+        "part", (F.col("n_before") + F.col("place")).alias("place"), (F.col("ids_before") + F.col("start")).alias("start"), "n_tokens")
+    both = materialize(places(docs), "places").join(placed, ["part", "place"], "full")
+    whole = F.col("doc_id").isNotNull() | F.col("n_tokens").isNotNull()
+    known = F.when(F.col("n_tokens").isNull(), F.raise_error(F.lit("flat files and documents differ")).cast("long"))
+    return both.filter(whole).select("doc_id", "part", "start", F.coalesce(F.col("n_tokens"), known).alias("n_tokens"))

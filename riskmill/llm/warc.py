@@ -216,16 +216,32 @@ def _digest_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist([closed()], schema)
 
 
+def _close_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Check the records of one chunk where they are and let go of their bytes."""
+    for batch in batches:
+        rows = batch.to_pylist()
+        for row in rows:
+            if row["parts"] != 1:
+                continue
+            if row["record_type"] == "response" and (
+                hashlib.sha256(row["raw"]).hexdigest() != row["digest"] or len(row["raw"]) != row["size"]
+            ):
+                raise ValueError(f"record {row['record_id']} differs from its digest")
+            row["raw"] = None
+        yield pa.RecordBatch.from_pylist(rows, CHUNKS)
+
+
 def read_records(spark: SparkSession, folder: str, chunk: int = CHUNK, segment: int = SEGMENT) -> DataFrame:
     """One row per record of the archives, payload length and digest from the payload itself.
 
     A revisit has no block; its length and digest are those of its header. Records of one
-    chunk are digested where they were read. Only chunks of larger records are
+    chunk are digested where they were read. Only chunks of larger records are kept,
     dealt out by record and sorted, and their digests run over the chunks in order. A
     missing chunk or a digest that differs is an error.
     """
-    chunks = materialize(read_chunks(spark, folder, chunk, segment), "chunks")
-    single = chunks.filter("parts = 1").mapInArrow(_digest_run, RECORDS_DDL)
+    chunks = materialize(read_chunks(spark, folder, chunk, segment).mapInArrow(_close_small, CHUNKS_DDL), "chunks")
+    single = chunks.filter("parts = 1").select(
+        "page_id", F.col("size").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to")
     many = chunks.filter("parts = 0").repartition("record_id").sortWithinPartitions("record_id", "chunk_no")
     return single.union(many.mapInArrow(_digest_run, RECORDS_DDL))
 

@@ -46,7 +46,7 @@ def test_odd_texts(spark):
         wanted.append((i, count("assign"), count("access"), count("hex"), hashlib.sha256(joined.encode()).hexdigest()))
     assert sorted((tuple(r)[:5] for r in out), key=repr) == sorted(wanted, key=repr)
     spans = {r.doc_id: r.spans for r in out}
-    assert spans[13].startswith("private_key:0:") and spans[14] == "git_token:0:44" and spans[15] == "chat_token:0:17"
+    assert spans[13].startswith("private_key:0:") and spans[14] == "git_token:0:44,hex:4:44" and spans[15] == "chat_token:0:17"
     assert spans[16].startswith("web_token:0:")
     assert secrets.secret_report(docs.limit(0)).count() == 0
 

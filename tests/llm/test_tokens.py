@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from riskmill.llm import byte_bpe, ranked_ids, token_counts
+from riskmill.llm import byte_bpe, chunks, ranked_ids, token_counts
 from riskmill.llm.common import new_folder
 from riskmill.llm.queries import QUERIES
 
@@ -110,36 +110,40 @@ def test_token_files_odd_rows(spark):
         ranked_ids.round_trip(spark.createDataFrame([(None, "a")], "doc_id bigint, text string"), WORD)
 
 
-def counted(texts: dict[int, str]) -> list[tuple]:
-    rows, start = [], 0
-    for n, ((doc, _), ids) in enumerate(zip(texts.items(), library(BYTE, list(texts.values()), plain=True))):
-        rows.append((doc, n, start, len(ids)))
-        start += len(ids) + 1
-    return rows
+def test_word_encoder_equals_library():
+    texts = odd_texts(3000) + ["The the, THE. don't l'été. ÉTÉ, x1, a.b. ǅ. ß, ﬁn. Straße! 日本. e\u0301. e\u0301t, ΑΣ. ΑΣ,"]
+    for plain in (False, True):
+        got = chunks.WordEncoder(WORD, plain).encode(texts)
+        assert [np.frombuffer(g, "<u2").tolist() for g in got] == library(WORD, texts, plain)
 
 
 def test_token_counts_query(spark, small, texts):
-    got = QUERIES["op4_token_counts"](spark, small).orderBy("doc_id").collect()
-    assert [tuple(r) for r in got] == counted(texts)
+    got = QUERIES["op4_token_counts"](spark, small).collect()
+    wanted = {i: len(w) for i, w in zip(texts, library(WORD, list(texts.values()), plain=True))}
+    assert {r.doc_id: r.n_tokens for r in got} == wanted and len(got) == len(wanted)
+    starts = sorted((r.part, r.start, r.n_tokens) for r in got)
+    for (part, start, size), (other, following, _) in zip(starts, starts[1:]):
+        assert following == (start + size + 1 if part == other else 0)
 
 
 def test_scan_stitches_blocks(spark, monkeypatch):
-    texts = dict(enumerate(odd_texts(80)))
-    docs = spark.createDataFrame([(i, t or None, "x") for i, t in texts.items()], "doc_id bigint, text string, start string")
+    monkeypatch.setattr(token_counts, "DOCS_PER_FILE", 7)
+    texts = odd_texts(80)
+    docs = spark.createDataFrame([(i, t or None, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, start string")
     folder = new_folder(spark, "test-flat")
-    token_counts.write_flat(docs.coalesce(1), folder, BYTE)
-    wanted = counted(texts)
+    token_counts.write_flat(docs.coalesce(1), folder, WORD)
+    wanted = [len(w) for w in library(WORD, texts, plain=True)]
     for block in (1, 7, 1 << 20):
         found = token_counts.scan_counts(spark, folder, block_ids=block).orderBy("path", "place").collect()
-        assert [r.n_tokens for r in found] == [w[3] for w in wanted]
-    assert token_counts.token_counts(docs.limit(0), BYTE).count() == 0
-    same = spark.createDataFrame([(1, "a b"), (1, "a b"), (0, None)], "doc_id bigint, text string")
-    assert sorted((r.doc_id, r.ordinal, r.n_tokens) for r in token_counts.token_counts(same, BYTE).collect()) == [
-        (0, 0, 0), (1, 1, 2), (1, 2, 2)]
+        assert [r.n_tokens for r in found] == wanted
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, WORD).collect()} == dict(enumerate(wanted))
+    assert token_counts.token_counts(docs.limit(0), WORD).count() == 0
+    same = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id bigint, text string")
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.token_counts(same, WORD).collect()) == [(0, 0), (1, 2), (1, 2)]
 
 
 def test_unfinished_document_is_reported(spark, tmp_path):
-    ids = np.array([5, 6, 50256, 7], "<u2")
+    ids = np.array([5, 6, 49407, 7], "<u2")
     (tmp_path / "part-0").write_bytes(ids.tobytes())
     found = token_counts.scan_counts(spark, str(tmp_path), block_ids=2).collect()
     assert sorted((r.place is None, r.start, r.n_tokens) for r in found) == [(False, 0, 2), (True, 3, 1)]
