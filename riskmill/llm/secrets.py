@@ -216,6 +216,8 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with secrets in ``text`` replaced; all columns and rows stay, a text without secrets as it was.
 
+    A column ``n_chars`` is brought up to the new length of a changed text.
+
     Only changed texts are joined back, by doc_id and the text's digest, so repeated ids keep their own texts.
     """
     found = materialize(find_secrets(docs).filter(F.size("secrets") > 0), "secrets")
@@ -223,6 +225,9 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
                            redacted(F.col("text"), F.col("secrets")).alias("_clean")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text_or_empty(), 256) == F.col("_mark"))
     joined = docs.join(changed, same, "left").withColumn("text", F.coalesce("_clean", "text"))
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
+        joined = joined.withColumn("n_chars", F.when(F.col("_clean").isNotNull(), size).otherwise(F.col("n_chars")))
     return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
