@@ -211,10 +211,17 @@ def tune_model(
     return pipeline.fit(training.rows), best
 
 
+def split_side(df: DataFrame, split: DataFrame, row_id: str, part: str) -> DataFrame:
+    """Rows of one side of a saved split, labelled or not."""
+    ids = split.where(F.col("part") == part).select(row_id)
+    return df.join(ids, row_id, "left_semi")
+
+
 def compare_models(
     df: DataFrame,
     spec: TableSpec,
     row_id: str,
+    split: DataFrame,
     scenarios: Sequence[str] | None = None,
     models: Sequence[str] = MODELS,
     targets: Mapping[str, str] = TARGETS,
@@ -228,9 +235,11 @@ def compare_models(
 ) -> DataFrame:
     """Result table of all models over scenarios, targets and stages.
 
-    The first target is also tuned. ``settings`` overrides default parameters per
-    model, for both stages.
+    ``split`` (row id, part) is the frozen split; only its training side is read, so that
+    no test row takes part in a choice. The first target is also tuned. ``settings``
+    overrides default parameters per model, for both stages.
     """
+    df = split_side(df, split, row_id, "train")
     settings = settings or {}
     parts = []
     for position, (target_name, target) in enumerate(targets.items()):

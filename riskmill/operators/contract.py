@@ -7,10 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from riskmill.functions.durable import take_bounded
 from riskmill.functions.numeric import column_as_double, count_where
 from riskmill.spec import FieldRule
 
 
+#: Distinct values of a class column beyond which it is no class column.
+MAX_CLASSES = 100_000
+
+
 class SchemaError(ValueError):
     """A table lacks required columns or holds classes outside the contract."""
 
@@ -23,9 +28,18 @@ class SchemaReport:
     missing_columns: list[str]
     unexpected_columns: list[str]
     dtypes: dict[str, str]
-    has_unexpected_classes: bool
+    unexpected_classes: dict[str, int]
     class_counts: DataFrame | None
 
+    @property
+    def has_unexpected_classes(self) -> bool:
+        return bool(self.unexpected_classes)
+
+    def as_dict(self) -> dict:
+        """All of the report but the counts table, ready for JSON."""
+        plain = {k: v for k, v in vars(self).items() if k != "class_counts"}
+        return {**plain, "has_unexpected_classes": self.has_unexpected_classes}
+
 
 def column_differences(
     actual: Sequence[str], expected: Sequence[str]
@@ -87,12 +101,13 @@ def validate_schema(
     if raise_on_missing and missing:
         raise SchemaError(f"missing columns: {', '.join(missing)}")
 
-    counts, strange = None, []
+    counts, strange = None, {}
     if target in df.columns:
         counts = class_counts(df, target)
-        strange = unexpected_classes(df, target, classes).take(10)
+        found = take_bounded(unexpected_classes(df, target, classes), MAX_CLASSES, f"classes in {target}")
+        strange = {row["class"]: row["n_rows"] for row in sorted(found, key=lambda r: r["class"])}
         if raise_on_missing and strange:
-            names = ", ".join(row["class"] for row in strange)
+            names = ", ".join(strange)
             raise SchemaError(f"unexpected classes in {target}: {names}")
 
     return SchemaReport(
@@ -102,7 +117,7 @@ def validate_schema(
         missing_columns=missing,
         unexpected_columns=unexpected,
         dtypes=dict(df.dtypes),
-        has_unexpected_classes=bool(strange),
+        unexpected_classes=strange,
         class_counts=counts,
     )
 

@@ -2,41 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.functions.numeric import column_as_double, safe_ratio, shortfall
 from riskmill.spec import FeatureRoles
 
 
+@dataclass(frozen=True)
+class Feature:
+    """A derived column: the role of its name, the roles it needs, its formula over them."""
+
+    name: str
+    needs: tuple[str, ...]
+    formula: Callable[..., Column]
+
+
+def _or_zero(value: Column) -> Column:
+    return F.coalesce(value, F.lit(0.0))
+
+
+def _ratio(top: Column, bottom: Column) -> Column:
+    return safe_ratio(top, bottom)
+
+
+def _ratio_change(top_1: Column, bottom_1: Column, top_2: Column, bottom_2: Column) -> Column:
+    return safe_ratio(top_2, bottom_2) - safe_ratio(top_1, bottom_1)
+
+
+#: Formulas are fixed values; the order is that of the new columns.
+FEATURES = (
+    Feature("approval_rate_1", ("approved_1", "enrolled_1"), _ratio),
+    Feature("not_approved_1", ("approved_1", "enrolled_1"), shortfall),
+    Feature("evaluation_ratio_1", ("evaluations_1", "enrolled_1"), _ratio),
+    Feature("approval_rate_2", ("approved_2", "enrolled_2"), _ratio),
+    Feature("not_approved_2", ("approved_2", "enrolled_2"), shortfall),
+    Feature("approval_rate_change", ("approved_1", "enrolled_1", "approved_2", "enrolled_2"), _ratio_change),
+    Feature("grade_change", ("grade_1", "grade_2"), lambda first, second: _or_zero(second - first)),
+    Feature(
+        "no_evaluation_total",
+        ("no_evaluation_1", "no_evaluation_2"),
+        lambda first, second: _or_zero(first) + _or_zero(second),
+    ),
+)
+
+
+def possible_features(columns: Sequence[str], roles: FeatureRoles) -> list[Feature]:
+    """Features whose source columns are all among ``columns``."""
+    have = set(columns)
+    return [f for f in FEATURES if all(getattr(roles, role) in have for role in f.needs)]
+
+
+def feature_names(columns: Sequence[str], roles: FeatureRoles) -> list[str]:
+    """Names of the columns that ``derive_features`` adds to ``columns``."""
+    return [getattr(roles, f.name) for f in possible_features(columns, roles)]
+
+
 def derive_features(df: DataFrame, roles: FeatureRoles) -> DataFrame:
     """Add the derived columns whose source columns exist.
 
     Every formula reads its own row only, so nothing can leak between the rows of
     a training and a test part.
     """
-    have = set(df.columns)
-    number = lambda name: column_as_double(df, name)
-    or_zero = lambda value: F.coalesce(value, F.lit(0.0))
-    new = {}
-
-    if {roles.enrolled_1, roles.approved_1} <= have:
-        approved, enrolled = number(roles.approved_1), number(roles.enrolled_1)
-        new[roles.approval_rate_1] = safe_ratio(approved, enrolled)
-        new[roles.not_approved_1] = shortfall(approved, enrolled)
-    if {roles.enrolled_1, roles.evaluations_1} <= have:
-        new[roles.evaluation_ratio_1] = safe_ratio(
-            number(roles.evaluations_1), number(roles.enrolled_1)
-        )
-    if {roles.enrolled_2, roles.approved_2} <= have:
-        approved, enrolled = number(roles.approved_2), number(roles.enrolled_2)
-        new[roles.approval_rate_2] = safe_ratio(approved, enrolled)
-        new[roles.not_approved_2] = shortfall(approved, enrolled)
-    if {roles.approval_rate_1, roles.approval_rate_2} <= set(new):
-        new[roles.approval_rate_change] = new[roles.approval_rate_2] - new[roles.approval_rate_1]
-    if {roles.grade_1, roles.grade_2} <= have:
-        new[roles.grade_change] = or_zero(number(roles.grade_2) - number(roles.grade_1))
-    if {roles.no_evaluation_1, roles.no_evaluation_2} <= have:
-        new[roles.no_evaluation_total] = or_zero(number(roles.no_evaluation_1)) + or_zero(
-            number(roles.no_evaluation_2)
-        )
+    new = {
+        getattr(roles, f.name): f.formula(*(column_as_double(df, getattr(roles, r)) for r in f.needs))
+        for f in possible_features(df.columns, roles)
+    }
     return df.withColumns(new) if new else df

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskmill.functions.numeric import count_where, ratio_or_null, ratio_or_zero
+from riskmill.functions.numeric import count_where, missing_if_nan, ratio_or_null, ratio_or_zero
 from riskmill.operators.order_stats import range_splits, running_totals
 from riskmill.spec import METRICS, THRESHOLDS
 
@@ -34,6 +34,11 @@ def _with_rates(counts: DataFrame, keep: Sequence[str]) -> DataFrame:
     return counts.select(*keep, *[rate.alias(name) for name, rate in rates.items()], *cells)
 
 
+def present_score(score: str) -> Column:
+    """The score as a number; NaN and null are one missing value."""
+    return missing_if_nan(F.col(score).cast("double"))
+
+
 def confusion_counts(
     df: DataFrame, label: str, predicted: Column, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -50,8 +55,8 @@ def confusion_counts(
 def confusion_at(
     df: DataFrame, label: str, score: str, threshold: float, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Confusion counts for the rule ``score >= threshold``."""
-    predicted = (F.col(score) >= F.lit(float(threshold))).cast("int")
+    """Confusion counts for the rule ``score >= threshold``; missing scores are not counted."""
+    predicted = (present_score(score) >= F.lit(float(threshold))).cast("int")
     return confusion_counts(df, label, predicted, by)
 
 
@@ -79,10 +84,10 @@ def confusion_shares(df: DataFrame, label: str, score: str, threshold: float) ->
 
 def _per_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Positives and negatives per distinct score: the hot values are merged here."""
-    y = F.col(label)
+    y, s = F.col(label), present_score(score)
     return (
-        df.where(F.col(score).isNotNull() & y.isNotNull())
-        .groupBy(*by, F.col(score).alias("score"))
+        df.where(s.isNotNull() & y.isNotNull())
+        .groupBy(*by, s.alias("score"))
         .agg(count_where(y == 1).alias("p"), count_where(y == 0).alias("n"))
     )
 
@@ -91,7 +96,7 @@ def cumulative_counts(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Per distinct score: p, n and the counts cum_p, cum_n of scores at least as high."""
-    splits = range_splits(df.select(F.col(score).cast("double").alias("s")), "s", ranges)
+    splits = range_splits(df.select(present_score(score).alias("s")), "s", ranges)
     per_score = _per_score(df, label, score, by)
     return running_totals(per_score, "score", ("p", "n"), by, splits)
 
@@ -127,7 +132,7 @@ def rank_metrics(
 
 def _class_sizes(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     y = F.col(label)
-    return df.where(F.col(score).isNotNull() & y.isNotNull()).groupBy(*by).agg(
+    return df.where(present_score(score).isNotNull() & y.isNotNull()).groupBy(*by).agg(
         count_where(y == 1).alias("_p"), count_where(y == 0).alias("_n")
     )
 
@@ -196,7 +201,7 @@ def threshold_table(
     table is read once; rows are not multiplied. AUC does not depend on the
     threshold and is computed once.
     """
-    y, s = F.col(label), F.col(score)
+    y, s = F.col(label), present_score(score)
     aggregates = [count_where(y == 1).alias("_p"), count_where(y == 0).alias("_n")]
     for i, threshold in enumerate(thresholds):
         reached = s >= F.lit(float(threshold))

@@ -74,6 +74,9 @@ def prepare_table(
         "random_state": F.lit(SEED),
         "n_rows_raw": F.lit(schema.n_rows),
         "n_cols_raw": F.lit(schema.n_cols),
+        "schema_ok": F.lit(schema.ok),
+        "missing_columns": F.lit(schema.missing_columns).cast("array<string>"),
+        "unexpected_classes": F.lit(list(schema.unexpected_classes)).cast("array<string>"),
         "unexpected_columns": F.lit(schema.unexpected_columns).cast("array<string>"),
         "columns": F.array(*[F.lit(c) for c in table.columns]),
         "dtypes": F.array(*[F.lit(kind) for _, kind in table.dtypes]),

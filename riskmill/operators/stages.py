@@ -24,7 +24,7 @@ from riskmill.functions.durable import (
     take_bounded,
 )
 from riskmill.functions.numeric import column_as_double
-from riskmill.operators.features import derive_features
+from riskmill.operators.features import derive_features, feature_names
 from riskmill.operators.order_stats import SMALL_DISTINCT, quantiles_and_aggregates
 from riskmill.spec import MIN_FREQUENCY, FeatureRoles
 
@@ -74,20 +74,7 @@ class RowFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def output_names(self, columns: Sequence[str]) -> list[str]:
         """Column names after the stage, given the names before it."""
         roles = FeatureRoles(**json.loads(self.getOrDefault(self.roles)))
-        have = set(columns)
-        sources = {
-            roles.approval_rate_1: {roles.enrolled_1, roles.approved_1},
-            roles.not_approved_1: {roles.enrolled_1, roles.approved_1},
-            roles.evaluation_ratio_1: {roles.enrolled_1, roles.evaluations_1},
-            roles.approval_rate_2: {roles.enrolled_2, roles.approved_2},
-            roles.not_approved_2: {roles.enrolled_2, roles.approved_2},
-            roles.approval_rate_change: {
-                roles.enrolled_1, roles.approved_1, roles.enrolled_2, roles.approved_2,
-            },
-            roles.grade_change: {roles.grade_1, roles.grade_2},
-            roles.no_evaluation_total: {roles.no_evaluation_1, roles.no_evaluation_2},
-        }
-        return [*columns, *[name for name, needed in sources.items() if needed <= have]]
+        return [*columns, *feature_names(columns, roles)]
 
     def transform(self, dataset, params=None):
         if not isinstance(dataset, DataFrame):

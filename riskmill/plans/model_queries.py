@@ -10,9 +10,11 @@ from riskmill.operators import compare, final_model, stages
 from riskmill.operators.models import build_pipeline, preprocessor
 from riskmill.operators.scenarios import resolve_scenario
 from riskmill.operators.scoring import score_table
+from riskmill.operators.split import stratified_split
 from riskmill.plans import views
 from riskmill.plans.registry import query, r, shown
 from riskmill.plans.views import SQL_GAPPY, SQL_SCORED, UNITS
+from riskmill.spec import CURVE_C
 
 NUMBERS = ("num_admission", "enrolled_1", "grade_1")
 
@@ -181,23 +183,21 @@ def lr_balanced_scores(spark, sf_dir):
     return _scores(spark, sf_dir, "logistic_balanced", {"C": 0.1})
 
 
-_FOREST = {"n_estimators": 50, "max_depth": 6, "min_samples_leaf": 5}
-_BOOSTING = {"learning_rate": 0.1, "max_iter": 20}
 
 
 @query("rf_scores")
 def rf_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, "random_forest", _FOREST)
+    return _scores(spark, sf_dir, "random_forest", {})
 
 
 @query("rf_balanced_scores")
 def rf_balanced_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, "random_forest_balanced", _FOREST)
+    return _scores(spark, sf_dir, "random_forest_balanced", {})
 
 
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
-    return _scores(spark, sf_dir, "hist_gradient_boosting", _BOOSTING)
+    return _scores(spark, sf_dir, "hist_gradient_boosting", {})
 
 
 @query("score_batch")
@@ -252,26 +252,26 @@ def grid_search(spark, sf_dir):
 
 @query("learning_curve")
 def learning_curve(spark, sf_dir):
-    return compare.learning_curve(_training(spark, sf_dir), _BALANCED, (0.3, 1.0))
+    return compare.learning_curve(_training(spark, sf_dir), _BALANCED)
 
 
 @query("validation_curve")
 def validation_curve(spark, sf_dir):
     training = _training(spark, sf_dir)
-    return compare.validation_curve(training, "logistic_balanced", "C", (0.001, 0.1, 10.0), {})
+    return compare.validation_curve(training, "logistic_balanced", "C", CURVE_C, {})
 
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
-    """Two scenarios, both targets, default and tuned stage of linear models."""
-    train, _ = compare.train_and_test(_labelled(spark, sf_dir), "target", "unit_id")
+    """All scenarios, both targets, default and tuned stage of the linear models."""
+    rows = _labelled(spark, sf_dir)
+    split = materialize(stratified_split(rows, "target", "unit_id").select("unit_id", "part"), "split")
     return compare.compare_models(
-        train,
+        rows,
         UNITS,
         "unit_id",
-        scenarios=("early_warning", "full"),
+        split,
         models=("dummy_prior", "logistic", "logistic_balanced"),
-        grids={"logistic_balanced": {"C": (0.1, 1.0)}},
         parallelism=4,
         fold_parallelism=5,
     )
@@ -285,7 +285,7 @@ def final_levels(spark, sf_dir):
     training = compare.prepare_training(
         train, UNITS, "early_warning", "target", "unit_id", parallelism=4, fold_parallelism=5
     )
-    model, best = compare.tune_model(training, "logistic_balanced", {"C": (0.1, 1.0)})
+    model, best = compare.tune_model(training, "logistic_balanced")
     candidate = compare.Candidate("chosen", "logistic_balanced", best)
     scores = compare.cross_validation_scores(training, [candidate])
     threshold, _ = compare.tune_threshold(scores.where(F.col("part") == "validation"))

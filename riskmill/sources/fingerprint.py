@@ -8,8 +8,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# The binary reader keeps a file's content in one row, which ends at 2 GiB.
-IN_ROW_LIMIT = 64 * 1024 * 1024
+#: The binary reader keeps a file's content in one row, which ends at 2 GiB.
+IN_ROW_LIMIT = 2**31 - 2**20
+#: Schemes of Spark's file systems whose names differ in the library that streams larger files.
+STREAM_SCHEMES = {"s3a": "s3", "s3n": "s3", "abfss": "abfss", "gs": "gs", "hdfs": "hdfs", "file": "file", "s3": "s3"}
 _CHUNK = 4 * 1024 * 1024
 
 
@@ -18,9 +20,10 @@ def file_fingerprints(
 ) -> DataFrame:
     """Path, length and SHA-256 of every file below ``path``.
 
-    Small files are read and hashed by Spark. Larger ones are streamed through
-    the hash in chunks, one task per file, so no file has to fit in memory. Empty
-    files are in Spark's listing but never in its scans, so they are added.
+    Spark reads and hashes all files that fit in one of its rows. Only files of 2 GiB or
+    more are streamed through the hash in chunks, one task per file; a scheme that cannot
+    be streamed is an error that names it. Empty files are in Spark's listing but never
+    in its scans, so they are added.
     """
     listing = _listing(spark, path)
     small = listing.where(F.col("length") <= in_row_limit).select(
@@ -49,7 +52,10 @@ def _stream_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []
         for uri in batch["path"]:
-            system, name = fs.FileSystem.from_uri(uri)
+            scheme, _, rest = uri.partition(":")
+            if scheme not in STREAM_SCHEMES:
+                raise ValueError(f"files of 2 GiB or more cannot be streamed from {scheme}: {uri}")
+            system, name = fs.FileSystem.from_uri(f"{STREAM_SCHEMES[scheme]}:{rest}")
             digest = hashlib.sha256()
             with system.open_input_stream(name) as stream:
                 while chunk := stream.read(_CHUNK):

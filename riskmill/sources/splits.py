@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from riskmill.functions.durable import take_bounded
 from riskmill.operators.split import stratified_split
 from riskmill.sources.reports import read_metadata, write_metadata
 from riskmill.spec import SEED, TEST_SIZE
@@ -31,7 +32,8 @@ def load_or_create_split(
 ) -> SavedSplit:
     """Reuse a saved split if it was made for this table in this way, else make one.
 
-    A saved split fits when row count, seed, stratify column and test share match.
+    A saved split fits when row count, seed, stratify column, test share, hash method and
+    row id match.
     The ids are a Parquet table; the record that names it is written last, so a
     split that was interrupted is never picked up.
     """
@@ -41,6 +43,8 @@ def load_or_create_split(
         "test_size": test_size,
         "random_state": seed,
         "stratify_column": label,
+        "method": method,
+        "row_id": row_id,
     }
     saved = {} if overwrite else read_metadata(spark, f"{folder}/split.json")
     if saved and all(saved.get(key) == value for key, value in wanted.items()):
@@ -50,7 +54,7 @@ def load_or_create_split(
     parts = stratified_split(df, label, row_id, test_size, seed, method)
     parts.where(F.col("part").isNotNull()).select(row_id, "part").write.parquet(path)
     ids = spark.read.parquet(path)
-    sizes = {row["part"]: row["count"] for row in ids.groupBy("part").count().collect()}
+    sizes = {row["part"]: row["count"] for row in take_bounded(ids.groupBy("part").count(), 2, "parts")}
     info = {
         **wanted,
         "n_train": sizes.get("train", 0),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from riskmill.functions.durable import take_bounded
 from riskmill.sources.fingerprint import verify_files
 from riskmill.spec import TableSpec
 
@@ -20,8 +21,16 @@ class DataNotFoundError(FileNotFoundError):
     """The path of a table does not exist."""
 
 
+#: Files of one table that an error can name.
+MAX_FILES = 1_000_000
+
+
 class IntegrityError(ValueError):
-    """A file does not match its recorded fingerprint."""
+    """Files differ from their recorded fingerprints; ``files`` holds all of them."""
+
+    def __init__(self, files: list[dict]):
+        super().__init__("changed files: " + ", ".join(f["path"] for f in files))
+        self.files = files
 
 
 def spec_schema(spec: TableSpec) -> T.StructType:
@@ -66,9 +75,10 @@ def read_raw_table(
     differs stops the read.
     """
     if expected is not None:
-        bad = verify_files(spark, path, expected).where("not ok").limit(5).collect()
+        checked = verify_files(spark, path, expected).where("not ok")
+        bad = take_bounded(checked.orderBy("path"), MAX_FILES, "changed files")
         if bad:
-            raise IntegrityError("changed files: " + ", ".join(row["path"] for row in bad))
+            raise IntegrityError([row.asDict() for row in bad])
     return read_table(spark, path, spec_schema(spec) if _is_csv(path) else None)
 
 

@@ -8,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from riskmill.functions.risk import is_at_risk, recommendation, risk_band
+from riskmill.functions.risk import RISK_BANDS, is_at_risk, recommendation, risk_band
 from riskmill.operators import metrics
 
 
@@ -105,12 +105,12 @@ def test_threshold_table_in_groups(scores, records):
         assert sum(row[c] for c in ("tn", "fp", "fn", "tp")) == len(part)
 
 
-def test_threshold_tie_goes_to_the_nearest_half(table):
-    df = table("y int, s double", (1, 0.9), (1, 0.8), (0, 0.2), (0, 0.1))
-    best = metrics.best_threshold(metrics.threshold_table(df, "y", "s", (0.25, 0.40)))
-    assert best.first()["threshold"] == 0.40
-    empty = table("threshold double, f2 double")
-    assert metrics.best_threshold(empty).first()["threshold"] == 0.5
+def test_threshold_ties(table):
+    """Of equal metrics the threshold nearest one half wins, of two as near the lower one."""
+    points = [(t / 16, 0.75 if t in (3, 6, 10) else 0.5) for t in range(1, 16)]
+    best = metrics.best_threshold(table("threshold double, f2 double", *points))
+    assert best.first()["threshold"] == 6 / 16
+    assert metrics.best_threshold(table("threshold double, f2 double")).first()["threshold"] == 0.5
 
 
 def test_f2_formula(spark):
@@ -138,13 +138,24 @@ def test_class_weights(table, records):
     assert got[1]["prior"] == 0.25
 
 
-@pytest.mark.parametrize("p, band", [
-    (0.0, "Baixo"), (0.01, "Baixo"), (0.34, "Baixo"), (0.35, "Moderado"), (0.64, "Moderado"),
-    (0.65, "Alto"), (0.99, "Alto"), (1.0, "Alto"),
-])
-def test_risk_bands(table, p, band):
+@pytest.mark.parametrize("p", [None, math.nan, *(i / 40 for i in range(41))])
+def test_risk_bands(table, p):
     row = table("p double", p).select(
         risk_band(F.col("p")).alias("b"), recommendation(F.col("p")).alias("r"),
         is_at_risk(F.col("p"), 0.35).alias("a"),
     ).first()
-    assert row["b"] == band and row["r"].endswith(".") and row["a"] is (p >= 0.35)
+    value = 0.0 if p is None or math.isnan(p) else p
+    reached = [(name, advice) for bound, name, advice in RISK_BANDS if value >= bound][-1]
+    assert (row["b"], row["r"]) == reached and row["a"] is (value >= 0.35)
+
+
+@pytest.mark.parametrize("ranges", [1, 8])
+def test_missing_scores_are_left_out(table, records, ranges):
+    known = [(i % 2, i / 20) for i in range(20)]
+    gaps = [(1, math.nan), (0, math.nan), (1, None), (None, 0.5)]
+    plain, holed = table("y int, s double", *known), table("y int, s double", *known, *gaps)
+    for measure in (metrics.rank_metrics, metrics.roc_points, metrics.pr_points):
+        got = [sorted(map(repr, measure(df, "y", "s", ranges=ranges).collect())) for df in (plain, holed)]
+        assert got[0] == got[1]
+    for measure in (metrics.threshold_table, lambda df, y, s: metrics.confusion_at(df, y, s, 0.4)):
+        assert sorted(map(repr, measure(plain, "y", "s").collect())) == sorted(map(repr, measure(holed, "y", "s").collect()))

@@ -325,16 +325,27 @@ def test_threshold_and_curves(training):
 def test_compare_and_final_model(spark, rows, tmp_path):
     from riskmill.operators.final_model import build_final_model
     from riskmill.sources.reports import read_metadata
+    from riskmill.sources.splits import load_or_create_split
     from riskmill.sources.tables import RESULT_SCHEMA, read_results, save_results
 
     df = rows.withColumns({
         "target": F.col("label").cast("int"),
         "target_excl_enrolled": F.when(F.col("row_id") % 4 > 0, F.col("label").cast("int")),
     })
+    split = load_or_create_split(df, str(tmp_path / "split"), "target", "row_id", test_size=0.3).ids
     table = compare.compare_models(
-        df, SPEC, "row_id", models=("dummy_prior", "logistic"), folds=2,
+        df, SPEC, "row_id", split, models=("dummy_prior", "logistic"), folds=2,
         grids={"logistic": {"C": (0.1, 1.0)}}, fold_parallelism=2,
     )
+    turned = df.join(split, "row_id").withColumns({
+        name: F.when(F.col("part") == "test", 1 - F.col(name)).otherwise(F.col(name))
+        for name in ("target", "target_excl_enrolled")
+    }).drop("part")
+    again = compare.compare_models(
+        turned, SPEC, "row_id", split, models=("dummy_prior", "logistic"), folds=2,
+        grids={"logistic": {"C": (0.1, 1.0)}}, fold_parallelism=2,
+    )
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, table.collect()))
     save_results(table, str(tmp_path / "results.csv"))
     results = read_results(spark, str(tmp_path / "results.csv"))
     assert results.columns == spark.createDataFrame([], RESULT_SCHEMA).columns
@@ -346,7 +357,7 @@ def test_compare_and_final_model(spark, rows, tmp_path):
     assert json.loads(tuned["best_params"])["C"] in ("0.1", "1.0")
 
     final = build_final_model(
-        df, SPEC, results, "row_id", str(tmp_path / "final"), grid={"C": (0.1, 1.0)}, folds=2,
+        df, SPEC, results, "row_id", split, str(tmp_path / "final"), grid={"C": (0.1, 1.0)}, folds=2,
         curve_shares=(1.0,), curve_c=(0.1, 1.0), fold_parallelism=2,
     )
     metadata = read_metadata(spark, str(tmp_path / "final/model_metadata.json"))
@@ -354,6 +365,10 @@ def test_compare_and_final_model(spark, rows, tmp_path):
     assert metadata["split"] == {"n_train": 84, "n_test": 36}
     assert {r["level"] for r in final.levels.collect()} == {"train", "cv", "test"}
     assert set(final.curves) == {"learning", "validation"}
+    for name, kept in {"thresholds": final.thresholds, "learning_curve": final.curves["learning"],
+                       "validation_curve": final.curves["validation"]}.items():
+        saved = spark.read.parquet(str(tmp_path / "final" / name))
+        assert saved.columns == kept.columns and saved.count() == kept.count() > 0
     loaded = PipelineModel.load(str(tmp_path / "final/model"))
     scored = score_table(loaded, rows, metadata, keep=["row_id"])
     assert scored.count() == 120
