@@ -55,7 +55,7 @@ def possible_features(columns: Sequence[str], roles: FeatureRoles) -> list[Featu
     return [f for f in FEATURES if all(getattr(roles, role) in have for role in f.needs)]
 
 
-def feature_names(columns: Sequence[str], roles: FeatureRoles) -> list[str]:
+def derived_names(columns: Sequence[str], roles: FeatureRoles) -> list[str]:
     """Names of the columns that ``derive_features`` adds to ``columns``."""
     return [getattr(roles, f.name) for f in possible_features(columns, roles)]
 

@@ -14,7 +14,12 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+)
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from riskmill.functions.durable import (
@@ -24,7 +29,7 @@ from riskmill.functions.durable import (
     take_bounded,
 )
 from riskmill.functions.numeric import column_as_double
-from riskmill.operators.features import derive_features, feature_names
+from riskmill.operators.features import derive_features, derived_names
 from riskmill.operators.order_stats import SMALL_DISTINCT, quantiles_and_aggregates
 from riskmill.spec import MIN_FREQUENCY, FeatureRoles
 
@@ -74,7 +79,7 @@ class RowFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     def output_names(self, columns: Sequence[str]) -> list[str]:
         """Column names after the stage, given the names before it."""
         roles = FeatureRoles(**json.loads(self.getOrDefault(self.roles)))
-        return [*columns, *feature_names(columns, roles)]
+        return [*columns, *derived_names(columns, roles)]
 
     def transform(self, dataset, params=None):
         if not isinstance(dataset, DataFrame):
@@ -217,8 +222,8 @@ class RareOneHot(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritab
 
     No level is dropped. Levels with fewer than ``minFrequency`` fitted rows share
     one column, and values that were not fitted get all zeros. Telling the two
-    apart needs the rare levels: up to ``maxRare`` of them are part of the model,
-    a longer tail is a table in the checkpoint folder that is joined.
+    apart needs the rare levels: up to ``maxRare`` of them are a parameter of the model,
+    a longer tail is a table that is joined. A saved model holds its own copy of it.
     """
 
     minFrequency = Param(
@@ -313,6 +318,29 @@ def level_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+RARE_FOLDER = "rare-levels"
+
+
+class _RareWriter(DefaultParamsWriter):
+    """Saves the table of rare levels inside the model's own folder."""
+
+    def saveImpl(self, path: str) -> None:  # noqa: N802 (name of the base class)
+        super().saveImpl(path)
+        if self.instance.isSet("rareTable"):
+            table = self.sparkSession.read.parquet(self.instance.getOrDefault("rareTable"))
+            table.write.mode("overwrite").parquet(f"{path}/{RARE_FOLDER}")
+
+
+class _RareReader(DefaultParamsReader):
+    """Points a loaded model at the table beside its parameters."""
+
+    def load(self, path: str) -> "RareOneHotModel":
+        model = super().load(path)
+        if model.isSet("rareTable"):
+            model._set(rareTable=f"{path.rstrip('/')}/{RARE_FOLDER}")
+        return model
+
+
 class RareOneHotModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritable):
     rareTable = Param(
         Params._dummy(), "rareTable", "folder of the rare levels", TypeConverters.toString
@@ -321,6 +349,13 @@ class RareOneHotModel(Model, _Fitted, DefaultParamsReadable, DefaultParamsWritab
     def __init__(self):
         super().__init__()
 
+    def write(self) -> DefaultParamsWriter:
+        return _RareWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _RareReader(cls)
+
     def labels(self) -> dict[str, list[str]]:
         """Names of the encoded levels per column, in vector order."""
         return {

@@ -114,7 +114,7 @@ def test_one_hot_without_rare_levels(table):
     assert [list(r[0]) for r in got] == [[0, 1], [0, 0]]
 
 
-def test_one_hot_with_many_rare_levels(spark):
+def test_one_hot_with_many_rare_levels(spark, tmp_path):
     """A long tail is looked up by a join and encodes like a short one."""
     fit = spark.range(400).selectExpr(
         "id", "case when id % 3 = 0 then 'hot' else concat('v', id % 100) end as c"
@@ -129,6 +129,13 @@ def test_one_hot_with_many_rare_levels(spark):
     ]
     assert tables[0] == tables[1] and len(tables[0]) == 402
 
+    fitted = long.getOrDefault("rareTable")
+    PipelineModel([long]).write().save(str(tmp_path / "saved"))
+    loaded = PipelineModel.load(str(tmp_path / "saved")).stages[0]
+    assert loaded.getOrDefault("rareTable").startswith(str(tmp_path / "saved")) and fitted not in repr(loaded.explainParams())
+    again = loaded.transform(new).select("id", vector_to_array("c_cat").alias("v")).collect()
+    assert sorted((r["id"], tuple(r["v"])) for r in again) == tables[0]
+
 
 def test_prior_classifier(rows):
     model = stages.PriorClassifier(labelCol="label").fit(rows)
