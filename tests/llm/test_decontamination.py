@@ -58,7 +58,7 @@ def test_paraphrases_and_edges(spark):
     got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, table).collect()}
     assert got == {(1, 2), (2, 3), (4, 5), (4, 6), (5, 20), (None, 0)}
     kept = decontamination.drop_leaks(docs, table).collect()
-    assert sorted((r.doc_id or -1) for r in kept) == [-1, 0, 3, 9, 10] and kept[0].asDict().keys() == {"doc_id", "text", "item_id"}
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in kept) == [-1, 0, 3, 9, 10] and kept[0].asDict().keys() == {"doc_id", "text", "item_id"}
     assert decontamination.find_leaks(docs.limit(0), table).count() == 0
     assert decontamination.find_leaks(docs, table.limit(0)).count() == 0
 
