@@ -35,15 +35,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_blobs(df: DataFrame, column: str, end: bytes, folder: str, per_file: int = 0) -> None:
+def write_blobs(df: DataFrame, column: str, end: bytes, folder: str, per_file: int = 0, compression: str = "none") -> None:
     """Write one binary column as raw files: the bytes of each row, then ``end``.
 
     Spark's text writer copies a string's bytes unchanged, so it also writes binary
     data, through the commit protocol of Spark and on any file system it knows.
-    Rows keep their order; ``per_file`` starts a new file after so many rows.
+    Rows keep their order; ``per_file`` starts a new file after so many rows, ``compression`` is one of Spark's codecs.
     """
     writer = df.select(F.col(column).cast("string").alias("value")).write
-    writer = writer.option("lineSep", end.decode("latin-1")).option("encoding", "ISO-8859-1")
+    writer = writer.option("compression", compression).option("lineSep", end.decode("latin-1")).option("encoding", "ISO-8859-1")
     if per_file:
         writer = writer.option("maxRecordsPerFile", per_file)
     writer.text(folder)

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from riskmill.llm.common import let, materialize, new_folder, plain, read_blobs, write_blobs
 
 SEGMENT = 1 << 16
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 #: So that a file, read as one row, stays below 550 MB.
 SEGMENTS_PER_FILE = 8192
 #: Payloads of fewer bytes are never revisits.
@@ -62,7 +63,7 @@ def write_archive(pages: DataFrame, folder: str, segment: int = SEGMENT) -> None
     Of equal payloads of at least ``LEAST_SHARED`` bytes the smallest page_id is a
     response and the others are revisits without a block; rows that share that id are all
     responses. A null html is an empty payload, a null url has no target line, a null
-    page_id is written without the id line and never a revisit.
+    page_id is written without the id line and never a revisit. Files are gzipped as a whole.
     """
     # The extra columns of both sides are named apart, so that no page column can clash.
     rows = with_digests(pages).join(revisits(pages), ["page_id", "digest"], "left")
@@ -96,7 +97,7 @@ def write_archive(pages: DataFrame, folder: str, segment: int = SEGMENT) -> None
         F.lit(CRLF),
     )
     block = F.concat(head.cast("binary"), piece, F.lit(CRLF.encode()))
-    write_blobs(cut.select(block.alias("block")), "block", CRLF.encode(), folder, SEGMENTS_PER_FILE)
+    write_blobs(cut.select(block.alias("block")), "block", CRLF.encode(), folder, SEGMENTS_PER_FILE, "gzip")
 
 
 FIELD = re.compile(rb"([^:\r\n]+):[ \t]*([^\r\n]*)\r\n")
@@ -108,34 +109,53 @@ CHUNKS_DDL = ("record_id string, chunk_no bigint, parts int, raw binary, page_id
               "size bigint, refers_to bigint")
 
 
-def parse_records(view: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """(header fields in lower case, block) of every record; blocks are views, not copies."""
-    at = 0
-    while at < len(view):
-        end = at
-        # Headers are short: look in growing windows, never copy the file.
-        size = 4096
-        while True:
-            found = bytes(view[at : at + size]).find(b"\r\n\r\n")
-            if found >= 0:
-                end = at + found + 2
-                break
-            if at + size >= len(view):
-                raise ValueError("a record header does not end")
-            size *= 4
-        raw = bytes(view[at:end])
+def inflated(content: memoryview, step: int = 1 << 15) -> Iterator[bytes]:
+    """The bytes of a file in pieces, unpacked if it is gzipped (several members follow each other)."""
+    if bytes(content[:2]) != b"\x1f\x8b":
+        yield from (bytes(content[at : at + step]) for at in range(0, len(content), step))
+        return
+    unpacker = zlib.decompressobj(31)
+    for at in range(0, len(content), step):
+        data = bytes(content[at : at + step])
+        while data:
+            yield unpacker.decompress(data)
+            data = unpacker.unused_data
+            if data:
+                unpacker = zlib.decompressobj(31)
+
+
+def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(header fields in lower case, block) of every record, holding one record and a piece at a time."""
+    source, held = iter(pieces), bytearray()
+
+    def more() -> bool:
+        piece = next(source, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while True:
+        seen = 0
+        while (end := held.find(b"\r\n\r\n", seen)) < 0:
+            seen = max(0, len(held) - 3)
+            if not more():
+                if held:
+                    raise ValueError("a record header does not end")
+                return
+        raw = bytes(held[: end + 2])
         if not raw.startswith(b"WARC/"):
             raise ValueError("not a WARC record")
         fields = {m[1].decode("latin-1").lower(): m[2].decode("utf-8") for m in FIELD.finditer(raw)}
-        start = end + 2
+        start = end + 4
         stop = start + int(fields["content-length"])
-        if bytes(view[stop : stop + 4]) != b"\r\n\r\n":
+        while len(held) < stop + 4 and more():
+            pass
+        if held[stop : stop + 4] != b"\r\n\r\n":
             raise ValueError("a record block has another length than its header says")
-        yield fields, view[start:stop]
-        at = stop + 4
+        yield fields, bytes(held[start:stop])
+        del held[: stop + 4]
 
 
-def _chunk_rows(fields: dict[str, str], block: memoryview, chunk: int, segment: int) -> Iterator[dict]:
+def _chunk_rows(fields: dict[str, str], block: bytes, chunk: int, segment: int) -> Iterator[dict]:
     number = int(fields.get("warc-segment-number", 1))
     whole = "warc-segment-number" not in fields
     page, refers, size = fields.get("x-page-id"), fields.get("x-refers-to-page-id"), fields.get("x-payload-length")
@@ -146,7 +166,7 @@ def _chunk_rows(fields: dict[str, str], block: memoryview, chunk: int, segment:
             "record_id": fields.get("warc-segment-origin-id", fields["warc-record-id"]),
             "chunk_no": (number - 1) * per_segment + i,
             "parts": 1 if whole and len(block) <= chunk else 0,
-            "raw": bytes(block[i * chunk : (i + 1) * chunk]),
+            "raw": block[i * chunk : (i + 1) * chunk],
             "page_id": int(page) if page else None,
             "record_type": fields["warc-type"] if opens else None,
             "digest": fields.get("warc-payload-digest", "").removeprefix("sha256:") if opens else None,
@@ -166,7 +186,7 @@ def read_chunks(spark: SparkSession, folder: str, chunk: int = CHUNK, segment: i
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for fields, block in parse_records(memoryview(content.as_buffer())):
+                for fields, block in parse_records(inflated(memoryview(content.as_buffer()))):
                     for row in _chunk_rows(fields, block, chunk, segment):
                         rows.append(row)
                         held += len(row["raw"]) + 200

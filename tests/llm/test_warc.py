@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pytest
@@ -47,7 +48,8 @@ def test_records_are_bounded_and_sound(spark):
     folder = new_folder(spark, "test-warc")
     warc.write_archive(pages.coalesce(1), folder, segment=256)
     raw = b"".join(r.content for r in warc.read_blobs(spark, folder).orderBy("path").collect())
-    records = list(warc.parse_records(memoryview(raw)))
+    records = list(warc.parse_records(warc.inflated(memoryview(raw), 7)))
+    assert records == list(warc.parse_records(warc.inflated(memoryview(gzip.decompress(raw)), 5)))
     kinds = sorted(f["warc-type"] for f, _ in records)
     assert kinds == ["continuation"] * 3 + ["response", "revisit"]
     assert max(len(block) for _, block in records) <= 256
@@ -59,6 +61,6 @@ def test_records_are_bounded_and_sound(spark):
 
 def test_damage_is_an_error():
     with pytest.raises(ValueError):
-        list(warc.parse_records(memoryview(b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n")))
+        list(warc.parse_records([b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n"]))
     with pytest.raises(ValueError):
-        list(warc.parse_records(memoryview(b"HTTP/1.1\r\n\r\n")))
+        list(warc.parse_records([b"HTTP/1.1\r\n\r\n"]))
