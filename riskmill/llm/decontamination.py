@@ -30,7 +30,9 @@ PASSAGE = 32
 QUERY_WORDS = 48
 RANK = 128
 COSINE = 0.35
-SURE, POSSIBLE, ANSWER = 0.75, 0.5, 0.6
+#: Terms in more passages than this share of all (and a thousand) have no weight; words are compared with them all the same.
+COMMON_SHARE, COMMON_LEAST = 0.1, 1000
+SURE, POSSIBLE, ANSWER = 0.75, 0.6, 0.7
 #: Bounds of what is sent to every task: items and terms of one benchmark table.
 MAX_ITEMS, MAX_TERMS = 50_000, 500_000
 #: Matrix entries handled at once.
@@ -114,13 +116,15 @@ def _grouped(batch: pa.RecordBatch, column: int, most: int = 1 << 18) -> Iterato
         yield first, held
 
 
-def _cells(sequences: list[np.ndarray], terms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _cells(sequences: list[np.ndarray], terms: int, useful: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(passage, term, count) of the occupied cells in passage order, and the first passage of each sequence."""
     sizes = np.array([-(-len(s) // PASSAGE) for s in sequences], np.int64)
     first = np.cumsum(sizes) - sizes
     flat = np.concatenate(sequences)
     place = np.concatenate([np.arange(len(s)) // PASSAGE + f for s, f in zip(sequences, first)])
     known = flat >= 0
+    if useful is not None:
+        known &= useful[flat]
     cell, count = np.unique(place[known] * terms + flat[known], return_counts=True)
     return cell // terms, cell % terms, count, first
 
@@ -150,6 +154,7 @@ def _unit_rows(passage: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np
     weight = (1 + np.log(count)) * idf[term]
     starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
     norms = np.sqrt(np.add.reduceat(weight * weight, starts))
+    norms = np.maximum(norms, 1e-9)
     return (weight / np.repeat(norms, np.diff(np.append(starts, len(passage))))).astype(np.float32)
 
 
@@ -182,7 +187,7 @@ def _corpus_product(sequences: DataFrame, terms: int, idf: np.ndarray, rank: int
         matrix, out = random_matrix(terms, rank), np.zeros((terms, rank))
         for batch in batches:
             for _, group in _grouped(batch, 0):
-                passage, term, count, _ = _cells(group, terms)
+                passage, term, count, _ = _cells(group, terms, idf > 0)
                 if len(passage):
                     _multiply(passage, term, _unit_rows(passage, term, count, idf), matrix, out)
         for at in range(0, terms, block):
@@ -271,6 +276,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
     found = passage_frequencies(sequences, terms)
     passages = int(found[-1])
     idf = np.log((1 + passages) / (1 + found[:-1])) + 1e-3
+    idf[found[:-1] > COMMON_SHARE * passages + COMMON_LEAST] = 0
     axes = latent_axes(sequences, bench, idf, passages)
     passage, term, count = _part_cells(bench)
     queries = np.zeros((len(bench.parts), axes.shape[1]), np.float32)
@@ -305,7 +311,7 @@ class _Search:
 
     def candidates(self, sequences: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(sequence, first passage, query, cosine) of all windows near a query."""
-        passage, term, count, first = _cells(sequences, len(self.axes))
+        passage, term, count, first = _cells(sequences, len(self.axes), self.idf > 0)
         if not len(passage):
             return
         weight = ((1 + np.log(count)) * self.idf[term]).astype(np.float32)
