@@ -6,8 +6,9 @@ block, join on blocks, verify the Hamming distance.
 * ``fingerprints`` / ``link_fingerprints``: 64 bits over word triples, linked at two or
   fewer differing bits. Five blocks, any three of them equal: exact.
 * ``near_groups``: 3,072 bits over sets of five-word shingles, where a Jaccard similarity
-  of 0.8 shows as 15 % differing bits. 128 blocks of 24 bits: a pair of similarity 0.8
-  agrees on a block with probability 0.92, one of 0.85 with 0.99.
+  of 0.8 shows as 15 % differing bits. 384 blocks of 24 bits, dealt out by three shuffles of
+  the bits: a pair of similarity 0.8 agrees on a block with probability 0.999. The bits only
+  find candidates, with slack; the shingle sets themselves decide.
 """
 
 from __future__ import annotations
@@ -145,7 +146,10 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
 
 SKETCH = 4096  # cells of the sketch before the Hadamard transform
 BITS, BLOCK = 3072, 24
+DEALS = 3  # shuffles of the bits, each cut into blocks of its own
 SPREAD = 3  # cells per shingle
+#: Candidates may differ in as many bits as sets this much less alike do on average: over three deviations.
+SLACK = 0.05
 
 
 def _hadamard(order: int) -> np.ndarray:
@@ -176,36 +180,57 @@ def wide_bits(hashes: list[np.ndarray]) -> np.ndarray:
     return np.packbits(turned.reshape(-1, SKETCH)[:, order] > 0, axis=1)
 
 
-def wide_fingerprints(docs: DataFrame, words: int = 5) -> DataFrame:
-    """(doc_id, bits): wide fingerprint of the set of word shingles of every text."""
+def wide_fingerprints(docs: DataFrame, words: int = 5, key: str = "doc_id") -> DataFrame:
+    """(key, bits, mark): wide fingerprint and digest of the set of word shingles of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                marks = wide_bits([np.unique(shingle_hashes(x.as_py() or b"", words)) for x in part.column(1)])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([m.tobytes() for m in marks], pa.binary())], ["doc_id", "bits"]
-                )
-
-    kind = dict(docs.dtypes)["doc_id"]
-    return plain(docs, "doc_id", "text").withColumn("text", F.col("text").cast("binary")).mapInArrow(
-        run, f"doc_id {kind}, bits binary"
+                sets = [np.unique(shingle_hashes(x.as_py() or b"", words)) for x in part.column(1)]
+                bits = pa.array([m.tobytes() for m in wide_bits(sets)], pa.binary())
+                marks = pa.array([xxhash.xxh3_128_digest(found.tobytes()) for found in sets], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), bits, marks], [key, "bits", "mark"])
+
+    kind = dict(docs.dtypes)[key]
+    return plain(docs, key, "text").withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        run, f"{key} {kind}, bits binary, mark binary"
     )
 
 
+def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, grams): sorted set of shingle hashes of every text of ``docs`` (row, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                sets = [np.unique(shingle_hashes(x.as_py() or b"", words)).tobytes() for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
+
+    return docs.select("row", F.col("text").cast("binary")).mapInArrow(run, "node bigint, grams binary")
+
+
 def most_differing(similarity: float) -> int:
     """Differing bits expected of two sets of equal size with this Jaccard similarity."""
     return round(BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
+def _deals() -> list[np.ndarray]:
+    rng = np.random.default_rng(8)
+    return [np.arange(BITS), *(rng.permutation(BITS) for _ in range(DEALS - 1))]
+
+
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shift = np.arange(BITS // BLOCK, dtype=np.int64) << BLOCK
+    deals = _deals()
+    shift = np.arange(DEALS * BITS // BLOCK, dtype=np.int64) << BLOCK
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
-            raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1, BLOCK // 8)
-            wide = raw.astype(np.int64)
+        for at in range(0, batch.num_rows, 256):
+            part = batch.slice(at, 256)
+            raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
+            bits = np.unpackbits(raw, axis=1)
+            raw = np.concatenate([raw, *(np.packbits(bits[:, deal], axis=1) for deal in deals[1:])], axis=1)
+            wide = raw.reshape(part.num_rows, -1, BLOCK // 8).astype(np.int64)
             keys = (wide[:, :, 0] << 16 | wide[:, :, 1] << 8 | wide[:, :, 2]) + shift
             nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], ["key", "node"])
@@ -245,25 +270,77 @@ def _run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """(doc_id, group_id): documents whose word shingles are ``similarity`` alike share a group.
 
-    ``group_id`` is the smallest doc_id of the group. Equal fingerprints are collapsed
+    ``group_id`` is the smallest doc_id of the group. Equal shingle sets are collapsed
     first, so exact copies cost one row. Wordless texts are one group. A pair must agree
-    on one of 128 blocks to be compared, see the module's text. A block held by more than
+    on one of 384 blocks to be compared, see the module's text, and is linked if the
+    Jaccard similarity of its shingle sets is ``similarity`` or more. A block held by more than
     ``PAIRED`` different fingerprints compares each with the block's first ``PAIRED``;
     such a block is a large family, whose members meet in many other blocks with other
     leaders, and the links join up. doc_id must not be null.
     """
-    marks = materialize(wide_fingerprints(docs, words), "wide")
-    nodes = materialize(marks.groupBy("bits").agg(F.min("doc_id").cast("long").alias("node")), "wide-nodes")
+    rows = plain(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows, "rows")
+    grouped = _row_groups(rows, similarity, words)
+    named = rows.select("row", "doc_id").join(grouped, "row")
+    heads = named.groupBy("root").agg(F.min("doc_id").alias("group_id"))
+    return named.join(heads, "root").select("doc_id", "group_id")
+
+
+def _row_groups(rows: DataFrame, similarity: float, words: int) -> DataFrame:
+    """(row, root) for every row of ``rows`` (row, text), which must be a written table."""
+    marks = materialize(wide_fingerprints(rows, words, "row"), "wide")
+    nodes = marks.groupBy("mark").agg(F.min("row").alias("node"), F.first("bits").alias("bits"))
+    nodes = materialize(nodes, "wide-nodes")
     keyed = nodes.select("node", "bits").mapInArrow(_block_rows, "key bigint, node bigint")
     runs = keyed.repartition("key").sortWithinPartitions("key", "node")
     pairs = materialize(runs.mapInArrow(_run_pairs, "a bigint, b bigint").distinct(), "pairs")
-    links = materialize(_verify(pairs, nodes, most_differing(similarity)), "links")
-    roots = components(links)
-    labelled = nodes.join(roots, "node", "left").select("bits", F.coalesce("root", "node").alias("group_id"))
-    return marks.join(labelled, "bits").select("doc_id", "group_id")
+    near = materialize(_verify(pairs, nodes, most_differing(similarity - SLACK)), "near")
+    links = _exact_links(near, rows, similarity, words)
+    labelled = nodes.join(components(links), "node", "left").select("mark", F.coalesce("root", "node").alias("root"))
+    return marks.select("row", "mark").join(labelled, "mark").select("row", "root")
+
+
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs whose ends do not share a root yet."""
+    left, right = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
+    joined = pairs.join(left, "a", "left").join(right, "b", "left")
+    return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _exact_links(near: DataFrame, rows: DataFrame, similarity: float, words: int) -> DataFrame:
+    """Links among the candidates (a, b, differing) with the components of all pairs that are ``similarity`` alike.
+
+    First every node is compared with its nearest candidate. Most pairs of a large group then
+    lie inside one component and need no comparison; all others are compared.
+    """
+    first = near.groupBy("b").agg(F.min_by("a", F.struct("differing", "a")).alias("a")).select("a", "b")
+    links = _alike(materialize(first, "nearest"), rows, similarity, words)
+    rest = materialize(_across(near.select("a", "b"), components(links)), "rest")
+    return links if rest.isEmpty() else links.union(_alike(rest, rows, similarity, words))
+
+
+def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, words: int) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have this Jaccard similarity or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            alike = []
+            for x, y in zip(batch.column(2), batch.column(3)):
+                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                alike.append(both / max(1, len(left) + len(right) - both) >= similarity)
+            keep = pa.array(alike, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
+
+    ends = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+    sets = materialize(_shingle_sets(rows.join(ends, "row", "left_semi"), words), "sets")
+    joined = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
+    return materialize(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint"), "links")
 
 
 def _verify(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
+    """(a, b, differing) of the pairs that differ in at most so many bits."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -272,15 +349,16 @@ def _verify(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
                 np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
                 for i in (2, 3)
             )
-            near = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64) <= most
+            differing = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
+            near = pa.array(differing <= most)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).filter(pa.array(near)) for i in (0, 1)], ["a", "b"]
+                [*(batch.column(i).filter(near) for i in (0, 1)), pa.array(differing).filter(near)], ["a", "b", "differing"]
             )
 
     left = nodes.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "bits_a", "bits_b")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    return joined.mapInArrow(run, "a bigint, b bigint, differing bigint")
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:

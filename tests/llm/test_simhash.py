@@ -116,3 +116,19 @@ def test_large_family_is_one_group(spark, monkeypatch, paired):
     kept = simhash.keep_one(docs.withColumn("group_id", F.lit("clash")))
     assert sorted(r.doc_id for r in kept.collect()) == [0, 200, 201] and "group_id" in kept.columns
     assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+def test_every_pair_at_the_threshold_is_linked(spark):
+    rows, pairs = [], 40
+    for i in range(pairs):
+        words = [f"p{i}w{k}" for k in range(50)]  # 46 shingles, 41 in common: Jaccard 41 / 51
+        rows += [(4 * i, " ".join(words)), (4 * i + 1, " ".join(words[:25] + ["new"] + words[26:]))]
+        below = [f"q{i}w{k}" for k in range(49)]  # 40 in common: 40 / 50 is alike
+        less = [f"r{i}w{k}" for k in range(48)]  # 39 in common: 39 / 49 is not
+        rows += [(1000 + 2 * i, " ".join(below)), (1001 + 2 * i, " ".join(below[:25] + ["new"] + below[26:]))]
+        rows += [(2000 + 2 * i, " ".join(less)), (2001 + 2 * i, " ".join(less[:25] + ["new"] + less[26:]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    group = {r.doc_id: r.group_id for r in simhash.near_groups(docs).collect()}
+    texts = {i: shingles(t) for i, t in rows}
+    for a, b in [(4 * i, 4 * i + 1) for i in range(pairs)] + [(s + 2 * i, s + 1 + 2 * i) for s in (1000, 2000) for i in range(pairs)]:
+        assert (group[a] == group[b]) == (jaccard(texts[a], texts[b]) >= 0.8), (a, b, jaccard(texts[a], texts[b]))
