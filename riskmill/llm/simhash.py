@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -27,8 +28,11 @@ from riskmill.llm.components import components
 
 SEED = 42
 WIDTHS = (13, 13, 13, 13, 12)
-#: Fingerprints in one block up to which all pairs are compared; beyond, see ``_dense``.
+#: Fingerprints in one block up to which all pairs are compared at once; beyond, see the stars of
+#: ``link_fingerprints`` and the cells of ``_rest_near``.
 PAIRED = 32
+#: Fingerprints of one long block that one cell compares with as many others.
+CELL = 1024
 #: Shingles whose bits are unpacked at once.
 STEP = 1 << 15
 
@@ -236,13 +240,14 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], ["key", "node"])
 
 
-def _run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within runs of equal keys, from rows sorted by key and node.
+def _run_pairs(batches: Iterator[pa.RecordBatch], paired: int) -> Iterator[pa.RecordBatch]:
+    """(key, a, b) within runs of equal keys, from rows sorted by key and node.
 
-    Each row is paired with the first ``PAIRED`` rows of its run before it: all pairs in
-    short runs, a bounded number of leaders in long ones. State between batches is one run's leaders.
+    Each row is paired with the first ``paired`` rows of its run before it, as (null, a, b): all pairs in
+    short runs, a bounded number of leaders in long ones. Rows beyond the leaders also come as (key, null, b),
+    for ``_rest_near``. State between batches is one run's leaders.
     """
-    key, leaders = None, np.zeros(0, np.int64)
+    key, leaders, names = None, np.zeros(0, np.int64), ["key", "a", "b"]
     for batch in batches:
         keys, nodes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
         if not len(keys):
@@ -256,15 +261,20 @@ def _run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.concatenate(([True], keys[1:] != keys[:-1]))
         start = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
         rank = np.arange(len(keys)) - start
-        for lead in range(min(PAIRED, int(rank.max()) + 1)):
+        for lead in range(min(paired, int(rank.max()) + 1)):
             later = np.flatnonzero((rank > lead) & (np.arange(len(keys)) >= fresh))
             if not len(later):
                 break
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[start[later] + lead]), pa.array(nodes[later])], ["a", "b"]
+                [pa.nulls(len(later), pa.int64()), pa.array(nodes[start[later] + lead]), pa.array(nodes[later])], names
+            )
+        beyond = np.flatnonzero((rank >= paired) & (np.arange(len(keys)) >= fresh))
+        if len(beyond):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[beyond]), pa.nulls(len(beyond), pa.int64()), pa.array(nodes[beyond])], names
             )
         key = keys[-1]
-        leaders = nodes[start[-1] :][:PAIRED].copy()
+        leaders = nodes[start[-1] :][:paired].copy()
 
 
 def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
@@ -273,10 +283,9 @@ def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> Dat
     ``group_id`` is the smallest doc_id of the group. Equal shingle sets are collapsed
     first, so exact copies cost one row. Wordless texts are one group. A pair must agree
     on one of 384 blocks to be compared, see the module's text, and is linked if the
-    Jaccard similarity of its shingle sets is ``similarity`` or more. A block held by more than
-    ``PAIRED`` different fingerprints compares each with the block's first ``PAIRED``;
-    such a block is a large family, whose members meet in many other blocks with other
-    leaders, and the links join up. doc_id must not be null.
+    Jaccard similarity of its shingle sets is ``similarity`` or more. In a block held by more than
+    ``PAIRED`` different fingerprints each is compared with the block's first ``PAIRED``, then with
+    all that are not yet in its component. doc_id must not be null.
     """
     rows = plain(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
     rows = materialize(rows, "rows")
@@ -293,9 +302,14 @@ def _row_groups(rows: DataFrame, similarity: float, words: int) -> DataFrame:
     nodes = materialize(nodes, "wide-nodes")
     keyed = nodes.select("node", "bits").mapInArrow(_block_rows, "key bigint, node bigint")
     runs = keyed.repartition("key").sortWithinPartitions("key", "node")
-    pairs = materialize(runs.mapInArrow(_run_pairs, "a bigint, b bigint").distinct(), "pairs")
-    near = materialize(_verify(pairs, nodes, most_differing(similarity - SLACK)), "near")
+    met = runs.mapInArrow(partial(_run_pairs, paired=PAIRED), "key bigint, a bigint, b bigint")
+    met, most = materialize(met.distinct(), "pairs"), most_differing(similarity - SLACK)
+    near = materialize(_verify(met.filter("key is null").select("a", "b"), nodes, most), "near")
     links = _exact_links(near, rows, similarity, words)
+    beyond = met.filter("key is not null").select("key", F.col("b").alias("node"))
+    rest = None if beyond.isEmpty() else _rest_near(beyond, components(links), nodes, most)
+    if rest is not None:
+        links = links.union(_exact_links(rest, rows, similarity, words))
     labelled = nodes.join(components(links), "node", "left").select("mark", F.coalesce("root", "node").alias("root"))
     return marks.select("row", "mark").join(labelled, "mark").select("row", "root")
 
@@ -307,6 +321,74 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
 
 
+def _rest_near(beyond: DataFrame, roots: DataFrame, nodes: DataFrame, most: int) -> DataFrame | None:
+    """Candidates (a, b, differing) among the rows (key, node) of each long run; None if there is nothing to compare.
+
+    Only pairs of different components matter, so runs of one component are done. In the others, the
+    largest component and the rest of the run are dealt into cells of about ``CELL`` rows, and every cell of the rest is
+    compared with itself, the other cells of the rest and all of the largest component.
+    """
+    found = beyond.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    found = materialize(found, "beyond")
+    counts = found.groupBy("key", "root").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("key").agg(
+        F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("many")
+    )
+    mixed = materialize(mixed.filter("many > 1").select(
+        "key", "largest", F.ceil(F.col("most") / CELL).cast("int").alias("main"), F.ceil((F.col("all") - F.col("most")) / CELL).cast("int").alias("other")
+    ), "mixed")
+    if mixed.isEmpty():
+        return None
+    place = lambda cells: F.pmod(F.xxhash64("node"), cells).cast("int")
+    cell = lambda main, i, j, side: F.struct(main.alias("main_cell"), i.alias("i"), j.alias("j"), side.alias("side"))
+    upto = lambda cells, body: F.transform(F.sequence(F.lit(0), cells - 1), body)
+    main, other, own = F.lit(True), F.lit(False), F.col("place")
+    # Side 2 meets its own kind, side 0 meets side 1.
+    cells = F.when(F.col("root") == F.col("largest"), upto(F.col("other"), lambda j: cell(main, own, j, F.lit(0)))).otherwise(
+        F.concat(
+            upto(F.col("main"), lambda i: cell(main, i, own, F.lit(1))),
+            upto(F.col("other"), lambda j: cell(
+                other, F.least(own, j), F.greatest(own, j), F.when(own == j, 2).when(own < j, 0).otherwise(1)
+            )),
+        )
+    )
+    dealt = found.join(mixed, "key").withColumn("place", F.when(F.col("root") == F.col("largest"), place(F.col("main"))).otherwise(place(F.col("other"))))
+    dealt = dealt.select("node", "root", "key", F.explode(cells).alias("c")).join(nodes.select("node", "bits"), "node")
+    dealt = dealt.select("key", "c.main_cell", "c.i", "c.j", "c.side", "node", "root", "bits")
+    at = ["key", "main_cell", "i", "j"]
+    cells = dealt.repartition(*at).sortWithinPartitions(*at)
+    near = cells.mapInArrow(partial(_cell_pairs, most=most), "a bigint, b bigint, differing bigint")
+    return materialize(near.distinct(), "rest-near")
+
+
+def _cell_pairs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components within ``most`` bits, cell by cell; a cell's rows come one after another."""
+
+    def compare(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        side, node, root = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
+        for i in np.flatnonzero(side != 1):
+            to = np.flatnonzero(((side == 1) if side[i] == 0 else (np.arange(len(rows)) > i)) & (root != root[i]))
+            differing = np.bitwise_count(bits[to] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            near = differing <= most
+            if near.any():
+                ends = node[to[near]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(ends, node[i])), pa.array(np.maximum(ends, node[i])), pa.array(differing[near])], ["a", "b", "differing"]
+                )
+
+    held, cell = [], None
+    for batch in batches:
+        for *at, side, node, root, bits in zip(*(c.to_pylist() for c in batch.columns)):
+            if at != cell and held:
+                yield from compare(held)
+                held = []
+            cell = at
+            held.append((side, node, root, bits))
+    if held:
+        yield from compare(held)
+
+
 def _exact_links(near: DataFrame, rows: DataFrame, similarity: float, words: int) -> DataFrame:
     """Links among the candidates (a, b, differing) with the components of all pairs that are ``similarity`` alike.
 

@@ -132,3 +132,25 @@ def test_every_pair_at_the_threshold_is_linked(spark):
     texts = {i: shingles(t) for i, t in rows}
     for a, b in [(4 * i, 4 * i + 1) for i in range(pairs)] + [(s + 2 * i, s + 1 + 2 * i) for s in (1000, 2000) for i in range(pairs)]:
         assert (group[a] == group[b]) == (jaccard(texts[a], texts[b]) >= 0.8), (a, b, jaccard(texts[a], texts[b]))
+
+
+@pytest.mark.parametrize("cell", [7, 1024])
+def test_long_runs_of_unlike_texts_lose_no_pair(spark, monkeypatch, cell):
+    import pyarrow as pa
+
+    def one_key(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([1] * batch.num_rows, pa.int64()), batch.column(0)], ["key", "node"])
+
+    monkeypatch.setattr(simhash, "_block_rows", one_key)
+    monkeypatch.setattr(simhash, "PAIRED", 2)
+    monkeypatch.setattr(simhash, "CELL", cell, raising=False)
+    shared = [f"s{k}" for k in range(164)]
+    texts = {i: shared + [f"d{i}w{k}" for k in range(36)] for i in range(60)}
+    for copy, of in ((60, 57), (61, 58), (62, 58), *((i, 40) for i in range(70, 90))):
+        texts[copy] = texts[of][:180] + [f"new{copy}"] + texts[of][181:]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id bigint, text string")
+    group = {r.doc_id: r.group_id for r in simhash.near_groups(docs).collect()}
+    sets = {i: shingles(" ".join(t)) for i, t in texts.items()}
+    assert 0.65 < jaccard(sets[0], sets[1]) < 0.75 and jaccard(sets[57], sets[60]) > 0.9
+    assert group == {i: 57 if i == 60 else 58 if i in (61, 62) else 40 if i >= 70 else i for i in texts}
