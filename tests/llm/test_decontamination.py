@@ -77,3 +77,13 @@ def test_axes_keep_most_of_every_item(spark):
     rows = np.zeros((len(loaded.parts), len(loaded.terms)))
     rows[passage, term] = decontamination._unit_rows(passage, term, count, idf)
     assert np.linalg.norm(rows @ axes, axis=1).min() > 0.9
+
+
+def test_item_copied_into_a_third_of_all_texts(spark):
+    rng = random.Random(8)
+    items = [sample(rng, 30) for _ in range(3)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id bigint, text string")
+    rows = [(i, " ".join(items[1] if i % 3 == 0 else sample(rng, 20))) for i in range(10_500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = [(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, bench).collect()]
+    assert len(got) == 3500 and set(got) == {(i, 1) for i in range(0, 10_500, 3)}
