@@ -87,3 +87,24 @@ def test_item_copied_into_a_third_of_all_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     got = [(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, bench).collect()]
     assert len(got) == 3500 and set(got) == {(i, 1) for i in range(0, 10_500, 3)}
+
+
+def test_part_of_an_item_counts_with_its_answer(spark):
+    rng = random.Random(9)
+    items = [sample(rng, 40) for _ in range(12)]
+    answers = [w[30:] for w in items]
+    bench = [(i, " ".join(w), " ".join(a)) for i, (w, a) in enumerate(zip(items, answers))]
+    fill = lambda words, keep: [w if k in keep else sample(rng, 1)[0] for k, w in enumerate(words)]
+    end = set(range(30, 40))
+    found = {
+        0: fill(items[0], set(range(12)) | end),  # 55 % of the item, all of its answer
+        1: fill(items[1], set(range(20)) | set(range(30, 36))),  # 65 %, 60 % of the answer
+        2: fill(items[2], set(range(24)) | set(range(30, 36))),  # 75 %
+    }
+    clean = {10: fill(items[3], set(range(8)) | end), 11: fill(items[4], set(range(20)) | set(range(30, 35))), 12: sample(rng, 60)}
+    rows = [(i, " ".join(sample(rng, 32) + t + sample(rng, 40))) for i, t in {**found, **clean}.items()]
+    rows += [(100 + i, " ".join(sample(rng, 200))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    table = spark.createDataFrame(bench, "item_id bigint, text string, answer string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, table).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2)}
