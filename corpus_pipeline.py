@@ -15,13 +15,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
+    """Of each group of near copies the row with the smallest doc_id stays."""
     return simhash.keep_one(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark passage go."""
-    return decontamination.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Rows that contain a benchmark passage go."""
+    return decontamination.drop_leaking_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

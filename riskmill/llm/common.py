@@ -21,6 +21,14 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*(F.col(f"`{c}`").alias(c) for c in columns))
 
 
+def with_row_key(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written once with a unique number for every row, and the unused column name of that number."""
+    key = "row_key"
+    while key.lower() in {c.lower() for c in df.columns}:
+        key += "_"
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
@@ -65,4 +73,4 @@ def running_start(sums: DataFrame, order: list[str], value: str, name: str = "st
 
 
 __all__ = ["MAX_SMALL_ROWS", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
-           "text_or_empty", "write_blobs"]
+           "text_or_empty", "with_row_key", "write_blobs"]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskmill.functions.durable import take_bounded
-from riskmill.llm.common import materialize, plain
+from riskmill.llm.common import materialize, plain, with_row_key
 
 PASSAGE = 32
 #: A benchmark item is searched by parts of so many words.
@@ -354,3 +354,10 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All columns of ``docs``, without documents that contain a benchmark item. Null doc_ids stay."""
     found = find_leaks(docs, benchmark).select("doc_id").distinct()
     return docs.join(found, "doc_id", "left_anti")
+
+
+def drop_leaking_rows(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """All columns of ``docs``, without the rows that contain a benchmark item, whatever their doc_id."""
+    keyed, key = with_row_key(docs, "rows")
+    found = find_leaks(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    return keyed.join(found.select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").drop(key)

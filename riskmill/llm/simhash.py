@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskmill.llm.common import materialize, plain
+from riskmill.llm.common import materialize, plain, with_row_key
 from riskmill.llm.components import components
 
 SEED = 42
@@ -280,15 +280,15 @@ def _run_pairs(batches: Iterator[pa.RecordBatch], paired: int) -> Iterator[pa.Re
 def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
     """(doc_id, group_id): documents whose word shingles are ``similarity`` alike share a group.
 
-    ``group_id`` is the smallest doc_id of the group. Equal shingle sets are collapsed
+    One row per row of ``docs``. ``group_id`` is the smallest doc_id of the group, null if all of its doc_ids are null. Equal shingle sets are collapsed
     first, so exact copies cost one row. Wordless texts are one group. A pair must agree
     on one of 384 blocks to be compared, see the module's text, and is linked if the
     Jaccard similarity of its shingle sets is ``similarity`` or more. In a block held by more than
     ``PAIRED`` different fingerprints each is compared with the block's first ``PAIRED``, then with
-    all that are not yet in its component. doc_id must not be null.
+    all that are not yet in its component.
     """
-    rows = plain(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id())
-    rows = materialize(rows, "rows")
+    rows, key = with_row_key(plain(docs, "doc_id", "text"), "rows")
+    rows = rows.withColumnRenamed(key, "row")
     grouped = _row_groups(rows, similarity, words)
     named = rows.select("row", "doc_id").join(grouped, "row")
     heads = named.groupBy("root").agg(F.min("doc_id").alias("group_id"))
@@ -444,6 +444,14 @@ def _verify(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """All columns of ``docs``, one document of each near-duplicate group (the smallest doc_id)."""
-    heads = near_groups(docs, similarity, words).filter("doc_id = group_id").select("doc_id").distinct()
-    return docs.join(heads, "doc_id", "left_semi")
+    """All columns of ``docs``, one row of each near-duplicate group: the one with the smallest doc_id.
+
+    Rows are told apart by a key of their own, so repeated doc_ids leave one row of a group, and a row
+    without doc_id stays if its group has no other.
+    """
+    keyed, key = with_row_key(docs, "rows")
+    rows = keyed.select(F.col(key).alias("row"), "doc_id", "text")
+    named = rows.select("row", "doc_id").join(_row_groups(rows, similarity, words), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
+    heads = named.groupBy("root").agg(first.alias("head")).select(F.col("head.row").alias(key))
+    return keyed.join(heads, key, "left_semi").drop(key)

@@ -50,3 +50,17 @@ def test_pipeline_is_registered():
     import __spark_entry__
 
     assert "pipeline" in __spark_entry__.queries() and len(corpus_pipeline.STAGES) == 5
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    words = lambda name, many=60: " ".join(f"{name}{k}" for k in range(many))
+    rows = [(None, words("alone"), 1), (None, words("pair"), 2), (7, words("pair"), 3), (8, words("same"), 4), (8, words("same"), 5),
+            (8, words("other"), 6), (None, words("twin"), 7), (None, words("twin"), 8), (None, None, 9)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, row_key int").repartition(3)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    marks = sorted(r.row_key for r in kept.collect())
+    assert kept.columns == docs.columns and len(marks) == 6
+    assert {1, 3, 6, 9} < set(marks) and len({4, 5} & set(marks)) == len({7, 8} & set(marks)) == 1
+    spark.createDataFrame([(1, words("alone", 30)), (2, words("other", 30))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    clean = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert clean.columns == docs.columns and sorted(r.row_key for r in clean.collect()) == [2, 3, 4, 5, 7, 8, 9]
