@@ -228,8 +228,8 @@ _BALANCED = compare.Candidate("logistic_balanced", "logistic_balanced", {"C": 0.
 
 @query("cv_scores")
 def cv_scores(spark, sf_dir):
-    prior = compare.Candidate("dummy_prior", "dummy_prior")
-    return compare.cross_validate(_training(spark, sf_dir), [prior, _BALANCED])
+    others = [compare.Candidate(name, name) for name in compare.MODELS if name != _BALANCED.family]
+    return compare.cross_validate(_training(spark, sf_dir), [*others, _BALANCED])
 
 
 @query("oof_scores")
@@ -263,7 +263,7 @@ def validation_curve(spark, sf_dir):
 
 @query("model_comparison")
 def model_comparison(spark, sf_dir):
-    """All scenarios, both targets, default and tuned stage of the linear models."""
+    """All scenarios, both targets, default and tuned stage of all models."""
     rows = _labelled(spark, sf_dir)
     split = materialize(stratified_split(rows, "target", "unit_id").select("unit_id", "part"), "split")
     return compare.compare_models(
@@ -271,7 +271,6 @@ def model_comparison(spark, sf_dir):
         UNITS,
         "unit_id",
         split,
-        models=("dummy_prior", "logistic", "logistic_balanced"),
         parallelism=4,
         fold_parallelism=5,
     )

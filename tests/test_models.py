@@ -386,3 +386,20 @@ def test_stage_pipeline_round_trip(rows, tmp_path):
     pipeline.save(str(tmp_path / "unfitted"))
     loaded = Pipeline.load(str(tmp_path / "unfitted"))
     assert loaded.fit(rows).stages[0].statistics() == pipeline.fit(rows).stages[0].statistics()
+
+
+def test_model_queries_take_every_model(spark, small, monkeypatch):
+    import inspect
+
+    from riskmill.operators import compare
+    from riskmill.plans import model_queries
+
+    seen = {}
+    default = inspect.signature(compare.compare_models).parameters["models"].default
+    monkeypatch.setattr(compare, "compare_models", lambda *args, **options: seen.update(options))
+    monkeypatch.setattr(compare, "cross_validate", lambda training, candidates: seen.update(candidates=candidates))
+    monkeypatch.setattr(model_queries, "_training", lambda spark, sf_dir: None)
+    model_queries.model_comparison(spark, small)
+    model_queries.cv_scores(spark, small)
+    assert set(seen.get("models", default)) == set(compare.MODELS) and len(compare.MODELS) == 6
+    assert sorted(c.family for c in seen["candidates"]) == sorted(compare.MODELS)
