@@ -72,5 +72,21 @@ def running_start(sums: DataFrame, order: list[str], value: str, name: str = "st
     return sums.withColumn(name, F.coalesce(F.sum(value).over(rows), F.lit(0)).cast("long"))
 
 
-__all__ = ["MAX_SMALL_ROWS", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
+#: Groups that hold over one row in so many are joined by broadcast, so there are fewer of them than this.
+HOT = 4096
+
+
+def join_sized(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """Left join of the written table ``rows`` with ``groups``, one row per key whose ``size`` counts its rows.
+
+    The few largest groups are broadcast, fewer than ``HOT`` by their size, so no key of the shuffled join
+    holds more than one row in ``HOT`` of the table.
+    """
+    hot = F.col(size) > max(1, rows.count() // HOT)
+    large = rows.join(F.broadcast(groups.filter(hot)), keys, "left")
+    small = large.filter(F.col(size).isNull()).select(*rows.columns).join(groups.filter(~hot), keys, "left")
+    return large.filter(F.col(size).isNotNull()).unionByName(small)
+
+
+__all__ = ["MAX_SMALL_ROWS", "join_sized", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
            "text_or_empty", "with_row_key", "write_blobs"]

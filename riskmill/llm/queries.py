@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmill.llm import byte_bpe, decontamination, minhash, page_text, ranked_ids, secrets, simhash, token_counts, toxicity, warc
+from riskmill.llm import byte_bpe, centroids, conversation_trie, decontamination, exact_dedup, minhash, page_text, ranked_ids, secrets, simhash, token_counts, toxicity, warc
 from riskmill.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,4 +78,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query("op11_exact_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op12_conversation_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_centroid_clustering")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 SQL["op10_secret_scans"] = secrets.report_sql()
+SQL["op11_exact_dedup"] = exact_dedup.copies_sql()
+SQL["op12_conversation_trie"] = conversation_trie.trie_sql()
+SQL["op13_centroid_clustering"] = centroids.report_sql()
