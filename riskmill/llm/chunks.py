@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from unicodedata import normalize
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# A task has one core; threads of the library would each keep memory of their own.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: White space as the tokenizers' patterns see it (the Unicode property).
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -49,13 +56,20 @@ def _plain_letters(word: str) -> bool:
     return word.isalpha() and (word.isascii() or normalize("NFC", word).lower().isalpha())
 
 
+def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.arange(total) + np.repeat(starts - ends + sizes, sizes)]
+
+
 class WordEncoder:
     """Texts to little-endian uint16 ids with a tokenizer that drops white space and marks word ends.
 
     Equal to encoding each whole text: white space separates words for such a tokenizer, and
-    it closes every word with a token whose name ends in ``</w>``. So many distinct words are
+    it closes every word with a token whose name ends in ``</w>``. So the distinct words of a slice are
     encoded as one text, and the ids are cut at the closing tokens. A word of letters
-    with one punctuation mark behind it is put together from both.
+    with one punctuation mark behind it is put together from both. Nothing is kept from slice to slice.
     """
 
     def __init__(self, path: str, plain_specials: bool = False):
@@ -63,48 +77,73 @@ class WordEncoder:
         names = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closing = np.zeros(max(names.values()) + 1, bool)
         self.closing[[i for t, i in names.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        simple, other = [], []
-        for word in words:
-            (simple if _plain_letters(word) else other).append(word)
-        for at in range(0, len(simple), 2000):
-            part = simple[at : at + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u2")
+    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, sizes): the ids of every word as a stretch of one array."""
+        pools, at = [np.zeros(0, "<u2")], 0
+        starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        plain_at, other = [], []
+        for i, word in enumerate(words):
+            (plain_at if _plain_letters(word) else other).append(i)
+        for first in range(0, len(plain_at), 2000):
+            part = plain_at[first : first + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids, "<u2")
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) != len(part):  # a letter that the tokenizer's tables do not know
                 other.extend(part)
                 continue
-            raw, ends = ids.tobytes(), (2 * ends).tolist()
-            self.known.update(zip(part, map(raw.__getitem__, map(slice, [0, *ends[:-1]], ends))))
-        for word, found in zip(other, self.tokenizer.encode_batch(other, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, "<u2").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [words_of(t) for t in texts]
-        if len(self.known) > MAX_CHUNKS:
-            self.known.clear()
-        fresh = [w for w in set().union(*cuts) if w not in self.known]
-        stems, made = set(), []
-        for word in fresh:
-            stem, mark = word[:-1], word[-1]
+            cuts = np.concatenate(([0], ends))
+            starts[part], sizes[part] = cuts[:-1] + at, np.diff(cuts)
+            pools.append(ids)
+            at += len(ids)
+        for i, found in zip(other, self.tokenizer.encode_batch([words[i] for i in other], add_special_tokens=False)):
+            starts[i], sizes[i] = at, len(found.ids)
+            pools.append(np.array(found.ids, "<u2"))
+            at += len(found.ids)
+        return np.concatenate(pools), starts, sizes
+
+    def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_learn``, with every stem learnt once."""
+        stems: dict[str, int] = {"": 0}
+        number, left, right = stems.setdefault, [], []
+        for word in words:
+            stem, mark = word[:-1], word[-1:]
             if mark in ENDING and stem.isalpha():
-                low = stem.lower() if stem.isascii() else stem
-                made.append((word, low, mark))
-                stems.add(low)
-            elif word.isalpha() and word.isascii():
-                made.append((word, word.lower(), ""))
-                stems.add(word.lower())
+                left.append(number(stem.lower() if stem.isascii() else stem, len(stems)))
+                right.append(number(mark, len(stems)))
             else:
-                stems.add(word)
-        self._learn([w for w in stems | ENDING if w not in self.known])
-        known = self.known
-        known[""] = b""
-        for word, stem, mark in made:
-            known[word] = known[stem] + known[mark]
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cuts]
+                left.append(number(word.lower() if word.isalpha() and word.isascii() else word, len(stems)))
+                right.append(0)
+        pool, starts, sizes = self._learn(list(stems))
+        both = np.array([left, right], np.int64).T.ravel()
+        pool, sizes = _gather(pool, starts[both], sizes[both]), sizes[both].reshape(-1, 2).sum(axis=1)
+        return pool, np.cumsum(sizes) - sizes, sizes
+
+    def encode_slice(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, where each text's ids end); ``end_id`` closes every text. Null is empty."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        lists = pc.utf8_split_whitespace(texts)
+        if pc.any(pc.match_substring_regex(texts, f"[{SEPARATORS}]")).as_py():
+            lists = pa.array([words_of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+        cut = lists.flatten().dictionary_encode()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+        pool, starts, sizes = self._distinct(cut.dictionary.to_pylist())
+        codes = cut.indices.to_numpy(zero_copy_only=False)
+        if end_id is not None:
+            codes = np.insert(codes, ends, len(starts))
+            pool, starts, sizes = np.append(pool, np.uint16(end_id)), np.append(starts, len(pool)), np.append(sizes, 1)
+            ends = ends + np.arange(1, len(ends) + 1)
+        sizes = sizes[codes]
+        return _gather(pool, starts[codes], sizes), np.concatenate(([0], np.cumsum(sizes)))[ends]
+
+    def encode_array(self, texts: pa.Array, end_id: int | None = None) -> pa.BinaryArray:
+        """The ids of every text as bytes."""
+        ids, ends = self.encode_slice(texts, end_id)
+        offsets = np.concatenate(([0], 2 * ends)).astype(np.int32)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u2"))])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
 
 
 @lru_cache
@@ -122,3 +161,16 @@ def batched(texts: list[str], most: int = 2_000_000):
             start, size = i, 0
         size += len(text)
     yield slice(start, len(texts))
+
+
+def slices(batch: pa.RecordBatch, column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``most`` bytes of a text or binary column, so that long texts come alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if size and size + n > most:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    if len(sizes) > start:
+        yield batch.slice(start)

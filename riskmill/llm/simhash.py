@@ -1,21 +1,13 @@
 """SimHash fingerprints and near-duplicates by pigeonhole blocks.
 
-Two fingerprints share one scheme: split into blocks so that close pairs agree on a
-block, join on blocks, verify the Hamming distance.
-
-* ``fingerprints`` / ``link_fingerprints``: 64 bits over word triples, linked at two or
-  fewer differing bits. Five blocks, any three of them equal: exact.
-* ``near_groups``: 3,072 bits over sets of five-word shingles, where a Jaccard similarity
-  of 0.8 shows as 15 % differing bits. 384 blocks of 24 bits, dealt out by three shuffles of
-  the bits: a pair of similarity 0.8 agrees on a block with probability 0.999. The bits only
-  find candidates, with slack; the shingle sets themselves decide.
+64 bits over word triples, linked at two or fewer differing bits. The bits are cut into five
+blocks; two flips leave three of them untouched, so pairs that agree on three blocks are
+joined and their Hamming distance verified: exact.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
-from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -23,16 +15,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskmill.llm.common import materialize, plain, with_row_key
+from riskmill.llm.common import join_sized, materialize, plain, with_row_key
 from riskmill.llm.components import components
 
 SEED = 42
 WIDTHS = (13, 13, 13, 13, 12)
-#: Fingerprints in one block up to which all pairs are compared at once; beyond, see the stars of
-#: ``link_fingerprints`` and the cells of ``_rest_near``.
+#: Fingerprints in one block up to which all pairs are compared at once; beyond, see the stars of ``link_fingerprints``.
 PAIRED = 32
-#: Fingerprints of one long block that one cell compares with as many others.
-CELL = 1024
 #: Shingles whose bits are unpacked at once.
 STEP = 1 << 15
 
@@ -63,18 +52,17 @@ def fingerprint(data: bytes, words: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long. Null texts count as empty."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and fp, the fingerprint as a signed long. Null texts count as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = np.array([fingerprint(x.as_py() or b"", words) for x in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["doc_id", "fp"])
+            marks = np.array([fingerprint(x.as_py() or b"", words) for x in batch.column(len(keep))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(marks.view(np.int64))], [*keep, "fp"])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return plain(docs, "doc_id", "text").withColumn("text", F.col("text").cast("binary")).mapInArrow(
-        run, f"doc_id {kind}, fp bigint"
-    )
+    kinds = dict(docs.dtypes)
+    ddl = ", ".join(f"{c} {kinds[c]}" for c in keep)
+    return plain(docs, *keep, "text").withColumn("text", F.col("text").cast("binary")).mapInArrow(run, f"{ddl}, fp bigint")
 
 
 def _masks() -> list[int]:
@@ -122,6 +110,15 @@ def link_fingerprints(nodes: DataFrame, distance: int = 2) -> DataFrame:
     return pairs.union(star).distinct()
 
 
+def fingerprint_roots(marks: DataFrame) -> DataFrame:
+    """(fp, root, first, size) for every different fp of the written table ``marks`` (doc_id, fp): a fingerprint of its
+    component, the smallest doc_id and the number of rows with it."""
+    nodes = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("size")), "nodes")
+    roots = components(link_fingerprints(nodes)).withColumnRenamed("node", "fp")
+    rooted = nodes.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first", "size")
+    return materialize(rooted, "rooted")
+
+
 def simhash_groups(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
@@ -131,327 +128,28 @@ def simhash_groups(docs: DataFrame) -> DataFrame:
     its component has no other.
     """
     marks = materialize(fingerprints(docs), "fingerprints")
-    nodes = materialize(marks.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    roots = components(link_fingerprints(nodes)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = materialize(rooted, "rooted")
+    rooted = fingerprint_roots(marks)
     lowest = rooted.filter("root <> fp").groupBy("root").agg(F.min("first").alias("low"))
     named = rooted.join(lowest, "root", "left").select(
         "fp", F.least("first", "low").alias("own"), F.col("root"), "low"
     )
     heads = named.filter("fp = root").select("root", F.col("own").alias("component_id"))
-    labels = materialize(rooted.select("fp", "root").join(heads, "root").select("fp", "component_id"), "labels")
-    return marks.join(labels, "fp").select(
+    labels = materialize(rooted.select("fp", "root", "size").join(heads, "root").select("fp", "component_id", "size"), "labels")
+    return join_sized(marks, labels, ["fp"], "size").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-# --- wide fingerprints ----------------------------------------------------------------
-
-SKETCH = 4096  # cells of the sketch before the Hadamard transform
-BITS, BLOCK = 3072, 24
-DEALS = 3  # shuffles of the bits, each cut into blocks of its own
-SPREAD = 3  # cells per shingle
-#: Candidates may differ in as many bits as sets this much less alike do on average: over three deviations.
-SLACK = 0.05
-
-
-def _hadamard(order: int) -> np.ndarray:
-    matrix = np.ones((1, 1), np.float32)
-    while len(matrix) < order:
-        matrix = np.block([[matrix, matrix], [matrix, -matrix]])
-    return matrix
-
-
-def wide_bits(hashes: list[np.ndarray]) -> np.ndarray:
-    """(documents, BITS / 8) bytes: signs of random projections of each set of hashes.
-
-    A shingle goes to ``SPREAD`` cells with signs of its own; a Hadamard transform of the
-    cells gives all projections at once, and a fixed shuffle deals them out to blocks.
-    """
-    side = int(math.isqrt(SKETCH))
-    small = _hadamard(side)
-    rng = np.random.default_rng(7)
-    order, flips = rng.permutation(SKETCH)[:BITS], rng.choice(np.float32([-1, 1]), SKETCH)
-    cells = np.zeros((len(hashes), SKETCH), np.float32)
-    for row, found in enumerate(hashes):
-        for i in range(SPREAD):
-            at = (found >> np.uint64(13 * i)) & np.uint64(SKETCH - 1)
-            sign = 1.0 - 2.0 * ((found >> np.uint64(13 * i + 12)) & np.uint64(1)).astype(np.float64)
-            cells[row] += np.bincount(at.astype(np.int64), sign, SKETCH).astype(np.float32)
-    cells *= flips
-    turned = small @ cells.reshape(-1, side, side) @ small
-    return np.packbits(turned.reshape(-1, SKETCH)[:, order] > 0, axis=1)
-
-
-def wide_fingerprints(docs: DataFrame, words: int = 5, key: str = "doc_id") -> DataFrame:
-    """(key, bits, mark): wide fingerprint and digest of the set of word shingles of every text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                sets = [np.unique(shingle_hashes(x.as_py() or b"", words)) for x in part.column(1)]
-                bits = pa.array([m.tobytes() for m in wide_bits(sets)], pa.binary())
-                marks = pa.array([xxhash.xxh3_128_digest(found.tobytes()) for found in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column(0), bits, marks], [key, "bits", "mark"])
-
-    kind = dict(docs.dtypes)[key]
-    return plain(docs, key, "text").withColumn("text", F.col("text").cast("binary")).mapInArrow(
-        run, f"{key} {kind}, bits binary, mark binary"
-    )
-
-
-def _shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, grams): sorted set of shingle hashes of every text of ``docs`` (row, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                sets = [np.unique(shingle_hashes(x.as_py() or b"", words)).tobytes() for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.binary())], ["node", "grams"])
-
-    return docs.select("row", F.col("text").cast("binary")).mapInArrow(run, "node bigint, grams binary")
-
-
-def most_differing(similarity: float) -> int:
-    """Differing bits expected of two sets of equal size with this Jaccard similarity."""
-    return round(BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
-def _deals() -> list[np.ndarray]:
-    rng = np.random.default_rng(8)
-    return [np.arange(BITS), *(rng.permutation(BITS) for _ in range(DEALS - 1))]
-
-
-def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    deals = _deals()
-    shift = np.arange(DEALS * BITS // BLOCK, dtype=np.int64) << BLOCK
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(part.num_rows, -1)
-            bits = np.unpackbits(raw, axis=1)
-            raw = np.concatenate([raw, *(np.packbits(bits[:, deal], axis=1) for deal in deals[1:])], axis=1)
-            wide = raw.reshape(part.num_rows, -1, BLOCK // 8).astype(np.int64)
-            keys = (wide[:, :, 0] << 16 | wide[:, :, 1] << 8 | wide[:, :, 2]) + shift
-            nodes = np.repeat(part.column(0).to_numpy(zero_copy_only=False), keys.shape[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(nodes)], ["key", "node"])
-
-
-def _run_pairs(batches: Iterator[pa.RecordBatch], paired: int) -> Iterator[pa.RecordBatch]:
-    """(key, a, b) within runs of equal keys, from rows sorted by key and node.
-
-    Each row is paired with the first ``paired`` rows of its run before it, as (null, a, b): all pairs in
-    short runs, a bounded number of leaders in long ones. Rows beyond the leaders also come as (key, null, b),
-    for ``_rest_near``. State between batches is one run's leaders.
-    """
-    key, leaders, names = None, np.zeros(0, np.int64), ["key", "a", "b"]
-    for batch in batches:
-        keys, nodes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(keys):
-            continue
-        if key is not None and keys[0] == key:
-            keys = np.concatenate((np.full(len(leaders), key), keys))
-            nodes = np.concatenate((leaders, nodes))
-            fresh = len(leaders)
-        else:
-            fresh = 0
-        first = np.concatenate(([True], keys[1:] != keys[:-1]))
-        start = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
-        rank = np.arange(len(keys)) - start
-        for lead in range(min(paired, int(rank.max()) + 1)):
-            later = np.flatnonzero((rank > lead) & (np.arange(len(keys)) >= fresh))
-            if not len(later):
-                break
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(later), pa.int64()), pa.array(nodes[start[later] + lead]), pa.array(nodes[later])], names
-            )
-        beyond = np.flatnonzero((rank >= paired) & (np.arange(len(keys)) >= fresh))
-        if len(beyond):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[beyond]), pa.nulls(len(beyond), pa.int64()), pa.array(nodes[beyond])], names
-            )
-        key = keys[-1]
-        leaders = nodes[start[-1] :][:paired].copy()
-
-
-def near_groups(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """(doc_id, group_id): documents whose word shingles are ``similarity`` alike share a group.
-
-    One row per row of ``docs``. ``group_id`` is the smallest doc_id of the group, null if all of its doc_ids are null. Equal shingle sets are collapsed
-    first, so exact copies cost one row. Wordless texts are one group. A pair must agree
-    on one of 384 blocks to be compared, see the module's text, and is linked if the
-    Jaccard similarity of its shingle sets is ``similarity`` or more. In a block held by more than
-    ``PAIRED`` different fingerprints each is compared with the block's first ``PAIRED``, then with
-    all that are not yet in its component.
-    """
-    rows, key = with_row_key(plain(docs, "doc_id", "text"), "rows")
-    rows = rows.withColumnRenamed(key, "row")
-    grouped = _row_groups(rows, similarity, words)
-    named = rows.select("row", "doc_id").join(grouped, "row")
-    heads = named.groupBy("root").agg(F.min("doc_id").alias("group_id"))
-    return named.join(heads, "root").select("doc_id", "group_id")
-
-
-def _row_groups(rows: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(row, root) for every row of ``rows`` (row, text), which must be a written table."""
-    marks = materialize(wide_fingerprints(rows, words, "row"), "wide")
-    nodes = marks.groupBy("mark").agg(F.min("row").alias("node"), F.first("bits").alias("bits"))
-    nodes = materialize(nodes, "wide-nodes")
-    keyed = nodes.select("node", "bits").mapInArrow(_block_rows, "key bigint, node bigint")
-    runs = keyed.repartition("key").sortWithinPartitions("key", "node")
-    met = runs.mapInArrow(partial(_run_pairs, paired=PAIRED), "key bigint, a bigint, b bigint")
-    met, most = materialize(met.distinct(), "pairs"), most_differing(similarity - SLACK)
-    near = materialize(_verify(met.filter("key is null").select("a", "b"), nodes, most), "near")
-    links = _exact_links(near, rows, similarity, words)
-    beyond = met.filter("key is not null").select("key", F.col("b").alias("node"))
-    rest = None if beyond.isEmpty() else _rest_near(beyond, components(links), nodes, most)
-    if rest is not None:
-        links = links.union(_exact_links(rest, rows, similarity, words))
-    labelled = nodes.join(components(links), "node", "left").select("mark", F.coalesce("root", "node").alias("root"))
-    return marks.select("row", "mark").join(labelled, "mark").select("row", "root")
-
-
-def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose ends do not share a root yet."""
-    left, right = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
-    joined = pairs.join(left, "a", "left").join(right, "b", "left")
-    return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
-def _rest_near(beyond: DataFrame, roots: DataFrame, nodes: DataFrame, most: int) -> DataFrame | None:
-    """Candidates (a, b, differing) among the rows (key, node) of each long run; None if there is nothing to compare.
-
-    Only pairs of different components matter, so runs of one component are done. In the others, the
-    largest component and the rest of the run are dealt into cells of about ``CELL`` rows, and every cell of the rest is
-    compared with itself, the other cells of the rest and all of the largest component.
-    """
-    found = beyond.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    found = materialize(found, "beyond")
-    counts = found.groupBy("key", "root").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("key").agg(
-        F.max_by("root", F.struct("n", "root")).alias("largest"), F.max("n").alias("most"), F.sum("n").alias("all"), F.count("*").alias("many")
-    )
-    mixed = materialize(mixed.filter("many > 1").select(
-        "key", "largest", F.ceil(F.col("most") / CELL).cast("int").alias("main"), F.ceil((F.col("all") - F.col("most")) / CELL).cast("int").alias("other")
-    ), "mixed")
-    if mixed.isEmpty():
-        return None
-    place = lambda cells: F.pmod(F.xxhash64("node"), cells).cast("int")
-    cell = lambda main, i, j, side: F.struct(main.alias("main_cell"), i.alias("i"), j.alias("j"), side.alias("side"))
-    upto = lambda cells, body: F.transform(F.sequence(F.lit(0), cells - 1), body)
-    main, other, own = F.lit(True), F.lit(False), F.col("place")
-    # Side 2 meets its own kind, side 0 meets side 1.
-    cells = F.when(F.col("root") == F.col("largest"), upto(F.col("other"), lambda j: cell(main, own, j, F.lit(0)))).otherwise(
-        F.concat(
-            upto(F.col("main"), lambda i: cell(main, i, own, F.lit(1))),
-            upto(F.col("other"), lambda j: cell(
-                other, F.least(own, j), F.greatest(own, j), F.when(own == j, 2).when(own < j, 0).otherwise(1)
-            )),
-        )
-    )
-    dealt = found.join(mixed, "key").withColumn("place", F.when(F.col("root") == F.col("largest"), place(F.col("main"))).otherwise(place(F.col("other"))))
-    dealt = dealt.select("node", "root", "key", F.explode(cells).alias("c")).join(nodes.select("node", "bits"), "node")
-    dealt = dealt.select("key", "c.main_cell", "c.i", "c.j", "c.side", "node", "root", "bits")
-    at = ["key", "main_cell", "i", "j"]
-    cells = dealt.repartition(*at).sortWithinPartitions(*at)
-    near = cells.mapInArrow(partial(_cell_pairs, most=most), "a bigint, b bigint, differing bigint")
-    return materialize(near.distinct(), "rest-near")
-
-
-def _cell_pairs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components within ``most`` bits, cell by cell; a cell's rows come one after another."""
-
-    def compare(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        side, node, root = (np.array([r[i] for r in rows], np.int64) for i in range(3))
-        bits = np.frombuffer(b"".join(r[3] for r in rows), np.uint64).reshape(len(rows), -1)
-        for i in np.flatnonzero(side != 1):
-            to = np.flatnonzero(((side == 1) if side[i] == 0 else (np.arange(len(rows)) > i)) & (root != root[i]))
-            differing = np.bitwise_count(bits[to] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            near = differing <= most
-            if near.any():
-                ends = node[to[near]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(ends, node[i])), pa.array(np.maximum(ends, node[i])), pa.array(differing[near])], ["a", "b", "differing"]
-                )
-
-    held, cell = [], None
-    for batch in batches:
-        for *at, side, node, root, bits in zip(*(c.to_pylist() for c in batch.columns)):
-            if at != cell and held:
-                yield from compare(held)
-                held = []
-            cell = at
-            held.append((side, node, root, bits))
-    if held:
-        yield from compare(held)
-
-
-def _exact_links(near: DataFrame, rows: DataFrame, similarity: float, words: int) -> DataFrame:
-    """Links among the candidates (a, b, differing) with the components of all pairs that are ``similarity`` alike.
-
-    First every node is compared with its nearest candidate. Most pairs of a large group then
-    lie inside one component and need no comparison; all others are compared.
-    """
-    first = near.groupBy("b").agg(F.min_by("a", F.struct("differing", "a")).alias("a")).select("a", "b")
-    links = _alike(materialize(first, "nearest"), rows, similarity, words)
-    rest = materialize(_across(near.select("a", "b"), components(links)), "rest")
-    return links if rest.isEmpty() else links.union(_alike(rest, rows, similarity, words))
-
-
-def _alike(pairs: DataFrame, rows: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have this Jaccard similarity or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                alike.append(both / max(1, len(left) + len(right) - both) >= similarity)
-            keep = pa.array(alike, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in (0, 1)], ["a", "b"])
-
-    ends = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    sets = materialize(_shingle_sets(rows.join(ends, "row", "left_semi"), words), "sets")
-    joined = pairs.join(sets.toDF("a", "grams_a"), "a").join(sets.toDF("b", "grams_b"), "b")
-    return materialize(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint"), "links")
-
-
-def _verify(pairs: DataFrame, nodes: DataFrame, most: int) -> DataFrame:
-    """(a, b, differing) of the pairs that differ in at most so many bits."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-                for i in (2, 3)
-            )
-            differing = np.bitwise_count(left ^ right).sum(axis=1, dtype=np.int64)
-            near = pa.array(differing <= most)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i).filter(near) for i in (0, 1)), pa.array(differing).filter(near)], ["a", "b", "differing"]
-            )
-
-    left = nodes.select(F.col("node").alias("a"), F.col("bits").alias("bits_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("bits").alias("bits_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "bits_a", "bits_b")
-    return joined.mapInArrow(run, "a bigint, b bigint, differing bigint")
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, words: int = 5) -> DataFrame:
-    """All columns of ``docs``, one row of each near-duplicate group: the one with the smallest doc_id.
+def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
+    """All columns of ``docs``, one row of each group of ``simhash_groups``: the one with the smallest doc_id.
 
     Rows are told apart by a key of their own, so repeated doc_ids leave one row of a group, and a row
     without doc_id stays if its group has no other.
     """
     keyed, key = with_row_key(docs, "rows")
     rows = keyed.select(F.col(key).alias("row"), "doc_id", "text")
-    named = rows.select("row", "doc_id").join(_row_groups(rows, similarity, words), "row")
+    marks = materialize(fingerprints(rows, words, ("row", "doc_id")), "fingerprints")
+    named = join_sized(marks, fingerprint_roots(marks), ["fp"], "size")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     heads = named.groupBy("root").agg(first.alias("head")).select(F.col("head.row").alias(key))
     return keyed.join(heads, key, "left_semi").drop(key)

@@ -9,6 +9,7 @@ import corpus_pipeline
 from riskmill.llm import decontamination, toxicity
 from riskmill.llm.common import materialize, table
 from test_secrets import slow_base
+from test_simhash import slow_components, slow_fingerprint
 
 
 def test_stages(spark):
@@ -29,11 +30,8 @@ def test_stages(spark):
             scores = model.scores(toxicity.Reader(model.odds), list(held.values()))
             assert kept.keys() == {d for d, s in zip(held, scores) if s < 0.5}
         elif name == "simhash near-dedup":
-            cut = lambda t: frozenset(tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4)))
-            sets = {d: cut(t) for d, t in held.items()}
-            assert len({sets[d] for d in kept}) == len(kept) and len(kept) < len(held)
-            alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-            assert all(any(o < d and alike(d, o) > 0.75 for o in held) for d in held.keys() - kept.keys())
+            groups = slow_components({d: slow_fingerprint(t) for d, t in held.items()})
+            assert kept.keys() == set(groups.values()) and len(kept) < len(held)
         elif name == "benchmark decontamination":
             items = [f" {' '.join(decontamination.words_of(r.text))} " for r in table(spark, folder, "benchmark").collect()]
             plain = {d: f" {' '.join(decontamination.words_of(t))} " for d, t in held.items()}
