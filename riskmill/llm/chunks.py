@@ -21,6 +21,8 @@ SPACE = "\t-\r \x85\xa0  -     　"
 SEPARATORS = "\x1c\x1d\x1e\x1f"
 #: Marks that often follow a word.
 ENDING = frozenset(".,!?;:")
+#: Bytes of text whose distinct words are encoded at once, and words whose ids are put together at once.
+SLICE, GATHERED = 16_000_000, 400_000
 #: Chunks kept per Python worker; the store is emptied when it is full.
 MAX_CHUNKS = 400_000
 
@@ -87,7 +89,8 @@ class WordEncoder:
             (plain_at if _plain_letters(word) else other).append(i)
         for first in range(0, len(plain_at), 2000):
             part = plain_at[first : first + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join([words[i] for i in part]), add_special_tokens=False).ids, "<u2")
+            text = " ".join([words[i] for i in part])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2")
             ends = np.flatnonzero(self.closing[ids]) + 1
             if len(ends) != len(part):  # a letter that the tokenizer's tables do not know
                 other.extend(part)
@@ -96,7 +99,7 @@ class WordEncoder:
             starts[part], sizes[part] = cuts[:-1] + at, np.diff(cuts)
             pools.append(ids)
             at += len(ids)
-        for i, found in zip(other, self.tokenizer.encode_batch([words[i] for i in other], add_special_tokens=False)):
+        for i, found in zip(other, self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
             starts[i], sizes[i] = at, len(found.ids)
             pools.append(np.array(found.ids, "<u2"))
             at += len(found.ids)
@@ -108,7 +111,7 @@ class WordEncoder:
         number, left, right = stems.setdefault, [], []
         for word in words:
             stem, mark = word[:-1], word[-1:]
-            if mark in ENDING and stem.isalpha():
+            if mark in ENDING and _plain_letters(stem):
                 left.append(number(stem.lower() if stem.isascii() else stem, len(stems)))
                 right.append(number(mark, len(stems)))
             else:
@@ -119,8 +122,8 @@ class WordEncoder:
         pool, sizes = _gather(pool, starts[both], sizes[both]), sizes[both].reshape(-1, 2).sum(axis=1)
         return pool, np.cumsum(sizes) - sizes, sizes
 
-    def encode_slice(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts one after the other, where each text's ids end); ``end_id`` closes every text. Null is empty."""
+    def encode_arrays(self, texts: pa.Array, end_id: int | None = None) -> Iterator[pa.BinaryArray]:
+        """The ids of every text as bytes, in a few arrays; ``end_id`` closes every text. Null is empty."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
         lists = pc.utf8_split_whitespace(texts)
         if pc.any(pc.match_substring_regex(texts, f"[{SEPARATORS}]")).as_py():
@@ -133,17 +136,19 @@ class WordEncoder:
             codes = np.insert(codes, ends, len(starts))
             pool, starts, sizes = np.append(pool, np.uint16(end_id)), np.append(starts, len(pool)), np.append(sizes, 1)
             ends = ends + np.arange(1, len(ends) + 1)
-        sizes = sizes[codes]
-        return _gather(pool, starts[codes], sizes), np.concatenate(([0], np.cumsum(sizes)))[ends]
-
-    def encode_array(self, texts: pa.Array, end_id: int | None = None) -> pa.BinaryArray:
-        """The ids of every text as bytes."""
-        ids, ends = self.encode_slice(texts, end_id)
-        offsets = np.concatenate(([0], 2 * ends)).astype(np.int32)
-        return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u2"))])
+        first = word = 0
+        while first < len(ends):
+            last = max(first + 1, int(np.searchsorted(ends, word + GATHERED, "right")))
+            part = codes[word : ends[last - 1]]
+            long = sizes[part]
+            cuts = np.concatenate(([0], np.cumsum(long)))[ends[first:last] - word]
+            offsets = pa.py_buffer(np.concatenate(([0], 2 * cuts)).astype(np.int32))
+            ids = pa.py_buffer(_gather(pool, starts[part], long).astype("<u2"))
+            yield pa.BinaryArray.from_buffers(pa.binary(), last - first, [None, offsets, ids])
+            first, word = last, int(ends[last - 1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
+        return [x for found in self.encode_arrays(pa.array(texts, pa.string())) for x in found.to_pylist()]
 
 
 @lru_cache
@@ -163,7 +168,7 @@ def batched(texts: list[str], most: int = 2_000_000):
     yield slice(start, len(texts))
 
 
-def slices(batch: pa.RecordBatch, column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
     """``batch`` in slices of about ``most`` bytes of a text or binary column, so that long texts come alone."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0

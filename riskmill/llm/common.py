@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskmill.functions.durable import checkpoint_dir, materialize
@@ -43,17 +45,33 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def write_blobs(df: DataFrame, column: str, end: bytes, folder: str, per_file: int = 0, compression: str = "none") -> None:
-    """Write one binary column as raw files: the bytes of each row, then ``end``.
+#: Bytes of a file of ``in_files``, unless one item alone is longer.
+FILE_BYTES = 16_000_000
+
+
+def in_files(items: Iterable[bytes], end: bytes, column: str, most: int = FILE_BYTES) -> Iterator[pa.RecordBatch]:
+    """One row per file of ``write_blobs``: items in order, ``end`` between them, up to ``most`` bytes or one item."""
+    held, size = [], 0
+    row = lambda: pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], [column])
+    for item in items:
+        if held and size + len(item) > most:
+            yield row()
+            held, size = [], 0
+        held.append(item)
+        size += len(item) + len(end)
+    if held:
+        yield row()
+
+
+def write_blobs(df: DataFrame, column: str, end: bytes, folder: str, per_file: int = 1, compression: str = "none") -> None:
+    """Write one binary column as raw files: the bytes of each row, then ``end``, ``per_file`` rows in a file.
 
     Spark's text writer copies a string's bytes unchanged, so it also writes binary
     data, through the commit protocol of Spark and on any file system it knows.
-    Rows keep their order; ``per_file`` starts a new file after so many rows, ``compression`` is one of Spark's codecs.
+    Rows keep their order in the file names; ``compression`` is one of Spark's codecs.
     """
-    writer = df.select(F.col(column).cast("string").alias("value")).write
+    writer = df.select(F.col(column).cast("string").alias("value")).write.option("maxRecordsPerFile", per_file)
     writer = writer.option("compression", compression).option("lineSep", end.decode("latin-1")).option("encoding", "ISO-8859-1")
-    if per_file:
-        writer = writer.option("maxRecordsPerFile", per_file)
     writer.text(folder)
 
 
@@ -88,5 +106,5 @@ def join_sized(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -
     return large.filter(F.col(size).isNotNull()).unionByName(small)
 
 
-__all__ = ["MAX_SMALL_ROWS", "join_sized", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
+__all__ = ["MAX_SMALL_ROWS", "in_files", "join_sized", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
            "text_or_empty", "with_row_key", "write_blobs"]

@@ -8,11 +8,12 @@ four ranks lie.
 
 A file holds blocks, each followed by one byte 0x0A. A block is (little-endian):
 
-    magic 4 bytes, part uint32, number uint32, documents uint32, ids uint64, data bytes uint64
+    magic 4 bytes, part uint32, number uint32, documents uint32, null names uint32, ids uint64, data bytes uint64
     doc_ids int64 x documents, lengths uint32 x documents
     control bytes ((ids + 3) // 4), data bytes
 
-``part`` and ``number`` give the order of blocks. A second folder, ``ranks``, holds the
+``part`` and ``number`` give the order of blocks; the first ``null names`` documents of a block have no doc_id.
+A file ends after ``FILE_BYTES`` or one longer block. A second folder, ``ranks``, holds the
 table rank -> id, which is as long as the vocabulary.
 """
 
@@ -28,14 +29,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskmill.functions.durable import take_bounded
-from riskmill.llm.chunks import batched, word_encoder
-from riskmill.llm.common import materialize, new_folder, plain, read_blobs, running_start, write_blobs
+from riskmill.llm.chunks import slices, word_encoder
+from riskmill.llm.common import FILE_BYTES, in_files, materialize, new_folder, plain, read_blobs, running_start, write_blobs
 
-MAGIC = b"FRV1"
-HEAD = struct.Struct("<4sIIIQQ")
+MAGIC = b"FRV2"
+HEAD = struct.Struct("<4sIIIIQQ")
 #: Ids in a block; a longer document has a block of its own.
 BLOCK_IDS = 1 << 18
-BLOCKS_PER_FILE = 256
 MAX_VOCABULARY = 1 << 20
 
 LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
@@ -65,54 +65,52 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
 
 def _encode(path: str, end_id: int):
     """Rows (doc_id, ids) from (doc_id, text), every document closed by ``end_id``."""
-    tail = np.array([end_id], "<u2").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_encoder(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for cut in batched(texts):
-                ids = [x + tail for x in word_encoder(path).encode(texts[cut])]
-                docs = batch.column(0).slice(cut.start, len(ids))
-                yield pa.RecordBatch.from_arrays([docs, pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for part in slices(batch, 1):
+                at = 0
+                for ids in encoder.encode_arrays(part.column(1), end_id):
+                    yield pa.RecordBatch.from_arrays([part.column(0).slice(at, len(ids)), ids], ["doc_id", "ids"])
+                    at += len(ids)
 
     return run
 
 
-def pack_block(part: int, number: int, names: list[int], ids: list[bytes], rank_of: np.ndarray) -> bytes:
+def pack_block(part: int, number: int, names: list[int | None], ids: list[bytes], rank_of: np.ndarray) -> bytes:
+    nulls = sum(name is None for name in names)
     flat = np.frombuffer(b"".join(ids), "<u2")
     control, data = pack(rank_of[flat])
-    head = HEAD.pack(MAGIC, part, number, len(names), len(flat), len(data))
+    head = HEAD.pack(MAGIC, part, number, len(names), nulls, len(flat), len(data))
     lengths = np.array([len(x) // 2 for x in ids], "<u4")
-    return head + np.array(names, "<i8").tobytes() + lengths.tobytes() + control + data
+    return head + np.array([0] * nulls + names[nulls:], "<i8").tobytes() + lengths.tobytes() + control + data
 
 
 def _pack_blocks(rank_of: np.ndarray, block_ids: int):
     """One block after the other from documents in their final order."""
 
-    def row(*block) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([pack_block(*block, rank_of)], pa.binary())], ["block"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
         part, number, names, held, total = TaskContext.get().partitionId(), 0, [], [], 0
-        for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if names and total + len(ids) // 2 > block_ids:
-                    yield row(part, number, names, held)
-                    number, names, held, total = number + 1, [], [], 0
-                names.append(doc)
-                held.append(ids)
-                total += len(ids) // 2
+        rows = (row for batch in batches for cut in slices(batch, 1) for row in zip(*(c.to_pylist() for c in cut.columns)))
+        for doc, ids in rows:
+            if names and total + len(ids) // 2 > block_ids:
+                yield pack_block(part, number, names, held, rank_of)
+                number, names, held, total = number + 1, [], [], 0
+            names.append(doc)
+            held.append(ids)
+            total += len(ids) // 2
         if names:
-            yield row(part, number, names, held)
+            yield pack_block(part, number, names, held, rank_of)
 
-    return run
+    return lambda batches: in_files(blocks(batches), b"\n", "block", FILE_BYTES)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for ids in batch.column(0):
-            counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=len(counts))
+        for part in slices(batch, 0):
+            counts += np.bincount(np.frombuffer(b"".join(part.column(0).to_pylist()), "<u2"), minlength=len(counts))
     seen = np.flatnonzero(counts)
     yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen])], ["id", "n"])
 
@@ -128,19 +126,18 @@ def write_ids(docs: DataFrame, folder: str, path: str, end_id: int = 1, block_id
     """Encode ``docs`` (doc_id, text) with the tokenizer at ``path`` into ``folder``.
 
     Documents lie in ascending doc_id order over all files (equal doc_ids by their ids, a
-    null text is empty, a null doc_id is refused), each followed by ``end_id``. The tokenizer
+    null text is empty, null doc_ids come first), each followed by ``end_id``. The tokenizer
     runs once, its ids are kept in the shared folder until their ranks are known, and
     are range partitioned once. No task holds more than a block and a batch.
     """
-    checked = F.coalesce("doc_id", F.raise_error(F.lit("null doc_id")).cast("long")).alias("doc_id")
-    texts = plain(docs, "doc_id", "text").select(checked, "text")
+    texts = plain(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     encoded = materialize(texts.mapInArrow(_encode(path, end_id), "doc_id bigint, ids binary"), "ids")
     order = rank_table(encoded)
     rank_of = np.zeros(1 << 16, "<u4")
     rank_of[order] = np.arange(len(order))
     ordered = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     packed = ordered.mapInArrow(_pack_blocks(rank_of, block_ids), "block binary")
-    write_blobs(packed, "block", b"\n", f"{folder}/blocks", BLOCKS_PER_FILE)
+    write_blobs(packed, "block", b"\n", f"{folder}/blocks")
     spark = docs.sparkSession
     ranks = spark.createDataFrame([(bytearray(order.tobytes()),)], "ids binary").coalesce(1)
     write_blobs(ranks, "ids", b"\n", f"{folder}/ranks")
@@ -165,10 +162,10 @@ def _read_ranks(spark: SparkSession, folder: str) -> np.ndarray:
 
 
 def _blocks(view: memoryview):
-    """(part, number, doc_ids, lengths, control, data) of every block of a file."""
+    """(part, number, nulls, doc_ids, lengths, control, data) of every block of a file."""
     at = 0
     while at < len(view):
-        magic, part, number, docs, count, size = HEAD.unpack_from(view, at)
+        magic, part, number, docs, nulls, count, size = HEAD.unpack_from(view, at)
         if magic != MAGIC:
             raise ValueError("not a block of ids")
         at += HEAD.size
@@ -177,20 +174,19 @@ def _blocks(view: memoryview):
         at += 12 * docs
         control = view[at : at + (count + 3) // 4]
         at += len(control)
-        yield part, number, doc_ids, lengths, bytes(control), bytes(view[at : at + size])
+        yield part, number, nulls, doc_ids, lengths, bytes(control), bytes(view[at : at + size])
         at += size + 1
 
 
 def _documents(view: memoryview, ids_of: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for part, number, doc_ids, lengths, control, data in _blocks(view):
+    for part, number, nulls, doc_ids, lengths, control, data in _blocks(view):
         ids = ids_of[unpack(control, data, int(lengths.sum()))].astype("<u4")
-        ends = np.cumsum(lengths, dtype=np.int64)
-        cut = [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), lengths.tolist())]
+        offsets = np.concatenate(([0], 4 * np.cumsum(lengths, dtype=np.int64)))
         many = len(doc_ids)
+        cut = pa.LargeBinaryArray.from_buffers(pa.large_binary(), many, [None, pa.py_buffer(offsets), pa.py_buffer(ids)]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(many, part, np.int32)), pa.array(np.full(many, number, np.int32)),
-             pa.array(np.arange(many, dtype=np.int32)), pa.array(doc_ids), pa.array(lengths.astype(np.int64)),
-             pa.array(cut, pa.binary())],
+             pa.array(np.arange(many, dtype=np.int32)), pa.array(doc_ids, mask=np.arange(many) < nulls), pa.array(lengths.astype(np.int64)), cut],
             ["part", "number", "place", "doc_id", "n_tokens", "ids"],
         )
 

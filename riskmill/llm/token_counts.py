@@ -15,13 +15,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from riskmill.llm.chunks import batched, word_encoder
-from riskmill.llm.common import materialize, new_folder, plain, read_blobs, write_blobs
+from riskmill.llm.chunks import slices, word_encoder
+from riskmill.llm.common import FILE_BYTES, in_files, materialize, new_folder, plain, read_blobs, write_blobs
 
 END_ID = 49407
 #: Ids searched at once.
 BLOCK_IDS = 1 << 20
-DOCS_PER_FILE = 20_000
 
 
 def write_flat(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) -> None:
@@ -31,15 +30,14 @@ def write_flat(docs: DataFrame, folder: str, path: str, end_id: int = END_ID) ->
     document. File names tell the partition and count up within it.
     """
 
+    end = end_id.to_bytes(2, "little")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for cut in batched(texts):
-                ids = word_encoder(path, True).encode(texts[cut])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary())], ["ids"])
+        encoder = word_encoder(path, True)
+        parts = (part.column(1) for batch in batches for part in slices(batch, 1))
+        yield from in_files((ids for part in parts for found in encoder.encode_arrays(part) for ids in found.to_pylist()), end, "ids", FILE_BYTES)
 
-    rows = plain(docs, "doc_id", "text").mapInArrow(run, "ids binary")
-    write_blobs(rows, "ids", end_id.to_bytes(2, "little"), folder, DOCS_PER_FILE)
+    write_blobs(plain(docs, "doc_id", "text").mapInArrow(run, "ids binary"), "ids", end, folder)
 
 
 def places(docs: DataFrame) -> DataFrame:
@@ -113,7 +111,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     found = materialize(scan_counts(spark, folder), "counts")
     sizes = found.groupBy("path").agg(F.count("place").alias("n"), F.sum(F.col("n_tokens") + 1).alias("ids"))
     sizes = sizes.withColumn("part", F.regexp_extract("path", r"^part-(\d+)", 1).cast("int"))
-    before = Window.partitionBy("part").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("part").orderBy(F.length("path"), "path").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("path", "part", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("n", "ids")))
     placed = found.join(starts, "path").select(
         "part", (F.col("n_before") + F.col("place")).alias("place"), (F.col("ids_before") + F.col("start")).alias("start"), "n_tokens")

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from riskmill.llm import byte_bpe, chunks, ranked_ids, token_counts
+from riskmill.llm import byte_bpe, chunks, common, ranked_ids, token_counts
 from riskmill.llm.common import new_folder
 from riskmill.llm.queries import QUERIES
 
@@ -106,12 +106,27 @@ def test_token_files_odd_rows(spark):
     twice = ranked_ids.round_trip(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "doc_id bigint, text string"), WORD)
     assert sorted((r.doc_id, r.start) for r in twice.collect()) == [(1, 0), (1, 2), (2, 4)]
     assert ranked_ids.round_trip(docs.limit(0), WORD).count() == 0
-    with pytest.raises(Exception, match="null doc_id"):
-        ranked_ids.round_trip(spark.createDataFrame([(None, "a")], "doc_id bigint, text string"), WORD)
+    unnamed = spark.createDataFrame([(5, "b"), (None, "a a"), (None, "a"), (-3, "c")], "doc_id bigint, text string")
+    assert [(r.doc_id, r.start) for r in ranked_ids.round_trip(unnamed, WORD).orderBy("start").collect()] == [(None, 0), (None, 2), (-3, 5), (5, 7)]
+
+
+def test_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(ranked_ids, "FILE_BYTES", 4000)
+    monkeypatch.setattr(token_counts, "FILE_BYTES", 4000)
+    texts = ["a b c " * (40 if i % 10 else 3000) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(2)
+    folder = new_folder(spark, "test-bounds")
+    token_counts.write_flat(docs, folder, WORD)
+    ranked_ids.write_ids(docs, f"{folder}-ranked", WORD, block_ids=100)
+    for at in (folder, f"{folder}-ranked/blocks"):
+        sizes = [r.n for r in common.read_blobs(spark, at).selectExpr("length(content) as n").collect()]
+        assert len(sizes) > 15 and sum(n > 4002 for n in sizes) <= 10
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs, WORD).collect()} == {i: len(t.split()) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in ranked_ids.stored_documents(spark, f"{folder}-ranked").collect()} == {i: len(t.split()) + 1 for i, t in enumerate(texts)}
 
 
 def test_word_encoder_equals_library():
-    texts = odd_texts(3000) + ["The the, THE. don't l'été. ÉTÉ, x1, a.b. ǅ. ß, ﬁn. Straße! 日本. e\u0301. e\u0301t, ΑΣ. ΑΣ,"]
+    texts = odd_texts(3000) + ["The the, THE. don't l'été. ÉTÉ, x1, a.b. ǅ. ß, ﬁn. Straße! 日本. İ. İa, e\u0301. e\u0301t, ΑΣ. ΑΣ,"]
     for plain in (False, True):
         got = chunks.WordEncoder(WORD, plain).encode(texts)
         assert [np.frombuffer(g, "<u2").tolist() for g in got] == library(WORD, texts, plain)
@@ -127,7 +142,7 @@ def test_token_counts_query(spark, small, texts):
 
 
 def test_scan_stitches_blocks(spark, monkeypatch):
-    monkeypatch.setattr(token_counts, "DOCS_PER_FILE", 7)
+    monkeypatch.setattr(token_counts, "FILE_BYTES", 300)
     texts = odd_texts(80)
     docs = spark.createDataFrame([(i, t or None, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, start string")
     folder = new_folder(spark, "test-flat")
