@@ -1,27 +1,33 @@
 """Cross-validation, grid search and model comparison.
 
 Each fit is a distributed Spark job; the driver only loops over folds, models and
-parameters. Preprocessing is fitted once per fold, on its training rows, and
-shared by all candidates of that fold. Validation scores are written as a table,
-and all metrics of all candidates are then one query over it.
+parameters. Preprocessing is fitted once per fold, on its training rows, for the columns
+of all scenarios together: every column's statistics stand alone, so a scenario just
+picks its own. Boosting candidates that differ in rounds alone are prefixes of one fit.
+All candidates of a fold are scored in one pass, and what is written is the
+number of rows per score and outcome, not the rows.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.functions.durable import materialize, take_bounded
 from riskmill.functions.parallel import run_together
 from riskmill.operators import metrics
 from riskmill.operators.models import (
+    DEFAULTS,
+    FAMILY_ORDER,
     GRIDS,
     MODELS,
+    boosted_prefix,
     build_pipeline,
     class_sizes,
     classifier,
@@ -30,22 +36,22 @@ from riskmill.operators.models import (
 )
 from riskmill.operators.results import metrics_long, result_table, summarize_folds
 from riskmill.operators.scenarios import resolve_scenario
-from riskmill.operators.scoring import positive_probability
 from riskmill.operators.split import (
     stratified_folds,
     stratified_split,
     training_prefixes,
 )
-from riskmill.spec import CURVE_SHARES, FOLDS, TARGETS, THRESHOLDS, TableSpec
+from riskmill.spec import CURVE_SHARES, FOLDS, METRICS, TARGETS, THRESHOLDS, Scenario, TableSpec
 
 
 @dataclass(frozen=True)
 class Candidate:
-    """A model family with parameters, under a name."""
+    """A model family with parameters, under a name, on all or some final columns of the training."""
 
     name: str
     family: str
     settings: Mapping = field(default_factory=dict)
+    columns: tuple[str, ...] = ()  # none named: all
 
 
 @dataclass(frozen=True)
@@ -86,79 +92,160 @@ def prepare_training(
     )
 
 
-def _scored(model, features: DataFrame, candidate: str, holdout: int, training: Training):
-    part = F.when(F.col(training.fold) == holdout, "validation").otherwise("train")
-    return model.transform(features).select(
-        F.lit(candidate).alias("candidate"),
-        F.lit(holdout).alias("fold"),
-        part.alias("part"),
-        F.col(training.row_id),
-        F.col(training.label).cast("int").alias("y"),
-        positive_probability().alias("score"),
-        F.col("prediction").cast("int").alias("predicted"),
-    )
+#: Bytes of features in one partition, about: few rows make few, not tiny tasks.
+PARTITION_BYTES = 64 << 20
+
+
+def _compact(features: DataFrame, rows: int, columns: int) -> DataFrame:
+    """``features`` in no more partitions than their size asks for. Every round of a fit is a job over all of them."""
+    return features.coalesce(max(1, -(-rows * columns * 16 // PARTITION_BYTES)))
+
+
+def _fit_groups(candidates: Sequence[Candidate]) -> list[list[Candidate]]:
+    """Candidates that share one fit: boosting on the same columns that differs in the number of rounds."""
+    groups: dict[tuple, list[Candidate]] = {}
+    for i, c in enumerate(candidates):
+        settings = {**DEFAULTS[c.family], **c.settings}
+        if c.family == "hist_gradient_boosting":
+            settings.pop("max_iter")
+            key = (c.columns, json.dumps(settings, sort_keys=True))
+        else:
+            key = (i,)
+        groups.setdefault(key, []).append(c)
+    return list(groups.values())
+
+
+def _rounds(candidate: Candidate) -> int:
+    return int({**DEFAULTS[candidate.family], **candidate.settings}["max_iter"])
+
 
+def _fit_group(group: Sequence[Candidate], rows: DataFrame, sizes: Mapping, label: str) -> dict:
+    """Model per candidate name of one group of ``_fit_groups``."""
+    longest = group[0] if len(group) == 1 else max(group, key=_rounds)
+    model = classifier(longest.family, longest.settings, label).fit_sized(rows, sizes)
+    if len(group) == 1:
+        return {longest.name: model}
+    return {c.name: boosted_prefix(model, _rounds(c)) for c in group}
 
-def _each_fold(training: Training, candidates: Sequence[Candidate], finish: Callable) -> list:
+
+def _with_outcomes(features: DataFrame, models: Mapping, keep: Sequence[Column]) -> DataFrame:
+    """(keep, candidate, score, predicted): all models applied in one pass over the rows."""
+    outcomes = []
+    for i, (name, model) in enumerate(models.items()):
+        features = model.transform(features)
+        features = features.withColumnsRenamed({"probability": f"_probability{i}", "prediction": f"_prediction{i}"}).drop("rawPrediction")
+        outcomes.append(
+            F.struct(
+                F.lit(name).alias("candidate"),
+                vector_to_array(F.col(f"_probability{i}"))[1].alias("score"),
+                F.col(f"_prediction{i}").cast("int").alias("predicted"),
+            )
+        )
+    return features.select(*keep, F.inline(F.array(*outcomes)))
+
+
+def _each_fold(
+    training: Training, candidates: Sequence[Candidate], finish: Callable, held_out: bool = False
+) -> list:
     """Fit all candidates on every fold and hand the scored rows to ``finish``.
 
-    ``finish`` must run its job, because the features of a fold are released
-    afterwards.
+    Scored rows are (candidate, fold, part, row id, y, score, predicted), with ``held_out`` only
+    those of the validation part. ``finish`` must run its job, because the features of a
+    fold are released afterwards.
     """
-    pipeline = preprocessor(training.columns, training.spec)
+    *prepare, _ = preprocessor(training.columns, training.spec).getStages()
+    sets = {c.columns or training.columns: None for c in candidates}
+    assemblers = {columns: preprocessor(columns, training.spec).getStages()[-1] for columns in sets}
+    slots = sorted({c for a in assemblers.values() for c in a.getInputCols()})
+    count = training.rows.count()
 
     def run(holdout: int):
         train = training.rows.where(F.col(training.fold) != holdout)
-        features = (
-            pipeline.fit(train)
+        shared = (
+            Pipeline(stages=prepare)
+            .fit(train)
             .transform(training.rows)
-            .select(training.row_id, training.label, training.fold, "features")
-            .persist()
+            .select(training.row_id, training.label, training.fold, *slots)
         )
+        shared = _compact(shared, count, len(slots)).persist()
         try:
-            rows = features.where(F.col(training.fold) != holdout)
-            sizes = class_sizes(rows, training.label)
-            tasks = [
-                lambda c=c: classifier(c.family, c.settings, training.label).fit_sized(rows, sizes)
-                for c in candidates
-            ]
-            models = run_together(tasks, training.parallelism, features.sparkSession)
-            scored = [
-                _scored(model, features, c.name, holdout, training)
-                for c, model in zip(candidates, models)
+            of_set = {
+                columns: a.transform(shared).select(training.row_id, training.label, training.fold, "features")
+                for columns, a in assemblers.items()
+            }
+            sizes = class_sizes(shared.where(F.col(training.fold) != holdout), training.label)
+
+            def fit(group):
+                features = of_set[group[0].columns or training.columns]
+                return _fit_group(group, features.where(F.col(training.fold) != holdout), sizes, training.label)
+
+            groups = _fit_groups(candidates)
+            # Long fits first, so that none is left over at the end.
+            order = sorted(groups, key=lambda g: FAMILY_ORDER.index(g[0].family))
+            fitted = run_together([lambda g=g: fit(g) for g in order], training.parallelism, shared.sparkSession)
+            models = {name: model for found in fitted for name, model in found.items()}
+            part = F.when(F.col(training.fold) == holdout, "validation").otherwise("train")
+            keep = [
+                F.lit(holdout).alias("fold"),
+                part.alias("part"),
+                F.col(training.row_id),
+                F.col(training.label).cast("int").alias("y"),
             ]
+            scored = []
+            for columns, features in of_set.items():
+                wanted = {c.name: models[c.name] for c in candidates if (c.columns or training.columns) == columns}
+                rows = features.where(F.col(training.fold) == holdout) if held_out else features
+                scored.append(_with_outcomes(rows, wanted, keep))
             return finish(reduce(DataFrame.unionByName, scored))
         finally:
-            features.unpersist()
+            shared.unpersist()
 
     tasks = [lambda holdout=holdout: run(holdout) for holdout in range(training.folds)]
     return run_together(tasks, training.fold_parallelism, training.rows.sparkSession)
 
 
+SCORE_COLUMNS = ("candidate", "fold", "part", "y", "score", "predicted")
+
+
 def cross_validation_scores(training: Training, candidates: Sequence[Candidate]) -> DataFrame:
     """Scores of every row under every fold's model, training rows included."""
-    tables = _each_fold(training, candidates, lambda scored: materialize(scored, "scores"))
-    return reduce(DataFrame.unionByName, tables)
+    def write(scored):
+        return materialize(scored.select("candidate", "fold", "part", training.row_id, "y", "score", "predicted"), "scores")
+
+    return reduce(DataFrame.unionByName, _each_fold(training, candidates, write))
+
+
+def score_counts(training: Training, candidates: Sequence[Candidate], held_out: bool = False) -> DataFrame:
+    """(candidate, fold, part, y, score, predicted, rows): rows per score and outcome, written fold by fold."""
+    def write(scored):
+        return materialize(scored.groupBy(*SCORE_COLUMNS).agg(F.count("*").alias("rows")), "score-counts")
+
+    return reduce(DataFrame.unionByName, _each_fold(training, candidates, write, held_out))
 
 
 def fold_metrics(scores: DataFrame) -> DataFrame:
-    """All metrics per candidate, fold and part, in one query."""
-    return metrics.prediction_metrics(
-        scores, "y", "score", "predicted", by=("candidate", "fold", "part")
-    )
+    """All metrics per candidate, fold and part, in one query; of rows, or of ``score_counts``."""
+    by = ("candidate", "fold", "part")
+    if "rows" in scores.columns:
+        return metrics.counted_metrics(scores, by)
+    return metrics.prediction_metrics(scores, "y", "score", "predicted", by=by)
+
+
+def _summary(per_fold: DataFrame) -> DataFrame:
+    return summarize_folds(metrics_long(per_fold, ("candidate", "fold")), ("candidate", "metric"))
 
 
 def cross_validate(training: Training, candidates: Sequence[Candidate]) -> DataFrame:
     """Mean, deviation, training mean and gap per candidate and metric."""
-    per_fold = fold_metrics(cross_validation_scores(training, candidates))
-    values = metrics_long(per_fold, ("candidate", "fold"))
-    return summarize_folds(values, ("candidate", "metric"))
+    return _summary(fold_metrics(score_counts(training, candidates)))
 
 
 def out_of_fold_scores(training: Training, candidate: Candidate) -> DataFrame:
     """One score per training row, from the model that has not seen the row."""
-    scores = cross_validation_scores(training, [candidate])
-    return scores.where(F.col("part") == "validation").drop("candidate", "part")
+    def write(scored):
+        return materialize(scored.select("fold", training.row_id, "y", "score", "predicted"), "scores")
+
+    return reduce(DataFrame.unionByName, _each_fold(training, [candidate], write, held_out=True))
 
 
 def tune_threshold(
@@ -187,13 +274,12 @@ def grid_search(
     candidates = [Candidate(str(i), family, point) for i, point in enumerate(points)]
 
     def count(scored: DataFrame) -> list:
-        held_out = scored.where(F.col("part") == "validation")
-        counts = metrics.confusion_counts(held_out, "y", F.col("predicted"), ("candidate",))
+        counts = metrics.confusion_counts(scored, "y", F.col("predicted"), ("candidate",))
         f2 = metrics.rate_metrics(*[F.col(c) for c in ("tn", "fp", "fn", "tp")])["f2"]
         return take_bounded(counts.select("candidate", f2.alias("f2")), len(points), "grid points")
 
     totals = dict.fromkeys((c.name for c in candidates), 0.0)
-    for rows in _each_fold(training, candidates, count):
+    for rows in _each_fold(training, candidates, count, held_out=True):
         for row in rows:
             totals[row["candidate"]] += row["f2"] / training.folds
     scores = [(point, totals[str(i)]) for i, point in enumerate(points)]
@@ -240,60 +326,57 @@ def compare_models(
     overrides default parameters per model, for both stages.
     """
     df = split_side(df, split, row_id, "train")
+    chosen_scenarios = {key: spec.scenarios[key] for key in scenarios or list(spec.scenarios)}
     settings = settings or {}
     parts = []
     for position, (target_name, target) in enumerate(targets.items()):
-        for key in scenarios or list(spec.scenarios):
-            training = prepare_training(
-                df, spec, key, target, row_id, folds, parallelism, fold_parallelism,
-                **fold_options,
-            )
-            stages = {"default": {m: dict(settings.get(m, {})) for m in models}}
-            if tune and position == 0:
-                stages["tuned"] = {
-                    m: grid_search(training, m, grids[m], settings.get(m)).settings
-                    if grids.get(m)
-                    else dict(settings.get(m, {}))
-                    for m in models
-                }
-            candidates = [
-                Candidate(f"{stage}/{m}", m, chosen)
-                for stage, by_model in stages.items()
-                for m, chosen in by_model.items()
-            ]
-            summary = cross_validate(training, candidates)
-            parts.append(
-                _labelled_results(summary, key, target_name, candidates, training, grids)
-            )
-    return result_table(parts)
-
-
-def _labelled_results(summary, scenario, target, candidates, training, grids) -> DataFrame:
-    """Result rows with scenario, target, stage, model and chosen parameters."""
-    chosen = {
-        c.name: json.dumps(
-            {k: str(v) for k, v in c.settings.items() if k in grids.get(c.family, {})}
-            if c.name.startswith("tuned/")
-            else {}
+        training, columns = _shared_training(
+            df, spec, chosen_scenarios, target, row_id, folds, parallelism, fold_parallelism, **fold_options
         )
-        for c in candidates
-    }
-    texts = F.create_map(*[F.lit(t) for pair in chosen.items() for t in pair])
-    name = F.split("candidate", "/")
-    return summary.select(
-        F.lit(scenario).alias("scenario"),
-        F.lit(training.spec.scenarios[scenario].label).alias("scenario_label"),
-        F.lit(target).alias("target"),
-        name[0].alias("stage"),
-        name[1].alias("model"),
-        "metric",
-        "train_mean",
-        "cv_mean",
-        "cv_std",
-        "gap",
-        F.lit(len(training.columns)).alias("n_features"),
-        texts[F.col("candidate")].alias("best_params"),
+        tuned = tune and position == 0
+        points = {}  # per scenario and model: the default settings, then the grid
+        for key in chosen_scenarios:
+            for m in models:
+                own = dict(settings.get(m, {}))
+                grid = expand_grid(grids[m]) if tuned and grids.get(m) else []
+                points[key, m] = [own, *({**own, **point} for point in grid)]
+        names, candidates = {}, []
+        for (key, m), listed in points.items():
+            for point in listed:
+                same = (key, m, json.dumps({**DEFAULTS[m], **point}, sort_keys=True))
+                if same not in names:
+                    names[same] = str(len(candidates))
+                    candidates.append(Candidate(names[same], m, point, columns[key]))
+        summary = _summary(fold_metrics(score_counts(training, candidates)))
+        measured = take_bounded(summary, len(candidates) * len(METRICS), "candidates and metrics")
+        f2 = {r["candidate"]: r["cv_mean"] for r in measured if r["metric"] == "f2"}
+        name_of = lambda key, m, point: names[key, m, json.dumps({**DEFAULTS[m], **point}, sort_keys=True)]
+        for (key, m), (own, *grid) in points.items():
+            stages = {"default": own}
+            if tuned:  # max keeps the first of equals
+                stages["tuned"] = max(grid, key=lambda p: f2[name_of(key, m, p)]) if grid else own
+            for stage, point in stages.items():
+                best = {k: str(v) for k, v in point.items() if stage == "tuned" and k in grids.get(m, {})}
+                labels = (name_of(key, m, point), key, spec.scenarios[key].label, target_name, stage, m, len(columns[key]), json.dumps(best))
+                parts.extend(
+                    (*labels[1:6], r["metric"], r["train_mean"], r["cv_mean"], r["cv_std"], r["gap"], *labels[6:])
+                    for r in measured if r["candidate"] == labels[0]
+                )
+    schema = (
+        "scenario string, scenario_label string, target string, stage string, model string, metric string,"
+        " train_mean double, cv_mean double, cv_std double, gap double, n_features int, best_params string"
     )
+    return result_table([df.sparkSession.createDataFrame(parts, schema)])
+
+
+def _shared_training(
+    df: DataFrame, spec: TableSpec, scenarios: Mapping[str, Scenario], target: str, row_id: str, *options, **fold_options
+) -> tuple[Training, dict[str, tuple[str, ...]]]:
+    """Training rows with the columns of all scenarios, and the final columns of each."""
+    final = {key: tuple(resolve_scenario(df, scenario, spec.roles)[1]) for key, scenario in scenarios.items()}
+    every = Scenario("all", "all", tuple(dict.fromkeys(c for s in scenarios.values() for c in s.columns)))
+    training = prepare_training(df, replace(spec, scenarios={"all": every}), "all", target, row_id, *options, **fold_options)
+    return training, final
 
 
 def learning_curve(
@@ -315,7 +398,11 @@ def learning_curve(
         prefix = (fold != holdout) & (row_id <= F.lit(cut))
         rows = training.rows.where(prefix | (fold == holdout))
         model = pipeline.fit(training.rows.where(prefix))
-        scored = _scored(model, rows, str(size), holdout, training)
+        part = F.when(fold == holdout, "validation").otherwise("train")
+        scored = model.transform(rows).select(
+            F.lit(str(size)).alias("candidate"), F.lit(holdout).alias("fold"), part.alias("part"),
+            F.col(training.label).cast("int").alias("y"), F.col("prediction").cast("int").alias("predicted"),
+        )
         return take_bounded(_confusion_by_part(scored), 2, "parts of a fold")
 
     tasks = [lambda k=k, cut=cut: score(*k, cut) for k, cut in cuts.items()]

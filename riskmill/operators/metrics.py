@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskmill.functions.durable import materialize
 from riskmill.functions.numeric import count_where, missing_if_nan, ratio_or_null, ratio_or_zero
 from riskmill.operators.order_stats import range_splits, running_totals
 from riskmill.spec import METRICS, THRESHOLDS
@@ -82,23 +83,23 @@ def confusion_shares(df: DataFrame, label: str, score: str, threshold: float) ->
 
 # --- rank metrics ----------------------------------------------------------
 
-def _per_score(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
-    """Positives and negatives per distinct score: the hot values are merged here."""
+def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """(by, score, p, n): positives and negatives per distinct score, written once.
+
+    Hot scores are merged here on the map side; all rank metrics then read this table alone.
+    """
     y, s = F.col(label), present_score(score)
-    return (
+    counts = (
         df.where(s.isNotNull() & y.isNotNull())
         .groupBy(*by, s.alias("score"))
         .agg(count_where(y == 1).alias("p"), count_where(y == 0).alias("n"))
     )
+    return materialize(counts, "score-counts")
 
 
-def cumulative_counts(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), ranges: int | None = None
-) -> DataFrame:
-    """Per distinct score: p, n and the counts cum_p, cum_n of scores at least as high."""
-    splits = range_splits(df.select(present_score(score).alias("s")), "s", ranges)
-    per_score = _per_score(df, label, score, by)
-    return running_totals(per_score, "score", ("p", "n"), by, splits)
+def cumulative_counts(counts: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``score_counts`` with cum_p and cum_n, the counts of scores at least as high."""
+    return running_totals(counts, "score", ("p", "n"), by, range_splits(counts, "score", ranges))
 
 
 def rank_metrics(
@@ -109,7 +110,12 @@ def rank_metrics(
     Sums over the distinct scores of running counts. With a single class AUC is
     null.
     """
-    totals = cumulative_counts(df, label, score, by, ranges)
+    return rank_metrics_of(score_counts(df, label, score, by), by, ranges)
+
+
+def rank_metrics_of(counts: DataFrame, by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``rank_metrics`` from a written table (by, score, p, n)."""
+    totals = cumulative_counts(counts, by, ranges)
     p, n = F.col("p").cast("double"), F.col("n").cast("double")
     cum_p, cum_n = F.col("cum_p").cast("double"), F.col("cum_n").cast("double")
     sums = totals.groupBy(*by).agg(
@@ -130,11 +136,8 @@ def rank_metrics(
     )
 
 
-def _class_sizes(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
-    y = F.col(label)
-    return df.where(present_score(score).isNotNull() & y.isNotNull()).groupBy(*by).agg(
-        count_where(y == 1).alias("_p"), count_where(y == 0).alias("_n")
-    )
+def _class_sizes(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    return counts.groupBy(*by).agg(F.sum("p").alias("_p"), F.sum("n").alias("_n"))
 
 
 def _with_end(points: DataFrame, groups: DataFrame, by: Sequence[str], **end: float) -> DataFrame:
@@ -151,8 +154,8 @@ def roc_points(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """ROC curve: (fpr, tpr) at every distinct score, and the origin."""
-    totals = cumulative_counts(df, label, score, by, ranges)
-    sizes = _class_sizes(df, label, score, by)
+    counts = score_counts(df, label, score, by)
+    totals, sizes = cumulative_counts(counts, by, ranges), _class_sizes(counts, by)
     points = _attach(totals, sizes, by).select(
         *by,
         ratio_or_null(F.col("cum_n"), F.col("_n")).alias("fpr"),
@@ -166,8 +169,8 @@ def pr_points(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """Precision and recall at every distinct score, and the final point (1, 0)."""
-    totals = cumulative_counts(df, label, score, by, ranges)
-    sizes = _class_sizes(df, label, score, by)
+    counts = score_counts(df, label, score, by)
+    totals, sizes = cumulative_counts(counts, by, ranges), _class_sizes(counts, by)
     points = _attach(totals, sizes, by).select(
         *by,
         ratio_or_null(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"),
@@ -260,6 +263,25 @@ def prediction_metrics(
     return _attach(rates, auc, by).select(*by, *METRICS, "tn", "fp", "fn", "tp")
 
 
+def counted_metrics(counts: DataFrame, by: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """``prediction_metrics`` from a written table (by, score, y, predicted, rows), one row per distinct score and outcome."""
+    y, predicted, rows = F.col("y"), F.col("predicted"), F.col("rows")
+    total = lambda where, name: F.coalesce(F.sum(F.when(where, rows)), F.lit(0)).alias(name)
+    cells = counts.groupBy(*by).agg(
+        total((y == 0) & (predicted == 0), "tn"),
+        total((y == 0) & (predicted == 1), "fp"),
+        total((y == 1) & (predicted == 0), "fn"),
+        total((y == 1) & (predicted == 1), "tp"),
+    )
+    rates = _with_rates(cells, list(by))
+    s = present_score("score")
+    per_score = counts.where(s.isNotNull() & y.isNotNull()).groupBy(*by, s.alias("score")).agg(
+        total(y == 1, "p"), total(y == 0, "n")
+    )
+    auc = rank_metrics_of(materialize(per_score, "score-counts"), by, ranges).select(*by, "roc_auc")
+    return _attach(rates, auc, by).select(*by, *METRICS, "tn", "fp", "fn", "tp")
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Rows, prior and balanced weight ``n / (classes * n_class)`` per class."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n_rows"))

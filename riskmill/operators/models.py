@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
+    GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -15,7 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskmill.functions.durable import take_bounded
 from riskmill.operators.stages import (
@@ -53,7 +54,11 @@ DEFAULTS: dict[str, dict[str, float]] = {
     "random_forest_balanced": {"max_depth": 0, "min_samples_leaf": 1, "n_estimators": 200},
     "hist_gradient_boosting": {"learning_rate": 0.1, "max_iter": 100},
 }
+# The longest fits first.
+FAMILY_ORDER = tuple(reversed(MODELS))
 DEEPEST = 30
+# Histogram bins, rows per leaf and depth of a tree of at most 31 leaves.
+BOOSTING_BINS, BOOSTING_LEAF_ROWS, BOOSTING_DEPTH = 255, 20, 5
 _WEIGHT = "_class_weight"
 
 
@@ -139,12 +144,35 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
                 **columns,
                 stepSize=float(settings["learning_rate"]),
                 maxIter=int(settings["max_iter"]),
+                maxBins=BOOSTING_BINS,
+                minInstancesPerNode=BOOSTING_LEAF_ROWS,
+                maxDepth=BOOSTING_DEPTH,
                 cacheNodeIds=True,
                 seed=SEED,
             )
         return estimator.fit(rows)
 
 
+def boosted_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model that fewer boosting rounds would have given: the first trees are the same."""
+    if rounds >= model.getNumTrees:
+        return model
+    uid, trees, weights = model.uid, list(model._java_obj.trees())[:rounds], model.treeWeights[:rounds]
+    spark = SparkSession.getActiveSession()
+    gateway = spark.sparkContext._gateway
+    jvm = spark._jvm
+    java_trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    java_weights = gateway.new_array(gateway.jvm.double, rounds)
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        java_trees[i], java_weights[i] = tree, weight
+    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, java_trees, java_weights)
+    prefix = GBTClassificationModel(made)
+    prefix._resetUid(uid)
+    for name in ("featuresCol", "labelCol"):
+        prefix._set(**{name: model.getOrDefault(name)})
+    return prefix
+
+
 def class_sizes(rows: DataFrame, label: str) -> dict[float, int]:
     """Rows per value of a 0/1 label."""
     counts = rows.where(F.col(label).isNotNull()).groupBy(label).count()

@@ -18,8 +18,8 @@ from riskmill.functions.durable import take_bounded
 
 # A percentile buffer of this many distinct values is a few megabytes.
 SMALL_DISTINCT = 100_000
-ROWS_PER_RANGE = 5_000_000
-MAX_RANGES = 10_000
+# Rows of one range of a running total, about.
+ROWS_PER_RANGE = 1_000_000
 
 
 # --- exact ranks -----------------------------------------------------------
@@ -226,7 +226,7 @@ def range_splits(
     over the ranges is exact for any boundaries.
     """
     if ranges is None:
-        ranges = min(MAX_RANGES, math.ceil(df.count() / rows_per_range))
+        ranges = math.ceil(df.count() / rows_per_range)
     if ranges <= 1:
         return []
     shares = [i / ranges for i in range(1, ranges)]
@@ -243,33 +243,34 @@ def running_totals(
     """Add ``cum_<c>``: the total of ``c`` over all rows with value >= this one.
 
     ``per_value`` holds one row per value and group, so a value that covers most
-    of the data is a single row here. Each range is summed on its own and shifted
-    by the totals of the ranges above it; the table of range totals has at most
-    ``len(splits) + 1`` rows per group.
+    of the data is a single row here. Prefix sums in two levels: each range is summed on its own,
+    and shifted by the totals of the ranges above it. Ranges are themselves put into about as many
+    blocks as a block has ranges, so that their totals are prefix sums of the same kind:
+    no task sees more than one range, the ranges of a block, or the blocks.
     """
-    descending = [F.col(value).desc()]
-    if not splits:
-        window = Window.partitionBy(*by).orderBy(*descending)
-        window = window.rowsBetween(Window.unboundedPreceding, 0)
-        return per_value.withColumns({f"cum_{c}": F.sum(c).over(window) for c in totals})
-
-    edges = [-math.inf, *splits, math.inf]
+    edges = [-math.inf, *(splits or [0.0]), math.inf]
+    block = max(1, math.isqrt(len(splits) + 1))
     ranged = Bucketizer(splits=edges, inputCol=value, outputCol="_range").transform(per_value)
-    above = Window.partitionBy(*by).orderBy(F.col("_range").desc())
-    above = above.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*by, "_range")
-        .agg(*[F.sum(c).alias(f"_sum_{c}") for c in totals])
-        .select(
-            *by,
-            "_range",
-            *[F.coalesce(F.sum(f"_sum_{c}").over(above), F.lit(0)).alias(f"_above_{c}") for c in totals],
-        )
+    ranged = ranged.withColumn("_block", F.floor(F.col("_range") / block))
+    sums = ranged.groupBy(*by, "_block", "_range").agg(*[F.sum(c).alias(c) for c in totals])
+    blocks = sums.groupBy(*by, "_block").agg(*[F.sum(c).alias(c) for c in totals])
+
+    def above(keys: Sequence[str], place: str, c: str) -> Column:
+        window = Window.partitionBy(*keys).orderBy(F.col(place).desc())
+        return F.coalesce(F.sum(c).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    in_block = [above([*by, "_block"], "_range", c).alias(f"_in_{c}") for c in totals]
+    of_blocks = [above(by or [F.lit(0)], "_block", c).alias(f"_of_{c}") for c in totals]
+    shifts = sums.select(*by, "_block", "_range", *in_block).join(
+        blocks.select(*by, "_block", *of_blocks), [*by, "_block"]
+    )
+    shifts = shifts.select(
+        *by, "_range", *[(F.col(f"_in_{c}") + F.col(f"_of_{c}")).alias(f"_above_{c}") for c in totals]
     )
-    inside = Window.partitionBy(*by, "_range").orderBy(*descending)
+    inside = Window.partitionBy(*by, "_range").orderBy(F.col(value).desc())
     inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-    summed = ranged.withColumns({f"_in_{c}": F.sum(c).over(inside) for c in totals})
-    return summed.join(offsets, [*by, "_range"]).select(
+    summed = ranged.withColumns({f"_sum_{c}": F.sum(c).over(inside) for c in totals})
+    return summed.join(shifts, [*by, "_range"]).select(
         *per_value.columns,
-        *[(F.col(f"_in_{c}") + F.col(f"_above_{c}")).alias(f"cum_{c}") for c in totals],
+        *[(F.col(f"_sum_{c}") + F.col(f"_above_{c}")).alias(f"cum_{c}") for c in totals],
     )
