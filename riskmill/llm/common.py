@@ -23,11 +23,16 @@ def plain(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*(F.col(f"`{c}`").alias(c) for c in columns))
 
 
+def unused(df: DataFrame, many: int, mark: str = "slot") -> list[str]:
+    """So many column names that ``df`` does not have."""
+    while any(c.lower().startswith(mark) for c in df.columns):
+        mark += "_"
+    return [f"{mark}{i}" for i in range(many)]
+
+
 def with_row_key(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written once with a unique number for every row, and the unused column name of that number."""
-    key = "row_key"
-    while key.lower() in {c.lower() for c in df.columns}:
-        key += "_"
+    key = unused(df, 1, "row_key")[0]
     return materialize(df.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
@@ -107,4 +112,4 @@ def join_sized(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -
 
 
 __all__ = ["MAX_SMALL_ROWS", "in_files", "join_sized", "let", "materialize", "new_folder", "plain", "read_blobs", "running_start", "table",
-           "text_or_empty", "with_row_key", "write_blobs"]
+           "text_or_empty", "unused", "with_row_key", "write_blobs"]

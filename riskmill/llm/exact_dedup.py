@@ -13,7 +13,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskmill.llm.common import join_sized, materialize, plain, text_or_empty
+from riskmill.llm.common import join_sized, materialize, plain, text_or_empty, unused
 
 #: Slots of the filter for each row and slots that a row hits.
 BITS_PER_ROW, HASHES = 16, 2
@@ -62,7 +62,7 @@ class Repeats:
     def split(self, rows: DataFrame, digest: Column) -> tuple[DataFrame, DataFrame]:
         """``rows`` that are surely alone and rows that may repeat, without a shuffle; columns stay."""
         alone, maybe = [], []
-        names = _unused(rows, 1 + 2 * HASHES)
+        names = unused(rows, 1 + 2 * HASHES)
         keyed = rows.withColumn(names[0], _slots(digest, self.slices, self.bits))
         for part in range(self.slices):
             bitmaps = self.table.filter(F.col("slice") == part)
@@ -78,13 +78,6 @@ class Repeats:
         return _union(alone), _union(maybe)
 
 
-def _unused(df: DataFrame, many: int) -> list[str]:
-    taken, mark = {c.lower() for c in df.columns}, "slot"
-    while any(c.startswith(mark) for c in taken):
-        mark += "_"
-    return [f"{mark}{i}" for i in range(many)]
-
-
 def _union(parts: list[DataFrame]) -> DataFrame:
     whole = parts[0]
     for part in parts[1:]:
@@ -116,7 +109,7 @@ def drop_copies(docs: DataFrame) -> DataFrame:
 
     Whole rows only meet where the filter says that their text may repeat.
     """
-    name = _unused(docs, 1)[0]
+    name = unused(docs, 1)[0]
     digests = materialize(docs.select(text_digest().alias("sha")), "digests")
     alone, maybe = Repeats(digests, "sha").split(docs, text_digest())
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))

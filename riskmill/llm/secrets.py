@@ -17,7 +17,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskmill.llm.common import let, materialize, plain, text_or_empty
+from riskmill.llm.common import let, materialize, plain, text_or_empty, unused
 
 
 @dataclass(frozen=True)
@@ -221,13 +221,14 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     Only changed texts are joined back, by doc_id and the text's digest, so repeated ids keep their own texts.
     """
     found = materialize(find_secrets(docs).filter(F.size("secrets") > 0), "secrets")
-    changed = found.select(F.col("doc_id").alias("_id"), F.sha2("text", 256).alias("_mark"),
-                           redacted(F.col("text"), F.col("secrets")).alias("_clean")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.sha2(text_or_empty(), 256) == F.col("_mark"))
-    joined = docs.join(changed, same, "left").withColumn("text", F.coalesce("_clean", "text"))
+    own, mark, clean = unused(docs, 3)
+    changed = found.select(F.col("doc_id").alias(own), F.sha2("text", 256).alias(mark),
+                           redacted(F.col("text"), F.col("secrets")).alias(clean)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.sha2(text_or_empty(), 256) == F.col(mark))
+    joined = docs.join(changed, same, "left").withColumn("text", F.coalesce(clean, "text"))
     if "n_chars" in docs.columns:
         size = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
-        joined = joined.withColumn("n_chars", F.when(F.col("_clean").isNotNull(), size).otherwise(F.col("n_chars")))
+        joined = joined.withColumn("n_chars", F.when(F.col(clean).isNotNull(), size).otherwise(F.col("n_chars")))
     return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.functions.durable import take_bounded
 from riskmill.llm import gru
-from riskmill.llm.common import materialize, plain
+from riskmill.llm.common import materialize, plain, unused
 
 #: Labelled rows that the evidence and the network are fitted on, at most.
 MAX_FIT_ROWS = 16_000
@@ -250,7 +250,7 @@ def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """All columns of ``docs``, without rows that the model fitted on ``labels`` calls toxic."""
     model = fit(docs, labels)
-    wide = docs.withColumn("_text", F.col("text"))
+    wide = docs.withColumn(unused(docs, 1)[0], F.col("text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
