@@ -80,13 +80,15 @@ class WordEncoder:
         self.closing = np.zeros(max(names.values()) + 1, bool)
         self.closing[[i for t, i in names.items() if t.endswith("</w>")]] = True
 
-    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _learn(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(ids, starts, sizes): the ids of every word as a stretch of one array."""
         pools, at = [np.zeros(0, "<u2")], 0
         starts, sizes = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
-        plain_at, other = [], []
-        for i, word in enumerate(words):
-            (plain_at if _plain_letters(word) else other).append(i)
+        simple = pc.ascii_is_alpha(words).to_numpy(zero_copy_only=False)
+        words = words.to_pylist()
+        plain_at, other = np.flatnonzero(simple).tolist(), []
+        for i in np.flatnonzero(~simple).tolist():
+            (plain_at if _plain_letters(words[i]) else other).append(i)
         for first in range(0, len(plain_at), 2000):
             part = plain_at[first : first + 2000]
             text = " ".join([words[i] for i in part])
@@ -105,20 +107,18 @@ class WordEncoder:
             at += len(found.ids)
         return np.concatenate(pools), starts, sizes
 
-    def _distinct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _distinct(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """As ``_learn``, with every stem learnt once."""
-        stems: dict[str, int] = {"": 0}
-        number, left, right = stems.setdefault, [], []
-        for word in words:
-            stem, mark = word[:-1], word[-1:]
-            if mark in ENDING and _plain_letters(stem):
-                left.append(number(stem.lower() if stem.isascii() else stem, len(stems)))
-                right.append(number(mark, len(stems)))
-            else:
-                left.append(number(word.lower() if word.isalpha() and word.isascii() else word, len(stems)))
-                right.append(0)
-        pool, starts, sizes = self._learn(list(stems))
-        both = np.array([left, right], np.int64).T.ravel()
+        last, stem = pc.utf8_slice_codeunits(words, -1), pc.utf8_slice_codeunits(words, 0, -1)
+        ending = pc.is_in(last, pa.array(sorted(ENDING)))
+        cut = pc.and_(ending, pc.ascii_is_alpha(stem)).to_numpy(zero_copy_only=False)
+        for i in np.flatnonzero(pc.and_not(ending, pc.string_is_ascii(stem)).to_numpy(zero_copy_only=False)).tolist():
+            cut[i] = _plain_letters(stem[i].as_py())
+        left, right = pc.if_else(pa.array(cut), stem, words), pc.if_else(pa.array(cut), last, "")
+        left = pc.if_else(pc.ascii_is_alpha(left), pc.ascii_lower(left), left)
+        parts = pa.concat_arrays([left, right]).dictionary_encode()
+        pool, starts, sizes = self._learn(parts.dictionary)
+        both = parts.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T.ravel()
         pool, sizes = _gather(pool, starts[both], sizes[both]), sizes[both].reshape(-1, 2).sum(axis=1)
         return pool, np.cumsum(sizes) - sizes, sizes
 
@@ -130,7 +130,7 @@ class WordEncoder:
             lists = pa.array([words_of(t) for t in texts.to_pylist()], pa.list_(pa.string()))
         cut = lists.flatten().dictionary_encode()
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
-        pool, starts, sizes = self._distinct(cut.dictionary.to_pylist())
+        pool, starts, sizes = self._distinct(cut.dictionary)
         codes = cut.indices.to_numpy(zero_copy_only=False)
         if end_id is not None:
             codes = np.insert(codes, ends, len(starts))
