@@ -1,9 +1,9 @@
 """Exact order statistics and running totals without a single-task sort.
 
 ``percentile`` keeps every distinct value of a column in one buffer and a window
-without partition keys sorts everything in one task. The functions here use those
-only where a first pass has shown that they stay small, and otherwise narrow down
-or split by value ranges.
+without partition keys sorts everything in one task. The functions here bracket ranks by
+mergeable sketches and count inside the brackets, narrow down further where that
+is not enough, or split by value ranges.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from riskmill.functions.durable import take_bounded
 
-# A percentile buffer of this many distinct values is a few megabytes.
+# Counted values that the driver takes inside the brackets of all columns.
 SMALL_DISTINCT = 100_000
+# Size of a quantile sketch (about 50 KB) and the rank error its brackets allow for, several times the usual one.
+SKETCH, SKETCH_ERROR = 4096, 0.003
 # Rows of one range of a running total, about.
 ROWS_PER_RANGE = 1_000_000
 
@@ -152,7 +154,9 @@ def exact_quantiles(
     small_distinct: int = SMALL_DISTINCT,
 ) -> dict[Hashable, float | None]:
     """Interpolated quantile of several double expressions; null where empty."""
-    return quantiles_and_aggregates(df, columns, [], probability, small_distinct)[0]
+    narrow = df.select(*[expression.alias(f"c{i}") for i, expression in enumerate(columns.values())])
+    named = {name: F.col(f"c{i}") for i, name in enumerate(columns)}
+    return quantiles_and_aggregates(narrow, named, [], probability, small_distinct)[0]
 
 
 def quantiles_and_aggregates(
@@ -164,53 +168,103 @@ def quantiles_and_aggregates(
 ) -> tuple[dict[Hashable, float | None], Row | None]:
     """``exact_quantiles`` and other aggregates that share its first pass.
 
-    A first pass counts rows and (roughly) distinct values. Columns with few
-    distinct values use the built-in aggregate, whose buffer is then known to be
-    small; the others are narrowed down rank by rank.
+    The first pass also makes a mergeable quantile sketch of every column. Its estimates around
+    the wanted ranks are a bracket, and one counting pass over the values inside
+    the brackets gives the exact values: two reads whatever the number of columns. A bracket
+    that misses its rank, or holds more than ``small_distinct`` values, is narrowed down rank by rank.
+    ``df`` should be a narrow projection: it is cached between the reads, since it may be the end of a long computation.
     """
     if not columns:
         return {}, df.agg(*aggregates).first() if aggregates else None
-    sizes = df.agg(
+    df = df.persist()
+    try:
+        return _sketch_and_count(df, columns, aggregates, probability, small_distinct)
+    finally:
+        df.unpersist()
+
+
+def _sketch_and_count(
+    df: DataFrame, columns: Mapping[Hashable, Column], aggregates: Sequence[Column], probability: float, small_distinct: int
+) -> tuple[dict[Hashable, float | None], Row]:
+    sketched = df.agg(
         *aggregates,
         *[F.count(expression).alias(f"_n{i}") for i, expression in enumerate(columns.values())],
         *[
-            F.approx_count_distinct(expression).alias(f"_d{i}")
+            F.kll_sketch_agg_double(expression.cast("double"), F.lit(SKETCH)).alias(f"_s{i}")
             for i, expression in enumerate(columns.values())
         ],
-    ).first()
+    )
+    low, high = max(0.0, probability - SKETCH_ERROR), min(1.0, probability + SKETCH_ERROR)
+    bounds = [
+        F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", F.lit(at))).alias(f"_{side}{i}")
+        for i in range(len(columns))
+        for side, at in (("lo", low), ("hi", high))
+    ]
+    kept = [c for c in sketched.columns if not c.startswith("_s")]
+    sizes = sketched.select(*kept, *bounds).first()
 
-    small, ranks = {}, {}
     result: dict[Hashable, float | None] = dict.fromkeys(columns)
-    for i, (name, expression) in enumerate(columns.items()):
-        n = sizes[f"_n{i}"]
-        if n == 0:
-            continue
-        if sizes[f"_d{i}"] <= small_distinct:
-            small[name] = expression
-            continue
-        position = probability * (n - 1)
-        ranks[name, "lower"] = (expression, math.floor(position))
-        ranks[name, "upper"] = (expression, math.ceil(position))
-
-    if small:
-        row = df.agg(
-            *[
-                F.percentile(expression, F.lit(probability)).alias(f"q{i}")
-                for i, expression in enumerate(small.values())
-            ]
-        ).first()
-        result.update({name: row[f"q{i}"] for i, name in enumerate(small)})
-
+    open_columns = {i: (name, e) for i, (name, e) in enumerate(columns.items()) if sizes[f"_n{i}"]}
+    inside, below = _values_inside(df, open_columns, sizes, small_distinct)
+    ranks = {}
+    for i, (name, expression) in open_columns.items():
+        position = probability * (sizes[f"_n{i}"] - 1)
+        ends = (math.floor(position) - below.get(i, 0), math.ceil(position) - below.get(i, 0))
+        found = None if inside is None else _at_ranks(inside.get(i, []), ends)
+        if found is None:
+            ranks[name, "lower"] = (expression, math.floor(position))
+            ranks[name, "upper"] = (expression, math.ceil(position))
+        else:
+            result[name] = _between(*found, position)
     values = values_at_ranks(df, ranks)
-    for i, name in enumerate(columns):
+    for i, (name, _) in open_columns.items():
         if (name, "lower") in ranks:
             position = probability * (sizes[f"_n{i}"] - 1)
-            weight = position - math.floor(position)
-            low, high = float(values[name, "lower"]), float(values[name, "upper"])
-            result[name] = low if low == high else low * (1 - weight) + high * weight
+            result[name] = _between(float(values[name, "lower"]), float(values[name, "upper"]), position)
     return result, sizes
 
 
+def _between(low: float, high: float, position: float) -> float:
+    weight = position - math.floor(position)
+    return low if low == high else low * (1 - weight) + high * weight
+
+
+def _values_inside(
+    df: DataFrame, columns: Mapping[int, tuple], sizes: Row, most: int
+) -> tuple[dict[int, list] | None, dict[int, int]]:
+    """(value, rows) inside each column's bracket and rows below it, by one count; None if there are too many values."""
+    cells = []
+    for i, (_, expression) in columns.items():
+        value = expression.cast("double")
+        lo, hi = F.lit(sizes[f"_lo{i}"]), F.lit(sizes[f"_hi{i}"])
+        kept = F.when(value >= lo, value)  # below the bracket: null
+        cells.append(F.when(value <= hi, F.struct(F.lit(i).alias("item"), kept.alias("value"))))
+    if not cells:
+        return {}, {}
+    counted = df.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("item", "value").agg(F.count("*").alias("n"))
+    rows = counted.take(most + 1)
+    if len(rows) > most:
+        return None, {}
+    inside: dict[int, list] = {}
+    below = {}
+    for row in rows:
+        if row["value"] is None:
+            below[row["item"]] = row["n"]
+        else:
+            inside.setdefault(row["item"], []).append((row["value"], row["n"]))
+    return {i: sorted(found) for i, found in inside.items()}, below
+
+
+def _at_ranks(values: Sequence[tuple], ranks: tuple[int, int]) -> tuple[float, float] | None:
+    """Values at two 0-based ranks of sorted (value, rows); None if a rank is outside."""
+    found, upto = [], 0
+    for value, n in values:
+        while len(found) < 2 and upto <= ranks[len(found)] < upto + n:
+            found.append(value)
+        upto += n
+    return (found[0], found[1]) if len(found) == 2 else None
+
+
 # --- running totals --------------------------------------------------------
 
 def range_splits(

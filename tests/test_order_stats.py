@@ -92,3 +92,25 @@ def test_number_of_ranges_follows_the_row_count(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("s"))
     assert range_splits(df, "s") == []
     assert len(range_splits(df, "s", rows_per_range=10)) == 9
+
+
+@pytest.mark.parametrize("name", ["impute_scale", "fit_stats", "repair_distribution"])
+def test_medians_take_few_jobs(spark, small, name):
+    from riskmill.plans import catalog
+
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        catalog.QUERIES[name](spark, small).collect()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) <= 12
+
+
+def test_a_bracket_that_misses_is_narrowed(spark, monkeypatch):
+    from riskmill.operators import order_stats
+
+    monkeypatch.setattr(order_stats, "SKETCH_ERROR", -0.2)  # a bracket that cannot hold the rank
+    df = spark.range(5001).select(F.col("id").cast("double").alias("x"))
+    assert exact_quantiles(df, {"x": x()}, 0.5)["x"] == 2500.0
+    assert exact_quantiles(df, {"x": x()}, 0.4)["x"] == 2000.0
