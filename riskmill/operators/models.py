@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark import keyword_only
+from pyspark import SparkContext, keyword_only
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -16,7 +16,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskmill.functions.durable import take_bounded
 from riskmill.operators.stages import (
@@ -158,9 +158,8 @@ def boosted_prefix(model: GBTClassificationModel, rounds: int) -> GBTClassificat
     if rounds >= model.getNumTrees:
         return model
     uid, trees, weights = model.uid, list(model._java_obj.trees())[:rounds], model.treeWeights[:rounds]
-    spark = SparkSession.getActiveSession()
-    gateway = spark.sparkContext._gateway
-    jvm = spark._jvm
+    context = SparkContext._active_spark_context  # fits run in threads, which have no active session
+    gateway, jvm = context._gateway, context._jvm
     java_trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
     java_weights = gateway.new_array(gateway.jvm.double, rounds)
     for i, (tree, weight) in enumerate(zip(trees, weights)):

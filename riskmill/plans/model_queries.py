@@ -12,6 +12,7 @@ from riskmill.operators.scenarios import resolve_scenario
 from riskmill.operators.scoring import score_table
 from riskmill.operators.split import stratified_split
 from riskmill.plans import views
+from riskmill.plans.metric_queries import _folds_sql, _split_sql
 from riskmill.plans.registry import query, r, shown
 from riskmill.plans.views import SQL_GAPPY, SQL_SCORED, UNITS
 from riskmill.spec import CURVE_C
@@ -158,6 +159,35 @@ def preprocess_matrix(spark, sf_dir):
     )
 
 
+def _train_scaled_sql(column: str) -> str:
+    filled = f"coalesce({column}, (select median({column}) from train))"
+    return f"""{r(f'({filled} - (select avg({filled}) from train)) / (select stddev_pop({filled}) from train)')}
+      as {column}_num"""
+
+
+_LABELLED_SQL = f"""{SQL_GAPPY}, labelled as (select *, case when target_raw = 'P' then 1 else 0 end as y from gappy)"""
+_TRAIN_NUMBERS = ("num_admission", "enrolled_1", "approved_1", "evaluations_1", "grade_1", "no_eval_1")
+
+
+@query(
+    "preprocess_numbers",
+    f"""with {_LABELLED_SQL}, {_split_sql('labelled', 'y')}, train as (select * from parts where part = 'train')
+    select unit_id, part, {', '.join(_train_scaled_sql(c) for c in _TRAIN_NUMBERS)},
+      cast(coalesce(bin_debtor, (select bin_debtor from train where bin_debtor is not null
+        group by bin_debtor order by count(*) desc, bin_debtor limit 1)) as double) as bin_debtor_bin
+    from parts""",
+)
+def preprocess_numbers(spark, sf_dir):
+    """Numbers and flags of both sides, with statistics of the training side only."""
+    rows = _labelled(spark, sf_dir)
+    train, test = compare.train_and_test(rows, "label", "unit_id", method="md5")
+    _, final = _early(rows)
+    model = preprocessor(final, UNITS).fit(train)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    columns = [f"{c}_num" for c in _TRAIN_NUMBERS]
+    return shown(model.transform(both).select("unit_id", "part", *columns, "bin_debtor_bin"))
+
+
 def _scores(spark, sf_dir, family, settings):
     rows = _labelled(spark, sf_dir)
     train, test = compare.train_and_test(rows, "label", "unit_id")
@@ -232,6 +262,49 @@ def cv_scores(spark, sf_dir):
     return compare.cross_validate(_training(spark, sf_dir), [*others, _BALANCED])
 
 
+_PRIOR = compare.Candidate("prior", "dummy_prior")
+_PRIOR_SQL = f"""with {SQL_SCORED}, {_folds_sql('scored', 'y')},
+    counts as (select fold, count(*) as n, sum(y) as p from folds group by fold),
+    priors as (select fold, (sum(p) over () - p) / (sum(n) over () - n) as score from counts)"""
+
+
+def _md5_training(spark, sf_dir):
+    """All labelled units, in folds that SQL can reproduce."""
+    return compare.prepare_training(
+        _labelled(spark, sf_dir), UNITS, "early_warning", "target", "unit_id", fold_parallelism=5, method="md5"
+    )
+
+
+@query(
+    "oof_prior",
+    f"""{_PRIOR_SQL} select unit_id, fold, y, {r('score')} as score,
+      case when score > 0.5 then 1 else 0 end as predicted from folds join priors using (fold)""",
+)
+def oof_prior(spark, sf_dir):
+    """Out-of-fold scores of the class shares: each row's score comes from the other folds."""
+    return shown(compare.out_of_fold_scores(_md5_training(spark, sf_dir), _PRIOR))
+
+
+@query(
+    "cv_prior",
+    f"""{_PRIOR_SQL},
+    sides as (select p.fold, f.fold = p.fold as held_out, y, cast(score > 0.5 as int) as predicted from folds f cross join priors p),
+    cells as (select fold, held_out, count(*) filter (y = predicted) as hits, count(*) as n,
+        count(*) filter (y = 1 and predicted = 1) as tp, count(*) filter (predicted = 1) as said, sum(y) as p
+      from sides group by fold, held_out),
+    shares as (select fold, held_out, m.metric, case m.metric when 'accuracy' then hits / n when 'roc_auc' then 0.5
+        when 'precision' then coalesce(tp / nullif(said, 0), 0) when 'recall' then coalesce(tp / nullif(p, 0), 0)
+        when 'f1' then coalesce(2 * tp / nullif(p + said, 0), 0) else coalesce(5 * tp / nullif(4 * p + said, 0), 0) end as v
+      from cells cross join (values ('accuracy'), ('precision'), ('recall'), ('f1'), ('f2'), ('roc_auc')) as m(metric))
+    select 'prior' as candidate, metric, {r('avg(v) filter (not held_out)')} as train_mean, {r('avg(v) filter (held_out)')} as cv_mean,
+      {r('stddev_pop(v) filter (held_out)')} as cv_std, {r('avg(v) filter (not held_out) - avg(v) filter (held_out)')} as gap
+    from shares group by metric""",
+)
+def cv_prior(spark, sf_dir):
+    """Cross-validation of the class shares, from score counts of all folds."""
+    return shown(compare.cross_validate(_md5_training(spark, sf_dir), [_PRIOR]))
+
+
 @query("oof_scores")
 def oof_scores(spark, sf_dir):
     return compare.out_of_fold_scores(_training(spark, sf_dir), _BALANCED)

@@ -403,3 +403,30 @@ def test_model_queries_take_every_model(spark, small, monkeypatch):
     model_queries.cv_scores(spark, small)
     assert set(seen.get("models", default)) == set(compare.MODELS) and len(compare.MODELS) == 6
     assert sorted(c.family for c in seen["candidates"]) == sorted(compare.MODELS)
+
+
+def test_boosting_prefixes_equal_separate_fits(training):
+    """Candidates that differ in rounds share one fit and score as if fitted alone."""
+    points = [compare.Candidate(f"gbt{n}", "hist_gradient_boosting", {"max_iter": n}) for n in (2, 5)]
+    assert [len(g) for g in compare._fit_groups(points)] == [2]
+    together = {(r["candidate"], r["fold"], r["row_id"]): r["score"] for r in compare.cross_validation_scores(training, points).collect()}
+    for point in points:
+        alone = compare.cross_validation_scores(training, [point]).collect()
+        assert len(alone) == 360
+        assert all(together[r["candidate"], r["fold"], r["row_id"]] == r["score"] for r in alone)
+
+
+def test_scenarios_share_features_and_equal_separate_fits(rows):
+    """A candidate on some columns of a wider training scores as on a training of its own."""
+    df = rows.withColumn("target", F.col("label").cast("int"))
+    own = compare.prepare_training(df, SPEC, "early_warning", "target", "row_id", folds=2)
+    part = tuple(c for c in own.columns if c not in SPEC.categorical[:1])
+    candidates = [compare.Candidate("all", "logistic", {"C": 1.0}), compare.Candidate("some", "logistic", {"C": 1.0}, part)]
+    together = compare.fold_metrics(compare.score_counts(own, candidates)).collect()
+    narrow = compare.replace(own, columns=part)
+    alone = [r for t, c in ((own, candidates[0]), (narrow, compare.Candidate("some", "logistic", {"C": 1.0})))
+             for r in compare.fold_metrics(compare.cross_validation_scores(t, [c])).collect()]
+    key = lambda r: (r["candidate"], r["fold"], r["part"])
+    assert len(together) == len(alone) == 8
+    for a, b in zip(sorted(together, key=key), sorted(alone, key=key)):
+        assert key(a) == key(b) and all(a[m] == pytest.approx(b[m], abs=1e-9) for m in ("f2", "accuracy", "roc_auc", "tp", "fn"))
