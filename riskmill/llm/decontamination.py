@@ -20,7 +20,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskmill.functions.durable import take_bounded
 from riskmill.llm.common import materialize, plain, with_row_key
@@ -47,16 +48,16 @@ def words_of(text: str | None) -> list[str]:
 class Benchmark:
     """Items as term numbers, the parts they are searched by, and their answers."""
 
-    item_ids: list[int] = field(default_factory=list)
+    item_ids: list = field(default_factory=list)
     items: list[np.ndarray] = field(default_factory=list)
     answers: list[np.ndarray] = field(default_factory=list)
     parts: list[np.ndarray] = field(default_factory=list)
     part_item: list[int] = field(default_factory=list)
     terms: dict[str, int] = field(default_factory=dict)
 
-    def add(self, item_id: int, text: str | None, answer: str | None) -> None:
+    def add(self, item_id, text: str | None, answer: str | None) -> None:
         words = words_of(text)
-        if item_id is None or not words:
+        if not words:
             return
         number = lambda ws: np.array([self.terms.setdefault(w, len(self.terms)) for w in ws], np.int32)
         if answer is None:
@@ -180,28 +181,31 @@ def _corpus_product(sequences: DataFrame, terms: int, idf: np.ndarray, rank: int
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matrix, out = random_matrix(terms, rank), np.zeros((terms, rank))
+        group = TaskContext.get().partitionId() % TASK_GROUPS
         for batch in batches:
-            for _, group in _grouped(batch, 0):
-                passage, term, count, _ = _cells(group, terms)
+            for _, sequences_ in _grouped(batch, 0):
+                passage, term, count, _ = _cells(sequences_, terms)
                 if len(passage):
                     _multiply(passage, term, _unit_rows(passage, term, count, idf), matrix, out)
         for at in range(0, terms, block):
             part = out[at : at + block]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([part.tobytes()], pa.binary())], ["at", "part"])
+                raw = pa.array([part.tobytes()], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([group], pa.int32()), raw], ["at", "tasks", "part"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for at, part in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = np.frombuffer(part.as_buffer(), np.float64)
-                sums[at] = sums[at] + found if at in sums else found
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int64()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["at", "part"]
-        )
-
-    ddl = "at bigint, part binary"
-    sums = sequences.select("terms").mapInArrow(multiply, ddl).repartition("at").mapInArrow(add, ddl)
+            for *key, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                found, key = np.frombuffer(part.as_buffer(), np.float64), tuple(key)
+                sums[key] = sums[key] + found if key in sums else found
+        names = [pa.array([k[i] for k in sums], kind) for i, kind in enumerate((pa.int64(), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*names, pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["at", "tasks", "part"])
+
+    # Two levels, so that no task adds up the parts of all tasks: by group of tasks, then over the groups.
+    ddl = "at bigint, tasks int, part binary"
+    sums = sequences.select("terms").mapInArrow(multiply, ddl).repartition("at", "tasks").mapInArrow(add, ddl)
+    sums = sums.withColumn("tasks", F.lit(0)).repartition("at").mapInArrow(add, ddl)
     out = np.zeros((terms, rank))
     for row in take_bounded(sums, MAX_TERMS // block + 1, "blocks of terms"):
         part = np.frombuffer(row.part, np.float64).reshape(-1, rank)
@@ -251,7 +255,9 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - row.bit_count()
 
 
-MATCH_DDL = "item_id bigint, start int, cosine double, common double, answer double"
+#: Groups of tasks whose sums are added first.
+TASK_GROUPS = 64
+MATCH_DDL = "item int, start int, cosine double, common double, answer double"
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -259,14 +265,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
 
     One row per document row and item, at its best place: ``start`` is a word position, ``common`` and ``answer``
     the shares of the item's and its answer's words found there in order. Null or empty texts and items have
-    no words and match nothing; null doc_ids and repeated rows stay. Whole texts are searched.
+    no words and match nothing; null doc_ids and repeated rows stay, item_ids may be of any type or null. Whole texts are searched.
     """
     spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
     ddl = f"doc_id {kind}, {MATCH_DDL}"
     bench = load_benchmark(benchmark)
     terms = len(bench.terms)
     if not terms:
-        return spark.createDataFrame([], ddl)
+        return spark.createDataFrame([], ddl).join(_named_items(spark, bench, benchmark), "item").select(*MATCH_COLUMNS)
     sequences = materialize(term_sequences(docs, bench.terms), "terms")
     found = passage_frequencies(sequences, terms)
     passages = int(found[-1])
@@ -286,13 +292,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE) ->
                     rows.append(first + row)
                     matches.append(match)
             columns = list(zip(*matches)) if matches else [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
+            kinds = (pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["doc_id", "item_id", "start", "cosine", "common", "answer"],
+                ["doc_id", "item", "start", "cosine", "common", "answer"],
             )
 
-    return sequences.mapInArrow(run, ddl)
+    return sequences.mapInArrow(run, ddl).join(_named_items(spark, bench, benchmark), "item").select(*MATCH_COLUMNS)
+
+
+MATCH_COLUMNS = ("doc_id", "item_id", "start", "cosine", "common", "answer")
+
+
+def _named_items(spark: SparkSession, bench: Benchmark, benchmark: DataFrame) -> DataFrame:
+    """(item, item_id): ids of the items by number, at most ``MAX_ITEMS`` rows, so they are broadcast."""
+    schema = T.StructType([T.StructField("item", T.IntegerType()), T.StructField("item_id", benchmark.schema["item_id"].dataType)])
+    return F.broadcast(spark.createDataFrame(list(enumerate(bench.item_ids)), schema))
 
 
 @dataclass
@@ -343,7 +358,7 @@ class _Search:
                 continue
             told = common_words(answer, around) / max(1, len(answer))
             if common >= SURE or told >= ANSWER:
-                match = (self.bench.item_ids[number], start, near, common, told)
+                match = (number, start, near, common, told)
                 if (row, number) not in best or match[3] > best[row, number][3]:
                     best[row, number] = match
         for (row, _), match in sorted(best.items()):

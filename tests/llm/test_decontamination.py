@@ -108,3 +108,13 @@ def test_part_of_an_item_counts_with_its_answer(spark):
     table = spark.createDataFrame(bench, "item_id bigint, text string, answer string")
     got = {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, table).collect()}
     assert got == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_item_ids_of_any_type(spark):
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine ten"), (2, "nothing of it here")], "doc_id bigint, text string")
+    items = [("a", "one two three four five six seven eight nine ten"), (None, "two three four five six seven eight nine"), ("c", None)]
+    benchmark = spark.createDataFrame([(*i, 1) for i in items], "item_id string, text string, item int")
+    found = decontamination.find_leaks(docs, benchmark)
+    assert dict(found.dtypes)["item_id"] == "string"
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, "a"), (1, None)}
+    assert decontamination.find_leaks(docs, benchmark.filter("item_id = 'c'")).count() == 0
