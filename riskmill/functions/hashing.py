@@ -23,6 +23,16 @@ def shuffle_key(row_id: Column, seed: int, method: str = "xxhash64") -> Column:
 
 def leading_bucket(key: Column, method: str = "xxhash64") -> Column:
     """Leading 16 bits of ``shuffle_key``: up to 65,536 buckets in key order."""
+    prefix = key_prefix(key, 1, method)
+    return prefix.cast("int") if method == "xxhash64" else F.conv(prefix, 16, 10).cast("int")
+
+
+#: Levels of ``key_prefix``: the whole of an xxhash64 key.
+LEVELS = 4
+
+
+def key_prefix(key: Column, level: int, method: str = "xxhash64") -> Column:
+    """Leading 16 bits per level of ``shuffle_key``, in key order: 65,536 buckets of each bucket of the level above."""
     if method == "xxhash64":
-        return F.shiftright(key, 48).cast("int")
-    return F.conv(F.substring(key, 1, 4), 16, 10).cast("int")
+        return F.shiftright(key, 64 - 16 * level) if level < LEVELS else key
+    return F.substring(key, 1, 4 * level)

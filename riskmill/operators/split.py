@@ -14,12 +14,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskmill.functions.durable import small_table, take_bounded
-from riskmill.functions.hashing import BUCKET, ORDER, leading_bucket, shuffle_key
+from riskmill.functions.durable import take_bounded
+from riskmill.functions.hashing import BUCKET, LEVELS, ORDER, key_prefix, shuffle_key
 from riskmill.operators.order_stats import values_at_ranks
 from riskmill.spec import FOLDS, SEED, TEST_SIZE
 
 MAX_CLASSES = 10_000
+# Rows of a bucket that are ranked; larger ones are narrowed by further bits.
+SMALL_BUCKET = 100_000
 _STRATUM = "_stratum"
 _ID = "_id"
 
@@ -51,12 +53,40 @@ def fold_quotas(class_sizes: Mapping, folds: int = FOLDS) -> dict:
 
 
 def _keyed(df: DataFrame, label: str, row_id: str, seed: int, method: str) -> DataFrame:
-    keyed = df.where(F.col(label).isNotNull()).select(
+    return df.where(F.col(label).isNotNull()).select(
         F.col(label).alias(_STRATUM),
         F.col(row_id).alias(_ID),
         shuffle_key(F.col(row_id), seed, method).alias(ORDER),
     )
-    return keyed.withColumn(BUCKET, leading_bucket(F.col(ORDER), method))
+
+
+def _narrowed(keyed: DataFrame, wanted: Sequence[tuple], level: int, method: str) -> list[tuple]:
+    """For each (class, bucket, position in it) the bucket one level down: (class, position, bucket, position in it, rows).
+
+    ``wanted`` is (class, position, bucket, inner); the bucket is null on the first level. Only rows of the wanted
+    buckets are counted, and the driver sees one row per wanted position.
+    """
+    spark, kind = keyed.sparkSession, keyed.schema[_STRATUM].dataType.simpleString()
+    key = keyed.schema[ORDER].dataType.simpleString()
+    places = spark.createDataFrame(wanted, f"_class {kind}, position bigint, _parent {key}, inner bigint")
+    rows = keyed.withColumn(BUCKET, key_prefix(F.col(ORDER), level, method))
+    if level > 1:
+        rows = rows.withColumn("_above", key_prefix(F.col(ORDER), level - 1, method))
+        parents = places.select(F.col("_class").alias(_STRATUM), F.col("_parent").alias("_above")).distinct()
+        rows = rows.join(F.broadcast(parents), [_STRATUM, "_above"], "left_semi")
+    else:
+        rows = rows.withColumn("_above", F.lit(None).cast(key))
+    counts = rows.groupBy(_STRATUM, "_above", BUCKET).agg(F.count("*").alias("n"))
+    upto = Window.partitionBy(_STRATUM, "_above").orderBy(BUCKET)
+    summed = counts.withColumn("upto", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    same = (F.col("_class") == F.col(_STRATUM)) & F.col("_parent").eqNullSafe(F.col("_above"))
+    met = summed.join(F.broadcast(places), same).where(
+        (F.col("inner") <= F.col("upto")) & (F.col("inner") > F.col("upto") - F.col("n"))
+    )
+    found = met.select(
+        _STRATUM, "position", BUCKET, (F.col("inner") - F.col("upto") + F.col("n")).alias("inner"), "n"
+    )
+    return [tuple(row) for row in take_bounded(found, len(wanted), "cut buckets")]
 
 
 def _class_cuts(
@@ -66,49 +96,42 @@ def _class_cuts(
 
     ``positions_of`` maps class sizes to the wanted positions per class. The
     result has one row per class: ``cuts``, the sorted keys, and ``skip``, the
-    number of positions that lie before the first row.
+    number of positions that lie before the first row. The bucket that holds a position is narrowed by
+    further bits of the key until it has at most ``SMALL_BUCKET`` rows; only those are ranked.
     """
     keyed = _keyed(df, label, row_id, seed, method)
-    counts = keyed.groupBy(_STRATUM, BUCKET).agg(F.count("*").alias("n")).persist()
-    try:
-        sizes = {
-            row[_STRATUM]: row["n"]
-            for row in take_bounded(
-                counts.groupBy(_STRATUM).agg(F.sum("n").alias("n")), MAX_CLASSES, "classes"
-            )
-        }
-        wanted = positions_of(sizes)
-        spark = df.sparkSession
-        kind = keyed.schema[_STRATUM].dataType.simpleString()
-        inside = [
-            (stratum, position)
-            for stratum, positions in wanted.items()
-            for position in set(positions)
-            if 0 < position <= sizes[stratum]
-        ]
-        positions = F.broadcast(
-            spark.createDataFrame(inside, f"{_STRATUM} {kind}, position bigint")
-        )
-        upto = Window.partitionBy(_STRATUM).orderBy(BUCKET)
-        upto = upto.rowsBetween(Window.unboundedPreceding, 0)
-        buckets = small_table(
-            counts.withColumn("upto", F.sum("n").over(upto))
-            .join(positions, _STRATUM)
-            .where((F.col("position") <= F.col("upto")))
-            .where(F.col("position") > F.col("upto") - F.col("n"))
-            .select(
-                _STRATUM, BUCKET, "position",
-                (F.col("position") - F.col("upto") + F.col("n")).alias("inner"),
-            ),
-            len(inside),
-            "cut buckets",
-        )
-    finally:
-        counts.unpersist()
-
+    spark = df.sparkSession
+    kind = keyed.schema[_STRATUM].dataType.simpleString()
+    sizes = {
+        row[_STRATUM]: row["n"]
+        for row in take_bounded(keyed.groupBy(_STRATUM).agg(F.count("*").alias("n")), MAX_CLASSES, "classes")
+    }
+    wanted = positions_of(sizes)
+    inside = [
+        (stratum, position)
+        for stratum, positions in wanted.items()
+        for position in set(positions)
+        if 0 < position <= sizes[stratum]
+    ]
+    places = {(s, p): (s, p, None, p) for s, p in inside}
+    level_of: dict[tuple, int] = {}
+    for level in range(1, LEVELS + 1):
+        narrowed = _narrowed(keyed, list(places.values()), level, method) if places else []
+        for stratum, position, bucket, inner, n in narrowed:
+            places[stratum, position] = (stratum, position, bucket, inner)
+            level_of[stratum, position] = level
+        if all(n <= SMALL_BUCKET for *_, n in narrowed):
+            break
+
+    # All places are on one level: a small bucket stays small when it is narrowed with the others.
+    level = max(level_of.values(), default=1)
+    key = keyed.schema[ORDER].dataType.simpleString()
+    buckets = spark.createDataFrame(list(places.values()), f"{_STRATUM} {kind}, position bigint, {BUCKET} {key}, inner bigint")
+    buckets = F.broadcast(buckets)  # one row per class and cut
     ranked = Window.partitionBy(_STRATUM, BUCKET).orderBy(ORDER, _ID)
     keys = take_bounded(
-        keyed.join(buckets.select(_STRATUM, BUCKET).distinct(), [_STRATUM, BUCKET], "left_semi")
+        keyed.withColumn(BUCKET, key_prefix(F.col(ORDER), level, method))
+        .join(buckets.select(_STRATUM, BUCKET).distinct(), [_STRATUM, BUCKET], "left_semi")
         .withColumn("inner", F.row_number().over(ranked).cast("bigint"))
         .join(buckets, [_STRATUM, BUCKET, "inner"])
         .select(_STRATUM, "position", ORDER, _ID),

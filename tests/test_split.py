@@ -138,3 +138,23 @@ def test_labelled_part(rows, table):
     ids = split.stratified_split(rows, "y", "row_id").select("row_id", "part")
     train = split.labelled_part(rows, ids, "row_id", "y", "train")
     assert train.count() == ids.where("part = 'train'").count()
+
+
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_buckets_are_narrowed_until_they_are_small(spark, monkeypatch, method):
+    """Ranking whole buckets and narrowing to the last bit give the same split."""
+    from riskmill.operators import split as module
+
+    df = spark.range(900).select((F.col("id") * 7).alias("unit_id"), (F.col("id") % 3).cast("int").alias("y"))
+    key = module.shuffle_key
+    # All keys share their leading 16 bits, so the first bucket of a class holds all of it.
+    crowded = {"xxhash64": lambda c, seed, m: F.shiftrightunsigned(key(c, seed, m), 16),
+               "md5": lambda c, seed, m: F.concat(F.lit("0000"), key(c, seed, m))}[method]
+    for keys in (key, crowded):
+        monkeypatch.setattr(module, "shuffle_key", keys)
+        tables = []
+        for small in (10**6, 5):
+            monkeypatch.setattr(module, "SMALL_BUCKET", small)
+            tables.append(sorted(map(tuple, module.stratified_folds(df, "y", "unit_id", method=method).collect())))
+        assert tables[0] == tables[1]
+        assert Counter((y, fold) for _, y, fold in tables[0]) == {(y, fold): 60 for y in range(3) for fold in range(5)}
