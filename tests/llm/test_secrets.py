@@ -81,3 +81,11 @@ def test_query_equals_sql(spark, small):
     names = [d[0] for d in cursor.description]
     got = QUERIES["op10_secret_scans"](spark, small).select(*names).collect()
     assert sorted(map(tuple, got)) == sorted(cursor.fetchall())
+
+
+def test_redaction_keeps_clashing_columns(spark):
+    rows = [(1, "password = hunter22 here", "a", "b", "c", 1), (None, None, "d", None, "f", 2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, _id string, _clean string, slot0 string, n_chars int")
+    got = sorted(secrets.redact_secrets(docs).collect(), key=lambda r: r.slot0)
+    assert [(r._id, r._clean, r.slot0) for r in got] == [("a", "b", "c"), ("d", None, "f")]
+    assert "hunter22" not in got[0].text and got[0].n_chars == len(got[0].text) and got[1].text is None

@@ -97,3 +97,10 @@ def test_no_labels(spark):
     assert toxicity.keep_clean(docs.withColumn("toxic", F.lit(1)), labels).columns == ["doc_id", "text", "toxic"]
     odd = spark.createDataFrame([(1, None), (None, 1)], "doc_id bigint, toxic int")
     assert toxicity.toxicity_report(docs, odd).count() == 1
+
+
+def test_keep_clean_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a", "x", "y"), (None, None, None, "z")], "doc_id bigint, text string, _text string, slot0 string")
+    labels = spark.createDataFrame([], "doc_id bigint, toxic int")
+    kept = toxicity.keep_clean(docs, labels)
+    assert kept.columns == docs.columns and sorted(map(repr, kept.collect())) == sorted(map(repr, docs.collect()))
