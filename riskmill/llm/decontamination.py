@@ -17,6 +17,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -96,7 +98,7 @@ def term_sequences(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
             out = []
             for text in batch.column(1):
                 words = words_of(text.as_py())
-                out.append(np.fromiter((get(w, -1) for w in words), "<i4", len(words)).tobytes())
+                out.append(np.fromiter(map(get, words, repeat(-1)), "<i4", len(words)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["doc_id", "terms"])
 
     return plain(docs, "doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, terms binary")
@@ -318,6 +320,10 @@ class _Search:
     queries: np.ndarray
     cosine: float
 
+    @cached_property
+    def term_sets(self) -> list[frozenset]:
+        return [frozenset(item.tolist()) for item in self.bench.items]
+
     def candidates(self, sequences: list[np.ndarray]) -> Iterator[tuple[int, int, int, float]]:
         """(sequence, first passage, query, cosine) of all windows near a query."""
         passage, term, count, first = _cells(sequences, len(self.axes))
@@ -341,9 +347,9 @@ class _Search:
         for low in range(0, many, 4096):
             for q in range(0, len(self.queries), 1024):
                 near = window[low : low + 4096] @ self.queries[q : q + 1024].T
-                for w, i in zip(*np.nonzero(near >= self.cosine)):
-                    at = low + int(w)
-                    yield int(owner[at]), at - int(first[owner[at]]), q + int(i), float(near[w, i])
+                w, i = np.nonzero(near >= self.cosine)
+                row = owner[low + w]
+                yield from zip(row.tolist(), (low + w - first[row]).tolist(), (q + i).tolist(), near[w, i].tolist())
 
     def matches(self, sequences: list[np.ndarray]) -> Iterator[tuple[int, tuple]]:
         best: dict[tuple[int, int], tuple] = {}
@@ -353,6 +359,11 @@ class _Search:
             # The item may start up to its own length before the window and end as far behind.
             start = max(0, passage * PASSAGE - len(item))
             around = sequences[row][start : (passage + 2) * PASSAGE + len(item)]
+            around = around[around >= 0]
+            # An item's term that is not there lacks at least one word of the subsequence: often that settles it.
+            absent = self.term_sets[number].difference(around.tolist())
+            if (len(item) - len(absent)) / len(item) < POSSIBLE:
+                continue
             common = common_words(item, around) / len(item)
             if common < POSSIBLE:
                 continue
