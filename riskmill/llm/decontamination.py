@@ -36,8 +36,8 @@ COSINE = 0.35
 SURE, POSSIBLE, ANSWER = 0.75, 0.5, 0.6
 #: Bounds of what is sent to every task: items and terms of one benchmark table.
 MAX_ITEMS, MAX_TERMS = 50_000, 500_000
-#: Matrix entries handled at once.
-STEP = 1 << 15
+#: Matrix entries handled at once, in a dense part of at most as many rows and columns.
+STEP = 1 << 11
 
 find_words = re.compile(r"[^\W_]+").findall
 
@@ -156,21 +156,23 @@ def _unit_rows(passage: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np
     return (weight / np.repeat(norms, np.diff(np.append(starts, len(passage))))).astype(np.float32)
 
 
-def _multiply(passage, term, weight, matrix: np.ndarray, out: np.ndarray) -> None:
-    """Add ``rows.T @ (rows @ matrix)`` to ``out`` for whole passages, a bounded part at a time."""
+def _dense_parts(passage, term, weight) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(passages, terms, weights) of whole passages in parts of about ``STEP`` cells: dense, with the part's own terms only."""
     starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
     cuts = starts[np.searchsorted(starts, np.arange(0, len(passage), STEP))]
     for low, high in zip(cuts, np.append(cuts[1:], len(passage))):
-        if low == high:
-            continue
-        p, t, w = passage[low:high], term[low:high], weight[low:high, None]
-        begins = np.append(True, p[1:] != p[:-1])
-        latent = np.add.reduceat(matrix[t] * w, np.flatnonzero(begins))
-        order = np.argsort(t, kind="stable")
-        ts = t[order]
-        back = latent[(np.cumsum(begins) - 1)[order]] * w[order]
-        firsts = np.flatnonzero(np.append(True, ts[1:] != ts[:-1]))
-        out[ts[firsts]] += np.add.reduceat(back, firsts)
+        if low < high:
+            rows, row = np.unique(passage[low:high], return_inverse=True)
+            used, at = np.unique(term[low:high], return_inverse=True)
+            dense = np.zeros((len(rows), len(used)), np.float32)
+            dense[row, at] = weight[low:high]
+            yield rows, used, dense
+
+
+def _multiply(passage, term, weight, matrix: np.ndarray, out: np.ndarray) -> None:
+    """Add ``rows.T @ (rows @ matrix)`` to ``out`` for whole passages, a bounded part at a time."""
+    for _, used, dense in _dense_parts(passage, term, weight):
+        out[used] += dense.T @ (dense @ matrix[used])
 
 
 def random_matrix(terms: int, rank: int) -> np.ndarray:
@@ -330,15 +332,10 @@ class _Search:
         if not len(passage):
             return
         weight = ((1 + np.log(count)) * self.idf[term]).astype(np.float32)
-        starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
         many = int(first[-1]) + -(-len(sequences[-1]) // PASSAGE)
         latent = np.zeros((many + 1, self.axes.shape[1]), np.float32)
-        cuts = starts[np.searchsorted(starts, np.arange(0, len(passage), STEP))]
-        for low, high in zip(cuts, np.append(cuts[1:], len(passage))):
-            if low < high:
-                part = passage[low:high]
-                begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-                latent[part[begins]] = np.add.reduceat(self.axes[term[low:high]] * weight[low:high, None], begins)
+        for rows, used, dense in _dense_parts(passage, term, weight):
+            latent[rows] = dense @ self.axes[used]
         owner = np.repeat(np.arange(len(sequences)), np.diff(np.append(first, many)))
         inside = np.append(owner[1:] == owner[:-1], False)
         window = latent[:-1] + latent[1:] * inside[:, None]
