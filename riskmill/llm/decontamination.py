@@ -158,7 +158,7 @@ def _unit_rows(passage: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np
 
 def _dense_parts(passage, term, weight) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(passages, terms, weights) of whole passages in parts of about ``STEP`` cells: dense, with the part's own terms only."""
-    starts = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+    starts = np.append(np.flatnonzero(np.append(True, passage[1:] != passage[:-1])), len(passage))
     cuts = starts[np.searchsorted(starts, np.arange(0, len(passage), STEP))]
     for low, high in zip(cuts, np.append(cuts[1:], len(passage))):
         if low < high:

@@ -118,3 +118,44 @@ def test_item_ids_of_any_type(spark):
     assert dict(found.dtypes)["item_id"] == "string"
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, "a"), (1, None)}
     assert decontamination.find_leaks(docs, benchmark.filter("item_id = 'c'")).count() == 0
+
+
+def test_products_by_parts(monkeypatch):
+    """Every cut of the cells into parts gives the whole product, also one inside the last passage."""
+    rng = np.random.default_rng(3)
+    passage = np.repeat(np.arange(9) * 2, rng.integers(1, 12, 9))
+    term = np.concatenate([rng.choice(40, n, replace=False) for n in np.bincount(passage)[::2]])
+    weight = rng.random(len(term)).astype(np.float32)
+    matrix = rng.standard_normal((40, 6)).astype(np.float32)
+    whole = np.zeros((18, 40))
+    whole[passage, term] = weight
+    for step in range(1, len(term) + 2):
+        monkeypatch.setattr(decontamination, "STEP", step)
+        out = np.zeros((40, 6))
+        decontamination._multiply(passage, term, weight, matrix, out)
+        np.testing.assert_allclose(out, whole.T @ (whole @ matrix), rtol=1e-4, atol=1e-5)
+
+
+def test_absent_terms_settle_candidates_alike(monkeypatch):
+    """The bound by absent terms leaves out no match that the subsequence accepts."""
+    rng = random.Random(8)
+    bench = decontamination.Benchmark()
+    items = [sample(rng, 24) for _ in range(6)]
+    for i, words in enumerate(items):
+        bench.add(i, " ".join(words), " ".join(words[-4:]))
+    sequences = []
+    for words in items * 20:
+        kept = [w if rng.random() < rng.choice((0.45, 0.55, 0.8, 1.0)) else "other" for w in words]
+        sequences.append(np.array([bench.terms.get(w, -1) for w in sample(rng, rng.randrange(50)) + kept], np.int32))
+    search = decontamination._Search(bench, np.eye(len(bench.terms), dtype=np.float32), np.ones(len(bench.terms), np.float32), None, 0.0)
+    near = [(r, p, q, 0.5) for r, s in enumerate(sequences) for p in range(-(-len(s) // decontamination.PASSAGE)) for q in range(6)]
+    monkeypatch.setattr(search, "candidates", lambda _: near)
+    expected = {}
+    for r, p, q, _ in near:
+        start = max(0, p * decontamination.PASSAGE - len(bench.items[q]))
+        around = sequences[r][start : (p + 2) * decontamination.PASSAGE + len(bench.items[q])]
+        common = slow_common(bench.items[q].tolist(), around.tolist()) / len(bench.items[q])
+        told = slow_common(bench.answers[q].tolist(), around.tolist()) / len(bench.answers[q])
+        if common >= decontamination.SURE or common >= decontamination.POSSIBLE and told >= decontamination.ANSWER:
+            expected[r, q] = max(common, expected.get((r, q), 0))
+    assert expected and {(r, m[0]): m[3] for r, m in search.matches(sequences)} == expected
