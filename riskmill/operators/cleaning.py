@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from riskmill.functions.numeric import (
     column_as_double,
@@ -34,13 +34,24 @@ def repair_statistics(
 
     One aggregate serves all columns.
     """
-    present = [c for c in columns if c in df.columns]
     # The repair is a column of its own first, so that it runs once per value.
-    values = df.select(
-        *[column_as_double(df, c).alias(f"before{i}") for i, c in enumerate(present)]
-    ).withColumns(
-        {f"after{i}": repair_scale(F.col(f"before{i}"), max_valid) for i in range(len(present))}
-    )
+    values, aggregates, rows = statistics_parts(df, columns, max_valid)
+    return df.select(*values).agg(*aggregates).select(F.inline(rows))
+
+
+def statistics_parts(
+    df: DataFrame, columns: Sequence[str], max_valid: float, after: Mapping[str, Column] | None = None
+) -> tuple[list[Column], list[Column], Column]:
+    """``repair_statistics`` in three steps: a projection, aggregates of it, and the array of rows from these.
+
+    ``after`` has repaired values that ``df`` holds already.
+    """
+    present = [c for c in columns if c in df.columns]
+    values = []
+    for i, c in enumerate(present):
+        before = column_as_double(df, c)
+        repaired = after[c] if after else repair_scale(before, max_valid)
+        values += [before.alias(f"before{i}"), repaired.alias(f"after{i}")]
     aggregates = []
     for i in range(len(present)):
         before, after = F.col(f"before{i}"), F.col(f"after{i}")
@@ -66,7 +77,7 @@ def repair_statistics(
         )
         for i, name in enumerate(present)
     ]
-    return values.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return values, aggregates, F.array(*rows)
 
 
 def repair_examples(
@@ -82,6 +93,24 @@ def repair_examples(
     )
 
 
+def all_repair_examples(
+    df: DataFrame, columns: Sequence[str], order_by: Sequence[str], max_valid: float = 20.0, n: int = 5
+) -> DataFrame:
+    """``repair_examples`` of several columns from one read, as (item, *order_by, before, after).
+
+    ``item`` is the position of the column. Every task hands on at most ``n`` rows per column.
+    """
+    cells = []
+    for i, column in enumerate(columns):
+        before = column_as_double(df, column)
+        cell = F.struct(F.lit(i).alias("item"), *order_by, before.alias("before"))
+        cells.append(F.when(is_out_of_scale(before, max_valid), cell))
+    broken = df.select(F.inline(F.array_compact(F.array(*cells))))
+    place = F.row_number().over(Window.partitionBy("item").orderBy(*order_by))
+    first = broken.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    return first.withColumn("after", repair_scale(F.col("before"), max_valid))
+
+
 def all_in_scale(df: DataFrame, columns: Sequence[str], max_valid: float = 20.0) -> DataFrame:
     """Per column: do all present values lie in ``[0, max_valid]``?"""
     inside = lambda v: v.isNull() | v.between(F.lit(0.0), F.lit(float(max_valid)))
@@ -104,17 +133,25 @@ def consistency_check(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
     Each grade is compared with the approvals of its own period. A pair with an
     absent column is reported as not ok with an unknown count.
     """
-    present = {g: a for g, a in pairs.items() if g in df.columns and a in df.columns}
-    counted = df.agg(
-        F.lit(1).alias("_"),
-        *[
-            count_where((F.col(a) == 0) & (column_as_double(df, g) > 0)).alias(f"v_{g}")
-            for g, a in present.items()
-        ],
-    )
-    rows = []
-    for grade, approved in pairs.items():
-        found = F.col(f"v_{grade}") if grade in present else F.lit(None).cast("bigint")
+    values, aggregates, rows = consistency_parts(df, pairs)
+    return df.select(*values).agg(F.lit(1).alias("_"), *aggregates).select(F.inline(rows))
+
+
+def consistency_parts(
+    df: DataFrame, pairs: Mapping[str, str], prefix: str = "violation", after: Mapping[str, Column] | None = None
+) -> tuple[list[Column], list[Column], Column]:
+    """``consistency_check`` in three steps: a projection, aggregates of it, and the array of rows from these.
+
+    With ``after``, its repaired values are compared in place of the grades.
+    """
+    values, aggregates, rows = [], [], []
+    for i, (grade, approved) in enumerate(pairs.items()):
+        found = F.lit(None).cast("bigint")
+        if grade in df.columns and approved in df.columns:
+            value = after[grade] if after else column_as_double(df, grade)
+            values.append(((F.col(approved) == 0) & (value > 0)).alias(f"{prefix}{i}"))
+            found = F.col(f"n_{prefix}{i}")
+            aggregates.append(count_where(F.col(f"{prefix}{i}")).alias(f"n_{prefix}{i}"))
         rows.append(
             F.struct(
                 F.lit(grade).alias("grade_column"),
@@ -123,10 +160,10 @@ def consistency_check(df: DataFrame, pairs: Mapping[str, str]) -> DataFrame:
                 found.alias("n_violations"),
             )
         )
-    return counted.select(F.inline(F.array(*rows)))
+    return values, aggregates, F.array(*rows)
 
 
-def _one_row(df: DataFrame, row: Row) -> DataFrame:
+def one_row(df: DataFrame, row: Row) -> DataFrame:
     """A collected aggregate row as a table; nulls keep a numeric type."""
     kinds = {bool: "boolean", int: "bigint"}
     schema = ", ".join(
@@ -135,13 +172,15 @@ def _one_row(df: DataFrame, row: Row) -> DataFrame:
     return df.sparkSession.createDataFrame([tuple(row)], schema)
 
 
-def _groups(df: DataFrame, column: str, max_valid: float) -> tuple[Column, Column, Column]:
+def _groups(
+    df: DataFrame, column: str, max_valid: float, after: Mapping[str, Column] | None
+) -> tuple[Column, Column, Column]:
     """Untouched positive values, repaired values, and these before the repair."""
     raw = column_as_double(df, column)
     broken = is_out_of_scale(raw, max_valid)
     return (
         F.when(~broken & (raw > 0), raw),
-        F.when(broken, repair_scale(raw, max_valid)),
+        F.when(broken, after[column] if after else repair_scale(raw, max_valid)),
         F.when(broken, raw),
     )
 
@@ -157,15 +196,31 @@ def repair_distribution(
     ``ok`` needs at least one repaired value, all of them in scale, and all of
     the broken originals whole numbers, as a lost decimal point leaves them.
     """
+    values, aggregates, middles, rows = distribution_parts(df, columns, max_valid)
+    medians, summary = quantiles_and_aggregates(
+        df.select(*values), middles, aggregates, small_distinct=small_distinct
+    )
+    return one_row(df, summary).select(F.inline(rows(medians)))
+
+
+def distribution_parts(
+    df: DataFrame, columns: Sequence[str], max_valid: float, after: Mapping[str, Column] | None = None
+) -> tuple[list[Column], list[Column], dict[tuple[str, str], Column], Callable[[Mapping], Column]]:
+    """``repair_distribution`` in steps: a projection, aggregates and medians of it, and the array of rows from these."""
     present = [c for c in columns if c in df.columns]
+    if not present:
+        raise KeyError(f"none of the columns {list(columns)} found")
     kinds = ("untouched", "corrected", "broken")
-    values = df.select(
-        *[
-            value.alias(f"{kind}{i}")
-            for i, c in enumerate(present)
-            for kind, value in zip(kinds, _groups(df, c, max_valid))
-        ]
-    )
+    values = [
+        value.alias(f"{kind}{i}")
+        for i, c in enumerate(present)
+        for kind, value in zip(kinds, _groups(df, c, max_valid, after))
+    ]
+    middles = {
+        (c, kind): F.col(f"{kind}{i}")
+        for i, c in enumerate(present)
+        for kind in ("untouched", "corrected")
+    }
     aggregates = []
     for i in range(len(present)):
         untouched, repaired, broken = (F.col(f"{kind}{i}") for kind in kinds)
@@ -181,22 +236,10 @@ def repair_distribution(
             count_where(is_whole(broken)).alias(f"whole{i}"),
             F.coalesce(F.bool_and(inside), F.lit(True)).alias(f"inside{i}"),
         ]
-    medians, summary = quantiles_and_aggregates(
-        values,
-        {
-            (c, kind): F.col(f"{kind}{i}")
-            for i, c in enumerate(present)
-            for kind in ("untouched", "corrected")
-        },
-        aggregates,
-        small_distinct=small_distinct,
-    )
-    if not present:
-        raise KeyError(f"none of the columns {list(columns)} found")
-    rows = []
-    for i, name in enumerate(present):
+
+    def row(i: int, name: str, medians: Mapping) -> Column:
         broken_n, whole = F.col(f"corrected_n{i}"), F.col(f"whole{i}")
-        rows.append(
+        return (
             F.struct(
                 F.lit(name).alias("column_name"),
                 *[
@@ -216,7 +259,8 @@ def repair_distribution(
                 ((broken_n > 0) & F.col(f"inside{i}") & (whole == broken_n)).alias("ok"),
             )
         )
-    return _one_row(df, summary).select(F.inline(F.array(*rows)))
+
+    return values, aggregates, middles, lambda medians: F.array(*[row(i, c, medians) for i, c in enumerate(present)])
 
 
 # --- labels ----------------------------------------------------------------
@@ -254,20 +298,24 @@ def add_targets(df: DataFrame, target: str, positive: str, negative: str) -> Dat
 
 def target_summary(df: DataFrame) -> DataFrame:
     """Positives, negatives, excluded rows, total and positive share per target."""
+    aggregates, rows = target_parts(df)
+    return df.agg(*aggregates).select(F.inline(rows))
+
+
+def target_parts(df: DataFrame) -> tuple[list[Column], Column]:
+    """``target_summary`` in two steps: aggregates, and the array of rows from these."""
     names = {"principal": TARGET_MAIN, "sensibilidade": TARGET_SENSITIVITY}
     present = {k: c for k, c in names.items() if c in df.columns}
-    counted = df.agg(
-        *[
-            column
-            for key, name in present.items()
-            for column in (
-                count_where(F.col(name) == 1).alias(f"{key}_p"),
-                count_where(F.col(name) == 0).alias(f"{key}_n"),
-                count_where(F.col(name).isNull()).alias(f"{key}_x"),
-                F.count(name).alias(f"{key}_t"),
-            )
-        ]
-    )
+    aggregates = [
+        column
+        for key, name in present.items()
+        for column in (
+            count_where(F.col(name) == 1).alias(f"{key}_p"),
+            count_where(F.col(name) == 0).alias(f"{key}_n"),
+            count_where(F.col(name).isNull()).alias(f"{key}_x"),
+            F.count(name).alias(f"{key}_t"),
+        )
+    ]
     rows = [
         F.struct(
             F.lit(key).alias("target"),
@@ -279,4 +327,4 @@ def target_summary(df: DataFrame) -> DataFrame:
         )
         for key in present
     ]
-    return counted.select(F.inline(F.array(*rows)))
+    return aggregates, F.array(*rows)

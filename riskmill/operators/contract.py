@@ -71,6 +71,11 @@ def unexpected_classes(df: DataFrame, target: str, classes: Sequence[str]) -> Da
     )
 
 
+def _as_text(counts: DataFrame, target: str) -> list[tuple[str | None, int]]:
+    """The counted classes as Spark writes them as text; ``counts`` is a local table, so no job runs."""
+    return [tuple(row) for row in counts.select(F.col(target).cast("string"), "n_rows").collect()]
+
+
 def schema_issues(
     df: DataFrame, expected: Sequence[str], target: str, classes: Sequence[str]
 ) -> DataFrame:
@@ -101,18 +106,22 @@ def validate_schema(
     if raise_on_missing and missing:
         raise SchemaError(f"missing columns: {', '.join(missing)}")
 
-    counts, strange = None, {}
+    counts, strange, n_rows = None, {}, None
     if target in df.columns:
-        counts = class_counts(df, target)
-        found = take_bounded(unexpected_classes(df, target, classes), MAX_CLASSES, f"classes in {target}")
-        strange = {row["class"]: row["n_rows"] for row in sorted(found, key=lambda r: r["class"])}
+        counted = class_counts(df, target)
+        rows = take_bounded(counted, MAX_CLASSES, f"classes in {target}")
+        counts = df.sparkSession.createDataFrame(rows, counted.schema)
+        n_rows = sum(row["n_rows"] for row in rows)
+        for name, n in sorted(("nan" if value is None else value, n) for value, n in _as_text(counts, target)):
+            if name not in classes:
+                strange[name] = strange.get(name, 0) + n
         if raise_on_missing and strange:
             names = ", ".join(strange)
             raise SchemaError(f"unexpected classes in {target}: {names}")
 
     return SchemaReport(
         ok=not (missing or unexpected or strange),
-        n_rows=df.count(),
+        n_rows=df.count() if n_rows is None else n_rows,
         n_cols=len(df.columns),
         missing_columns=missing,
         unexpected_columns=unexpected,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 COPIES = "n_copies"
 
@@ -47,12 +47,17 @@ def duplicate_report(df: DataFrame, subset: Sequence[str]) -> DataFrame:
 
 def summarize_copies(groups: DataFrame, size: str = COPIES) -> DataFrame:
     """The duplicate report from a table that has one row per distinct row."""
+    return groups.agg(*copy_totals(size))
+
+
+def copy_totals(size: str = COPIES) -> list[Column]:
+    """Aggregates of the duplicate report."""
     n, repeated = F.col(size), F.col(size) > 1
     total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
-    return groups.agg(
+    return [
         total(n).alias("n_rows_before"),
         F.count("*").alias("n_rows_after"),
         total(F.when(repeated, n)).alias("n_rows_in_duplicate_groups"),
         F.count(F.when(repeated, 1)).alias("n_duplicate_groups"),
         total(n - 1).alias("n_removed"),
-    )
+    ]

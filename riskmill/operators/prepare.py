@@ -6,9 +6,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
+from riskmill.functions.durable import take_bounded
+from riskmill.functions.numeric import column_as_double, repair_scale
 from riskmill.operators import cleaning, contract, dedup, profile
+from riskmill.operators.order_stats import quantiles_and_aggregates
 from riskmill.sources.reports import write_report
 from riskmill.spec import SEED, TableSpec
 
@@ -31,10 +34,10 @@ def prepare_table(
 ) -> Prepared:
     """Prepare a raw table and write it with its quality report.
 
-    The raw table is read for three things only: its statistics, its medians, and
-    the grouping of equal rows. The grouped rows are written once with the size
-    of each group; the table, the duplicate report and the label summary all read
-    that written table.
+    The raw table is read for four things only: the classes, one narrow projection with all
+    statistics (cached for the exact medians), the first repaired values, and the grouping of equal rows.
+    The grouped rows are written once with the size of each group; duplicate report and label
+    summary are one aggregate of that written table.
 
     ``subset`` are the columns compared for duplicates (all contract columns by
     default) and ``order_by`` decides which copy is the first. A fingerprint
@@ -53,21 +56,7 @@ def prepare_table(
     written = raw.sparkSession.read.schema(labelled.schema).parquet(table_path)
     table = written.drop(dedup.COPIES)
 
-    grades = list(spec.grades)
-    sections = {
-        "missing_values": profile.missing_profile(raw, spec.columns),
-        "grade_statistics": cleaning.repair_statistics(raw, grades, spec.max_grade),
-        "consistency_before": cleaning.consistency_check(raw, spec.grades),
-        "consistency_after": cleaning.consistency_check(cleaned, spec.grades),
-        "distribution": cleaning.repair_distribution(raw, grades, spec.max_grade),
-        "raw_classes": contract.class_counts(raw, spec.target),
-        "duplicates": dedup.summarize_copies(written),
-        "targets": cleaning.target_summary(table),
-    }
-    for i, grade in enumerate(grades):
-        sections[f"examples_{i + 1}"] = cleaning.repair_examples(
-            raw, grade, order_by, spec.max_grade
-        )
+    sections = {"raw_classes": schema.class_counts}
     if fingerprints is not None:
         sections["source_files"] = fingerprints
     facts = {
@@ -81,5 +70,47 @@ def prepare_table(
         "columns": F.array(*[F.lit(c) for c in table.columns]),
         "dtypes": F.array(*[F.lit(kind) for _, kind in table.dtypes]),
     }
-    report = write_report(sections, facts, report_path)
+    ready = _raw_sections(raw, spec, order_by).crossJoin(_table_sections(written))
+    report = write_report(sections, facts, report_path, ready=ready)
     return Prepared(table, report, table_path, report_path)
+
+
+def _raw_sections(raw: DataFrame, spec: TableSpec, order_by: Sequence[str]) -> DataFrame:
+    """One row with an array per report section about the raw table: one aggregate and one count for all of them."""
+    grades, limit = [g for g in spec.grades if g in raw.columns], spec.max_grade
+    # Repaired once per value, as columns that all sections share.
+    after = {g: F.col(f"_after{i}") for i, g in enumerate(grades)}
+    staged = raw.withColumns(
+        {f"_after{i}": repair_scale(column_as_double(raw, g), limit) for i, g in enumerate(grades)}
+    )
+    parts = {
+        "missing_values": profile.missing_parts(raw, spec.columns),
+        "grade_statistics": cleaning.statistics_parts(raw, grades, limit, after),
+        "consistency_before": cleaning.consistency_parts(raw, spec.grades),
+        "consistency_after": cleaning.consistency_parts(raw, spec.grades, "repaired_violation", after),
+    }
+    values, aggregates, middles, distribution = cleaning.distribution_parts(raw, grades, limit, after)
+    for section_values, section_aggregates, _ in parts.values():
+        values, aggregates = values + section_values, aggregates + section_aggregates
+    medians, summary = quantiles_and_aggregates(staged.select(*values), middles, aggregates)
+
+    first = cleaning.all_repair_examples(raw, grades, order_by, limit)
+    examples: list[list] = [[] for _ in grades]
+    for row in sorted(take_bounded(first, 5 * len(grades), "examples"), key=lambda r: r["item"]):
+        examples[row["item"]].append(tuple(row)[1:])
+    kind = T.ArrayType(T.StructType(first.schema.fields[1:]))
+    names = [f"examples_{i + 1}" for i in range(len(grades))]
+    shown = raw.sparkSession.createDataFrame([tuple(examples)], T.StructType([T.StructField(n, kind) for n in names]))
+    return (
+        cleaning.one_row(raw, summary)
+        .select(*[rows.alias(name) for name, (_, _, rows) in parts.items()], distribution(medians).alias("distribution"))
+        .crossJoin(shown)
+    )
+
+
+def _table_sections(written: DataFrame) -> DataFrame:
+    """One row with the duplicate report and the label summary of the written table."""
+    labels, rows = cleaning.target_parts(written)
+    totals = dedup.copy_totals()
+    counted = written.agg(F.struct(*totals).alias("copies"), *labels)
+    return counted.select(F.array("copies").alias("duplicates"), rows.alias("targets"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskmill.functions.numeric import count_where
 
@@ -18,13 +18,19 @@ def _is_missing(df: DataFrame, name: str):
 
 def missing_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Missing cells per column, columns without any left out; one aggregate."""
-    names = list(columns or df.columns)
-    counted = df.agg(*[count_where(_is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(names)])
+    values, aggregates, rows = missing_parts(df, list(columns or df.columns))
+    return df.select(*values).agg(*aggregates).select(F.inline(rows))
+
+
+def missing_parts(df: DataFrame, names: Sequence[str]) -> tuple[list[Column], list[Column], Column]:
+    """``missing_profile`` in three steps: a projection, aggregates of it, and the array of rows from these."""
+    values = [_is_missing(df, c).alias(f"missing{i}") for i, c in enumerate(names)]
+    aggregates = [count_where(F.col(f"missing{i}")).alias(f"n_missing{i}") for i in range(len(names))]
     rows = [
-        F.struct(F.lit(c).alias("column_name"), F.col(f"m{i}").alias("n_missing"))
+        F.struct(F.lit(c).alias("column_name"), F.col(f"n_missing{i}").alias("n_missing"))
         for i, c in enumerate(names)
     ]
-    return counted.select(F.inline(F.array(*rows))).where(F.col("n_missing") > 0)
+    return values, aggregates, F.filter(F.array(*rows), lambda row: row["n_missing"] > 0)
 
 
 def positive_rate(df: DataFrame, label: str) -> DataFrame:

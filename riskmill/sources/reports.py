@@ -20,15 +20,17 @@ def write_report(
     facts: Mapping[str, Column],
     path: str,
     parallelism: int = 4,
+    ready: DataFrame | None = None,
 ) -> DataFrame:
     """Write a report of several small tables as one nested JSON record.
 
     Each section becomes an array of structs. Its size is checked, because a
-    section is one value of one row. The sections are independent jobs.
+    section is one value of one row. The sections are independent jobs; ``ready`` is
+    one row of sections that are arrays already.
     """
-    if not sections:
+    if not sections and ready is None:
         raise ValueError("a report needs at least one section")
-    spark = next(iter(sections.values())).sparkSession
+    spark = ready.sparkSession if ready is not None else next(iter(sections.values())).sparkSession
     tasks = [
         lambda name=name, section=section: take_bounded(
             section, MAX_SECTION_ROWS, f"report section {name}"
@@ -39,6 +41,12 @@ def write_report(
     schema = T.StructType(
         [T.StructField(name, T.ArrayType(section.schema)) for name, section in sections.items()]
     )
+    if ready is not None:
+        row = ready.first()
+        for name, value in row.asDict().items():
+            if value is not None and len(value) > MAX_SECTION_ROWS:
+                raise ValueError(f"report section {name}: more than {MAX_SECTION_ROWS} rows")
+        values, schema = [*row, *values], T.StructType([*ready.schema.fields, *schema.fields])
     report = spark.createDataFrame([tuple(values)], schema).withColumns(
         {"generated_at": F.current_timestamp(), **facts}
     )

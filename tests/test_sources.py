@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskmill.functions import durable
+from riskmill.operators import cleaning
 from riskmill.operators.prepare import prepare_table
 from riskmill.sources import fingerprint, reports, tables
 from riskmill.students import COLUMNS, STUDENTS, units
@@ -107,6 +108,9 @@ def test_preparation_job(spark, students, tmp_path):
     assert classes["Desistente"] == 16  # before duplicates are removed
     main = next(t for t in report["targets"] if t["target"] == "principal")
     assert main["positives"] == 14 and main["total"] == 40
+    for i, grade in enumerate((units(1, "Grau"), units(2, "Grau"))):
+        alone = [r.asDict() for r in cleaning.repair_examples(raw, grade, ["row_id"]).collect()]
+        assert report[f"examples_{i + 1}"] == alone and len(alone) == 5
     document = next((tmp_path.glob("report-*"))).glob("*.json")
     assert json.loads(next(document).read_text())["n_rows_raw"] == 42
 
