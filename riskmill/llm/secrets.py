@@ -17,7 +17,7 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskmill.llm.common import let, materialize, plain, text_or_empty, unused
+from riskmill.llm.common import let, plain, text_or_empty, unused
 
 
 @dataclass(frozen=True)
@@ -166,24 +166,31 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(steps, start, step, lambda state: state["spans"])
 
 
-def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` (doc_id, text) as (doc_id, text, secrets): spans of all rules by start, then rule order.
+def with_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, and its name: the spans of all rules by start, then rule order.
 
     Null texts are empty. Texts with a null or repeated doc_id are scanned like others. Rows stay as many as
-    they are; overlapping spans of different rules all stay.
+    they are; overlapping spans of different rules all stay. Texts are dealt out once, beside their kinds.
     """
-    rows = plain(docs, "doc_id", "text").withColumn("text", text_or_empty())
-    marked = candidates(docs, rules).select(F.col("doc_id").alias("candidate"), "kinds")
-    joined = rows.join(marked, F.col("doc_id").eqNullSafe(F.col("candidate")), "left")
+    own, kinds, spans = unused(docs, 3)
+    marked = candidates(docs, rules).select(F.col("doc_id").alias(own), F.col("kinds").alias(kinds))
+    joined = docs.join(marked, F.col("doc_id").eqNullSafe(F.col(own)), "left")
     empty = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
     found = []
     for order, rule in enumerate(rules):
         if trigram_query(rule.pattern) == ANYTHING:
-            possible = F.col("text").rlike(rule.pattern)
+            possible = text_or_empty().rlike(rule.pattern)
         else:
-            possible = F.array_contains(F.coalesce("kinds", F.array().cast("array<string>")), rule.kind)
-        found.append(F.when(possible, rule_spans(F.col("text"), rule, order)).otherwise(empty))
-    return joined.select("doc_id", "text", F.array_sort(F.concat(*found)).alias("secrets"))
+            possible = F.array_contains(F.coalesce(kinds, F.array().cast("array<string>")), rule.kind)
+        found.append(F.when(possible, rule_spans(text_or_empty(), rule, order)).otherwise(empty))
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*kept, F.array_sort(F.concat(*found)).alias(spans)), spans
+
+
+def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``docs`` (doc_id, text) as (doc_id, text, secrets): see ``with_secrets``."""
+    found, spans = with_secrets(plain(docs, "doc_id", "text"), rules)
+    return found.select("doc_id", text_or_empty().alias("text"), F.col(spans).alias("secrets"))
 
 
 def _listed(spans: Column) -> Column:
@@ -218,18 +225,17 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
     A column ``n_chars`` is brought up to the new length of a changed text.
 
-    Only changed texts are joined back, by doc_id and the text's digest, so repeated ids keep their own texts.
+    Every text is redacted where its spans are found, so repeated ids keep their own texts and texts are dealt out once.
     """
-    found = materialize(find_secrets(docs).filter(F.size("secrets") > 0), "secrets")
-    own, mark, clean = unused(docs, 3)
-    changed = found.select(F.col("doc_id").alias(own), F.sha2("text", 256).alias(mark),
-                           redacted(F.col("text"), F.col("secrets")).alias(clean)).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.sha2(text_or_empty(), 256) == F.col(mark))
-    joined = docs.join(changed, same, "left").withColumn("text", F.coalesce(clean, "text"))
+    found, spans = with_secrets(docs)
+    changed = F.size(spans) > 0
+    clean, = unused(found, 1)
+    found = found.withColumn(clean, F.when(changed, redacted(text_or_empty(), F.col(spans))))
+    new = {"text": F.coalesce(clean, "text")}
     if "n_chars" in docs.columns:
-        size = F.char_length("text").cast(dict(docs.dtypes)["n_chars"])
-        joined = joined.withColumn("n_chars", F.when(F.col(clean).isNotNull(), size).otherwise(F.col("n_chars")))
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns))
+        size = F.char_length(clean).cast(dict(docs.dtypes)["n_chars"])
+        new["n_chars"] = F.when(changed, size).otherwise(F.col("n_chars"))
+    return found.select(*(new.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
 
 
 def _span_sql(rule: Rule, order: int) -> str:

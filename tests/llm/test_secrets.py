@@ -89,3 +89,15 @@ def test_redaction_keeps_clashing_columns(spark):
     got = sorted(secrets.redact_secrets(docs).collect(), key=lambda r: r.slot0)
     assert [(r._id, r._clean, r.slot0) for r in got] == [("a", "b", "c"), ("d", None, "f")]
     assert "hunter22" not in got[0].text and got[0].n_chars == len(got[0].text) and got[1].text is None
+
+
+def test_redaction_deals_texts_out_once(spark):
+    import os
+
+    docs, _ = documents(spark)
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder))
+    out = secrets.redact_secrets(docs)
+    assert set(os.listdir(folder)) == before  # no table of spans that the texts are joined with again
+    tree = out._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join LeftOuter" in line for line in tree.splitlines()) == 1
