@@ -430,3 +430,23 @@ def test_scenarios_share_features_and_equal_separate_fits(rows):
     assert len(together) == len(alone) == 8
     for a, b in zip(sorted(together, key=key), sorted(alone, key=key)):
         assert key(a) == key(b) and all(a[m] == pytest.approx(b[m], abs=1e-9) for m in ("f2", "accuracy", "roc_auc", "tp", "fn"))
+
+
+def test_learning_curve_prepares_each_fold_once(training, monkeypatch):
+    calls = []
+    real = compare.fit_unions
+    monkeypatch.setattr(compare, "fit_unions", lambda *a: calls.append(len(a[-1])) or real(*a))
+    candidate = compare.Candidate("lr", "logistic_balanced", {"C": 0.1})
+    curve = compare.learning_curve(training, candidate, (0.4, 0.6, 1.0)).collect()
+    assert calls == [3] * training.folds
+    sizes = [r["train_size"] for r in curve]
+    assert sizes == [32, 48, 80]
+    means = []
+    for holdout in range(3):
+        others = training.rows.where(F.col("fold") != holdout).orderBy("row_id").limit(48)
+        model = build_pipeline(training.columns, SPEC, "logistic_balanced", {"C": 0.1}).fit(others)
+        scored = model.transform(training.rows.where(F.col("fold") == holdout))
+        hits = {(r["label"], r["prediction"]): r["count"] for r in scored.groupBy("label", "prediction").count().collect()}
+        tp, fp, fn = hits.get((1.0, 1.0), 0), hits.get((0.0, 1.0), 0), hits.get((1.0, 0.0), 0)
+        means.append(5 * tp / (5 * tp + 4 * fn + fp))
+    assert curve[1]["cv_mean"] == pytest.approx(np.mean(means), abs=1e-9)
