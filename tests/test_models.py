@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskmill.operators import compare, stages
+from riskmill.operators import models
 from riskmill.operators.models import (
     build_pipeline,
     classifier,
@@ -212,6 +213,24 @@ def test_every_family_saves_and_loads(rows, tmp_path, family, settings):
     assert one == two and all(0 <= p <= 1 for _, p in one)
 
 
+@pytest.mark.parametrize("family", ["random_forest", "hist_gradient_boosting"])
+def test_many_rows_of_a_fit_of_trees_are_made_once(rows, monkeypatch, family):
+    made = rows.sparkSession.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        made.add(1)
+        return x
+
+    features = preprocessor(COLUMNS, SPEC).fit(rows).transform(rows).select("features", counted("label").alias("label"))
+    features = features.withColumn("features", F.when(F.col("label") >= 0, F.col("features")))
+    small = {"n_estimators": 2, "max_depth": 2} if family == "random_forest" else {"max_iter": 2}
+    monkeypatch.setattr(models, "SPREAD_ROWS", 0)
+    monkeypatch.setattr(models, "class_sizes", lambda *_: {0.0: 1, 1.0: 1})  # counts the label, which is counted here
+    classifier(family, small).fit(features)
+    assert made.value == rows.count()
+
+
 def test_missing_model(spark, tmp_path):
     with pytest.raises(ModelNotFoundError):
         load_pipeline(str(tmp_path / "absent"))
