@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
@@ -59,6 +60,11 @@ FAMILY_ORDER = tuple(reversed(MODELS))
 DEEPEST = 30
 # Histogram bins, rows per leaf and depth of a tree of at most 31 leaves.
 BOOSTING_BINS, BOOSTING_LEAF_ROWS, BOOSTING_DEPTH = 255, 20, 5
+#: Nodes, at most, of the trees of a forest that are grown at the same time. A growing node takes several times the
+#: driver memory of a finished one, so a larger forest is grown by groups of trees.
+NODES_TOGETHER = 2_000_000
+#: Nodes of a tree per training row, at most: a bootstrap sample has 0.64 of the rows, and a binary tree twice its leaves.
+NODES_PER_ROW = 1.3
 #: A single fit of trees on more rows has them written once, in partitions of at most so many for all cores.
 SPREAD_ROWS, PARTITION_ROWS = 50_000, 1_000_000
 _WEIGHT = "_class_weight"
@@ -136,15 +142,20 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
                 maxIter=int(settings["max_iter"]),
             )
         elif family.startswith("random_forest"):
-            estimator = RandomForestClassifier(
-                **columns,
-                numTrees=int(settings["n_estimators"]),
-                maxDepth=int(settings["max_depth"]) or DEEPEST,
-                minInstancesPerNode=int(settings["min_samples_leaf"]),
-                featureSubsetStrategy="sqrt",
-                cacheNodeIds=True,
-                seed=SEED,
-            )
+            depth = int(settings["max_depth"]) or DEEPEST
+            forests = [
+                RandomForestClassifier(
+                    **columns,
+                    numTrees=trees,
+                    maxDepth=depth,
+                    minInstancesPerNode=int(settings["min_samples_leaf"]),
+                    featureSubsetStrategy="sqrt",
+                    cacheNodeIds=True,
+                    seed=SEED + 1_000_003 * i,
+                ).fit(rows)
+                for i, trees in enumerate(_tree_groups(int(settings["n_estimators"]), depth, total))
+            ]
+            return forests[0] if len(forests) == 1 else _one_forest(forests)
         else:
             estimator = GBTClassifier(
                 **columns,
@@ -160,6 +171,32 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         return estimator.fit(rows)
 
 
+def _tree_groups(trees: int, depth: int, rows: int) -> list[int]:
+    """Sizes of the groups in which a forest is grown, each of at most ``NODES_TOGETHER`` nodes or one tree."""
+    most = max(1, int(NODES_TOGETHER / max(1, min(NODES_PER_ROW * rows, 2 ** (depth + 1)))))
+    many = -(-trees // most)
+    return [trees // many + (i < trees % many) for i in range(many)]
+
+
+def _one_forest(forests: Sequence[RandomForestClassificationModel]) -> RandomForestClassificationModel:
+    """The forest of all trees of forests that were fitted on the same rows with other seeds."""
+    first, trees = forests[0], [tree for forest in forests for tree in forest._java_obj.trees()]
+    context = SparkContext._active_spark_context  # fits run in threads, which have no active session
+    gateway, jvm = context._gateway, context._jvm
+    java_trees = gateway.new_array(jvm.org.apache.spark.ml.classification.DecisionTreeClassificationModel, len(trees))
+    for i, tree in enumerate(trees):
+        java_trees[i] = tree
+    made = jvm.org.apache.spark.ml.classification.RandomForestClassificationModel(
+        first.uid, java_trees, first.numFeatures, first.numClasses
+    )
+    made.set(made.getParam("numTrees"), len(trees))  # the reader counts the trees of a saved forest by it
+    forest = RandomForestClassificationModel(made)
+    forest._resetUid(first.uid)
+    for name in ("featuresCol", "labelCol"):
+        forest._set(**{name: first.getOrDefault(name)})
+    return forest
+
+
 def _spread(rows: DataFrame, count: int) -> DataFrame:
     """``rows`` written once, in as many partitions as there are cores, or more.
 

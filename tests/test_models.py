@@ -213,6 +213,33 @@ def test_every_family_saves_and_loads(rows, tmp_path, family, settings):
     assert one == two and all(0 <= p <= 1 for _, p in one)
 
 
+@pytest.mark.parametrize("family", ["random_forest", "random_forest_balanced"])
+def test_a_large_forest_is_grown_by_groups_of_trees(rows, tmp_path, monkeypatch, family):
+    grown, fit = [], models.RandomForestClassifier.fit
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda self, df: grown.append((self.getNumTrees(), self.getSeed())) or fit(self, df))
+    monkeypatch.setattr(models, "NODES_TOGETHER", int(3 * min(2**5, models.NODES_PER_ROW * rows.count())))
+    model = build_pipeline(COLUMNS, SPEC, family, {"n_estimators": 7, "max_depth": 4}).fit(rows)
+    assert [trees for trees, _ in grown] == [3, 2, 2] and len({seed for _, seed in grown}) == 3
+    forest = model.stages[-1]
+    assert forest.getNumTrees == 7 and len({t.toDebugString for t in forest.trees}) == 7
+    parts = [(r["features"], r["probability"]) for r in model.transform(rows).select("features", "probability").collect()]
+    for features, probability in parts[:20]:
+        votes = sum(t.predictProbability(features).toArray() for t in forest.trees)
+        assert np.allclose(probability.toArray(), votes / 7)
+    save_pipeline(model, str(tmp_path / family))
+    loaded = load_pipeline(str(tmp_path / family)).transform(rows).select("features", "probability").collect()
+    assert sorted(p.tolist() for _, p in parts) == sorted(r["probability"].tolist() for r in loaded)
+
+
+def test_groups_of_trees_keep_their_number_and_bound():
+    for trees, depth, count in ((200, 30, 105_000), (200, 12, 105_000), (200, 30, 1_000), (3, 30, 10**8), (7, 2, 0)):
+        groups = models._tree_groups(trees, depth, count)
+        nodes = min(models.NODES_PER_ROW * count, 2 ** (depth + 1))
+        assert sum(groups) == trees and min(groups) > 0
+        assert max(groups) == 1 or max(groups) * nodes <= models.NODES_TOGETHER
+    assert models._tree_groups(200, 30, 1_500) == [200]  # a small forest is grown as a whole
+
+
 @pytest.mark.parametrize("family", ["random_forest", "hist_gradient_boosting"])
 def test_many_rows_of_a_fit_of_trees_are_made_once(rows, monkeypatch, family):
     made = rows.sparkSession.sparkContext.accumulator(0)
