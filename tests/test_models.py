@@ -237,7 +237,7 @@ def test_groups_of_trees_keep_their_number_and_bound():
         nodes = min(models.NODES_PER_ROW * count, 2 ** (depth + 1))
         assert sum(groups) == trees and min(groups) > 0
         assert max(groups) == 1 or max(groups) * nodes <= models.NODES_TOGETHER
-    assert models._tree_groups(200, 30, 1_500) == [200]  # a small forest is grown as a whole
+    assert models._tree_groups(200, 30, 10_500) == [200]  # a small forest is grown as a whole
 
 
 @pytest.mark.parametrize("family", ["random_forest", "hist_gradient_boosting"])
