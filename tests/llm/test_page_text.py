@@ -112,3 +112,43 @@ def test_unmarked_pages_lose_shared_lines(spark, monkeypatch):
         assert by[i] == f"text {i} a\ntext {i} b"
     assert by[50] == "Top x" and by[51] == by[52] == "" and by[None] == "q"  # copies do not blank each other
     assert page_text.extract_pages(pages.limit(0)).count() == 0
+
+
+def test_elements():
+    source = """<main><h1>Head</h1><article>a<div itemprop="articleBody">b</div><main>c</main></article><p>d</p>
+      <article>e</article></main>f<div role="main">g</div>"""
+    assert page_text.page_blocks(source) == [("Head", 1), ("a", 2), ("b", 2), ("c", 2), ("d", 1), ("e", 3), ("f", 0), ("g", 4)]
+
+
+def test_dense_subsequences(monkeypatch):
+    rng = random.Random(5)
+    monkeypatch.setattr(page_text, "DENSE", -1)
+    for n in [0, 1, 3, 12, 90] * 60:
+        a, b = ([rng.choice("abcdefgh"[: 1 + n // 10]) for _ in range(rng.randrange(n + 1))] for _ in range(2))
+        pairs = page_text.shared_pairs(a, b)
+        assert len(pairs) == slow_common(a, b) and all(a[i] == b[j] for i, j in pairs)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
+
+
+def texts(spark, *rows):
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id bigint, url string, html string")
+    return [r.text for r in page_text.extract_pages(pages.repartition(3)).orderBy("page_id").collect()]
+
+
+def test_differencing_decides_about_marked_elements(spark, monkeypatch):
+    monkeypatch.setattr(page_text, "BUCKET", 3)
+    page = "<div>Top</div><article class=x><p>Our story</p><p>Read it</p></article><article><h1>News</h1><p>own {i}</p></article>"
+    assert texts(spark, *[(f"http://x/{i:02d}", page.format(i=i)) for i in range(9)]) == [f"News\nown {i}" for i in range(9)]
+    area = "<main><div>Top stories</div><article><p>Same</p><p>own {i}</p></article></main>"
+    assert texts(spark, *[(f"http://x/{i:02d}", area.format(i=i)) for i in range(9)]) == [f"Same\nown {i}" for i in range(9)]
+
+
+def test_marks_keep_articles_that_neighbours_share(spark):
+    one, two = "<article><p>a</p><p>b</p></article>", "<article><p>c</p></article>"
+    # A neighbour without other text of its own is no evidence of a template, nor is a lone article or a copy.
+    assert texts(spark, ("http://x/1", one + two), ("http://x/2", one)) == ["a\nb\nc", "a\nb"]
+    assert texts(spark, ("http://x/1", one), ("http://x/2", one + "<div>ad</div>"), ("http://x/3", one)) == ["a\nb"] * 3
+    assert texts(spark, ("http://x/1", one + two), ("http://y/2", one + "<article>d</article>")) == ["a\nb\nc", "a\nb\nd"]
+    # Shared with one neighbour of two; a line marked on one of two pages with equal lines.
+    assert texts(spark, ("http://x/1", one + two), ("http://x/2", one + "<article>d</article>"), ("http://x/3", "<article>e</article>")) == ["c", "a\nb\nd", "e"]
+    assert texts(spark, ("http://x/1", "<p>top</p><article>q</article>"), ("http://x/2", "<p>top</p><p>q</p>")) == ["q", "top\nq"]
