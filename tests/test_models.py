@@ -496,3 +496,17 @@ def test_learning_curve_prepares_each_fold_once(training, monkeypatch):
         tp, fp, fn = hits.get((1.0, 1.0), 0), hits.get((0.0, 1.0), 0), hits.get((1.0, 0.0), 0)
         means.append(5 * tp / (5 * tp + 4 * fn + fp))
     assert curve[1]["cv_mean"] == pytest.approx(np.mean(means), abs=1e-9)
+
+
+def test_a_forest_is_scored_alone_and_dropped(training, monkeypatch):
+    forest = [compare.Candidate(f"rf{n}", "random_forest", {"n_estimators": n, "max_depth": 2}) for n in (2, 3)]
+    candidates = [*forest, compare.Candidate("prior", "dummy_prior")]
+    real, calls = compare._with_outcomes, []
+    monkeypatch.setattr(compare, "_with_outcomes", lambda rows, models, keep: calls.append(sorted(models)) or real(rows, models, keep))
+    few = compare.replace(training, rows=training.rows.withColumn("fold", training.rows["fold"] % 2), folds=2)
+    rows = compare.cross_validation_scores(few, candidates).collect()
+    assert sorted(calls) == sorted([["prior"], ["rf2"], ["rf3"]] * 2)
+    together = {(r["candidate"], r["fold"], r["row_id"]): r["score"] for r in rows}
+    assert len(together) == len(rows) == len(candidates) * 2 * training.rows.count()
+    alone = compare.cross_validation_scores(few, forest[1:]).collect()
+    assert {k: v for k, v in together.items() if k[0] == "rf3"} == {("rf3", r["fold"], r["row_id"]): r["score"] for r in alone}
