@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskmill.functions.durable import materialize, take_bounded
 from riskmill.functions.parallel import run_together
 from riskmill.operators import metrics
+from riskmill.operators.forest import GrownForestModel
 from riskmill.operators.models import (
     DEFAULTS,
     FAMILY_ORDER,
@@ -205,7 +206,11 @@ def _each_fold(
                 columns = group[0].columns or training.columns
                 models = _fit_group(group, of_set[columns].where(F.col(training.fold) != holdout), sizes, training.label)
                 if group[0].family.startswith("random_forest"):
-                    return {}, [finish(score(columns, models))]
+                    results = [finish(score(columns, models))]
+                    for model in models.values():
+                        if isinstance(model, GrownForestModel):
+                            model.release(shared.sparkSession)
+                    return {}, results
                 return models, []
 
             groups = _fit_groups(candidates)

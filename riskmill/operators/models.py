@@ -20,6 +20,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
 
 from riskmill.functions.durable import materialize, take_bounded
+from riskmill.operators.forest import grow_forest
 from riskmill.operators.stages import (
     MedianScaler,
     ModeImputer,
@@ -67,6 +68,9 @@ NODES_TOGETHER = 3_000_000
 NODES_PER_ROW = 1.3
 #: A single fit of trees on more rows has them written once, in partitions of at most so many for all cores.
 SPREAD_ROWS, PARTITION_ROWS = 50_000, 1_000_000
+#: A forest on more rows is grown by tasks that are dealt the rows of a node, see ``forest``; Spark's own grows level by
+#: level, sends statistics of every node through a shuffle and holds all nodes in the driver.
+FOREST_ROWS = 5_000
 _WEIGHT = "_class_weight"
 
 
@@ -122,6 +126,13 @@ class TabularClassifier(Estimator, DefaultParamsReadable, DefaultParamsWritable)
         settings = self.parameters()
         columns = {"featuresCol": self.getOrDefault(self.featuresCol), "labelCol": label}
         rows = dataset.select(columns["featuresCol"], label)
+        if family.startswith("random_forest") and total > FOREST_ROWS:
+            balanced = family.endswith("_balanced")
+            return grow_forest(
+                rows, *columns.values(), total, trees=int(settings["n_estimators"]), depth=int(settings["max_depth"]) or DEEPEST,
+                least=int(settings["min_samples_leaf"]), seed=SEED,
+                weights=tuple(total / (len(sizes) * sizes[v]) if balanced and sizes.get(v) else 1.0 for v in (0.0, 1.0)),
+            )
         if family.endswith("_balanced"):
             weight = F.lit(None).cast("double")
             for value, size in sizes.items():
