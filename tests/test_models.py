@@ -510,3 +510,23 @@ def test_a_forest_is_scored_alone_and_dropped(training, monkeypatch):
     assert len(together) == len(rows) == len(candidates) * 2 * training.rows.count()
     alone = compare.cross_validation_scores(few, forest[1:]).collect()
     assert {k: v for k, v in together.items() if k[0] == "rf3"} == {("rf3", r["fold"], r["row_id"]): r["score"] for r in alone}
+
+
+def test_fits_of_folds_are_kept_for_the_next_call(training, monkeypatch):
+    """A candidate of a grid search is not fitted again to get its scores, which are those of a fresh training."""
+    fresh = lambda: compare.replace(training, folds=training.folds)
+    own, fits, unions = fresh(), [], []
+    real, real_unions = compare._fit_group, compare.fit_unions
+    monkeypatch.setattr(compare, "_fit_group", lambda group, *a: fits.append(group[0].settings) or real(group, *a))
+    monkeypatch.setattr(compare, "fit_unions", lambda *a: unions.append(1) or real_unions(*a))
+    best = compare.grid_search(own, "logistic_balanced", {"C": (0.1, 10.0)}).settings
+    assert len(fits) == 2 * training.folds and len(unions) == 1
+    chosen = [compare.Candidate("chosen", "logistic_balanced", best)]
+    key = lambda r: (r["fold"], r["row_id"])
+    found = sorted(compare.cross_validation_scores(own, chosen).collect(), key=key)
+    assert len(fits) == 2 * training.folds and len(unions) == 1  # nothing was fitted again
+    again = sorted(compare.cross_validation_scores(fresh(), chosen).collect(), key=key)
+    assert found == again and len(fits) == 3 * training.folds and len(unions) == 2
+    compare.cross_validation_scores(own, [compare.Candidate("other", "logistic_balanced", {"C": 1.0})])
+    assert len(fits) == 4 * training.folds  # other settings are
+    assert not compare.replace(own, label="label").fits
