@@ -530,3 +530,19 @@ def test_fits_of_folds_are_kept_for_the_next_call(training, monkeypatch):
     compare.cross_validation_scores(own, [compare.Candidate("other", "logistic_balanced", {"C": 1.0})])
     assert len(fits) == 4 * training.folds  # other settings are
     assert not compare.replace(own, label="label").fits
+
+
+def test_learning_curve_bounds_what_its_fits_keep(training, monkeypatch):
+    candidate = compare.Candidate("lr", "logistic_balanced", {"C": 0.1})
+    wide = compare.replace(training, parallelism=4)
+    at_once, kept, real, persist = [], [], compare.run_together, type(training.rows).persist
+    monkeypatch.setattr(compare, "run_together", lambda tasks, most, spark: at_once.append(most) or real(tasks, most, spark))
+    monkeypatch.setattr(type(training.rows), "persist", lambda self, *level: kept.append(level) or persist(self, *level))
+    whole = compare.learning_curve(wide, candidate, (0.5, 1.0)).collect()
+    assert at_once == [3, 4] and (compare.StorageLevel.DISK_ONLY,) not in kept
+    at_once.clear()
+    kept.clear()
+    each = compare._feature_bytes(80, len(preprocessor(COLUMNS, SPEC).getStages()[-1].getInputCols()))
+    monkeypatch.setattr(compare, "TOGETHER_BYTES", each)
+    assert compare.learning_curve(wide, candidate, (0.5, 1.0)).collect() == whole
+    assert at_once == [1, 1] and kept.count((compare.StorageLevel.DISK_ONLY,)) == 6
